@@ -56,7 +56,8 @@ def chunk_table(df: DataFrame, id_col: str, text_col: str, n: int = CHUNK_WORDS)
 
     Empty or blank text gives no rows. Narrow: no shuffle, any text length.
     """
-    return df.select(F.col(id_col), F.posexplode(_chunk_array(F.col(text_col), n)).alias("chunk_index", "chunk"))
+    staged = df.select(F.col(id_col), words(F.col(text_col)).alias("_toks"))
+    return staged.select(F.col(id_col), F.posexplode(_chunk_array(F.col("_toks"), n)).alias("chunk_index", "chunk"))
 
 
 def overview_vectors(events: DataFrame, vec_col: str = "vector") -> DataFrame:
@@ -79,8 +80,8 @@ def chunk_vectors(events: DataFrame, dim: int = DEFAULT_DIM, embedder=None, n: i
     """``research`` records: story chunks with their own vectors; no story, no rows."""
     with_story = events.filter(F.col("story").isNotNull() & (F.col("story") != F.lit("")))
     # One chunk row per event row: the owning row's order, then chunk order.
-    keyed = with_story.select(
-        "event_id", "title", "sources", "ord", F.posexplode(_chunk_array(F.col("story"), n)).alias("chunk_index", "chunk")
+    keyed = with_story.select("event_id", "title", "sources", "ord", words(F.col("story")).alias("_toks")).select(
+        "event_id", "title", "sources", "ord", F.posexplode(_chunk_array(F.col("_toks"), n)).alias("chunk_index", "chunk")
     )
     embedded = embed_table(keyed, "event_id", "chunk", dim=dim, embedder=embedder)
     return embedded.select(
@@ -93,13 +94,14 @@ def chunk_vectors(events: DataFrame, dim: int = DEFAULT_DIM, embedder=None, n: i
         F.col("chunk_index").cast("int").alias("chunk_index"),
         "sources",
         F.col("chunk").alias("text"),
-        (F.col("ord").cast("long") * F.lit(1 << 20) + F.col("chunk_index")).alias("ord"),
+        # Chunk ids already carry the index; equal ids only come from events
+        # sharing a title, and the later event (higher ord) wins.
+        F.col("ord").cast("long").alias("ord"),
     )
 
 
-def _chunk_array(text, n: int):
-    """Array of <= n-word slices of the text, rejoined with one space."""
-    toks = words(text)
+def _chunk_array(toks, n: int):
+    """Array of <= n-word slices of a staged word array, rejoined with one space."""
     n_chunks = F.ceil(F.size(toks) / F.lit(n)).cast("int")
     return F.when(
         F.size(toks) > 0,

@@ -33,26 +33,25 @@ def overview_text(title: Column, summary: Column) -> Column:
     return F.concat(title, F.lit(" "), summary)
 
 
-def hash_terms(text: Column) -> Column:
-    """Lower-cased word bigrams (a lone word stands alone)."""
-    toks = words(F.lower(text))
+def bigrams(toks: Column) -> Column:
+    """Adjacent word pairs joined by one space; a lone word stands alone.
+
+    ``toks`` must be a column reference, not an expression: arrays are
+    staged in their own projection so the split runs once per row.
+    """
     n = F.size(toks)
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-        lambda i: F.concat(F.get(toks, i - 1), F.lit(" "), F.get(toks, i)),
-    )
-    return F.when(n >= 2, pairs).when(n == 1, toks).otherwise(F.array().cast("array<string>"))
+    last = F.greatest(n - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(toks, 1, last), F.slice(toks, 2, last), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(n >= 2, pairs).otherwise(toks)
 
 
-def term_codes(text: Column) -> Column:
-    """First 8 hex digits of md5 per bigram as an integer.
+def term_codes(terms: Column) -> Column:
+    """First 8 hex digits of md5 per term as an integer.
 
     ``code >> 4`` (first 7 hex digits) picks the bucket; the parity of the 8th
     digit (``code & 1``) picks the sign.
     """
-    return F.transform(
-        hash_terms(text), lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long")
-    )
+    return F.transform(terms, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"))
 
 
 def _densify(dim: int) -> Callable[[pd.Series], pd.Series]:
@@ -73,11 +72,6 @@ def _densify(dim: int) -> Callable[[pd.Series], pd.Series]:
     return densify
 
 
-def hashed_vector(text: Column, dim: int = DEFAULT_DIM) -> Column:
-    udf = F.pandas_udf(_densify(dim), VECTOR_TYPE)
-    return udf(F.coalesce(term_codes(text), F.array().cast("array<long>")))
-
-
 def embed_table(
     df: DataFrame,
     id_col: str,
@@ -93,11 +87,11 @@ def embed_table(
     model calls the way the reference's one-call-per-text could not).
     Blank text gives the all-zero vector, which never matches anything.
     """
-    if embedder is None:
-        vec = hashed_vector(F.col(text_col), dim)
-    else:
-        vec = F.pandas_udf(embedder, VECTOR_TYPE)(F.col(text_col))
-    return df.withColumn(out_col, vec)
+    if embedder is not None:
+        return df.withColumn(out_col, F.pandas_udf(embedder, VECTOR_TYPE)(F.col(text_col)))
+    densify = F.pandas_udf(_densify(dim), VECTOR_TYPE)
+    staged = df.withColumn("_toks", F.coalesce(words(F.lower(F.col(text_col))), F.array().cast("array<string>")))
+    return staged.withColumn(out_col, densify(term_codes(bigrams(F.col("_toks"))))).drop("_toks")
 
 
 def join_embeddings(df: DataFrame, vectors: DataFrame, id_col: str, vec_col: str, out_col: str = "vector") -> DataFrame:

@@ -72,6 +72,18 @@ def _densify(dim: int) -> Callable[[pd.Series], pd.Series]:
     return densify
 
 
+def _python_step(udf):
+    """Keep a vector UDF where it is planned.
+
+    The function is deterministic, but Catalyst would otherwise copy it into
+    predicates inferred on its output (``size(vector) > 0`` from an explode,
+    ``vector IS NOT NULL`` before a join) and push those below shuffles, so
+    it would run twice, once before the repartition that spreads the work.
+    Declaring it non-deterministic pins it to one evaluation per row.
+    """
+    return udf.asNondeterministic()
+
+
 def embed_table(
     df: DataFrame,
     id_col: str,
@@ -88,8 +100,8 @@ def embed_table(
     Blank text gives the all-zero vector, which never matches anything.
     """
     if embedder is not None:
-        return df.withColumn(out_col, F.pandas_udf(embedder, VECTOR_TYPE)(F.col(text_col)))
-    densify = F.pandas_udf(_densify(dim), VECTOR_TYPE)
+        return df.withColumn(out_col, _python_step(F.pandas_udf(embedder, VECTOR_TYPE))(F.col(text_col)))
+    densify = _python_step(F.pandas_udf(_densify(dim), VECTOR_TYPE))
     staged = df.withColumn("_toks", F.coalesce(words(F.lower(F.col(text_col))), F.array().cast("array<string>")))
     return staged.withColumn(out_col, densify(term_codes(bigrams(F.col("_toks"))))).drop("_toks")
 

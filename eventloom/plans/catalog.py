@@ -8,7 +8,6 @@ rounded to 6 decimals, integers as bigint.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +19,17 @@ from eventloom.plans import pipeline
 from eventloom.session import scratch_path
 from eventloom.sources import fixtures
 from eventloom.sources.intake import day_window, read_responses, split_by_status
+from eventloom.sources.tables import read_table
 
+SPREAD_TABLES = {"documents", "pages", "conversations"}
 RUN_TS = "2024-01-15 00:00:00"
 RUN_DATE = "2024-01-15"
 DIM = vectors.DEFAULT_DIM
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    # Small tables (labels, the day-window scan) need no spreading.
+    return read_table(spark, sf_dir, name, spread=name in SPREAD_TABLES)
 
 
 def _ts_text(c):
@@ -74,9 +76,14 @@ def seed_events(spark, sf_dir) -> DataFrame:
 
 
 def embedded_docs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """``(history, probes)`` documents with vectors: labelled vs unlabelled."""
-    docs = vectors.embed_table(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", DIM)
-    return fixtures.labelled_split(docs, _table(spark, sf_dir, "labels"))
+    """``(history, probes)`` documents with vectors: labelled vs unlabelled.
+
+    Split first, then embed each side, so no document is hashed twice.
+    """
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    history, probes = fixtures.labelled_split(docs, _table(spark, sf_dir, "labels"))
+    return (vectors.embed_table(history, "doc_id", "text", DIM).drop("text"),
+            vectors.embed_table(probes, "doc_id", "text", DIM).drop("text"))
 
 
 def corpus_df(spark, sf_dir) -> DataFrame:
@@ -202,7 +209,7 @@ def q_similarity_topk(spark, sf_dir):
     history, probes = embedded_docs(spark, sf_dir)
     h = history.select(F.col("doc_id").alias("match_id"), F.col("vector").alias("hvec"))
     top = similarity.similarity_topk(probes, h, k=similarity.DEDUP_TOP_K, probe_id="doc_id", hist_id="match_id",
-                                     hist_vec_col="hvec")
+                                     hist_vec_col="hvec", dim=DIM)
     return top.select(F.col("doc_id").alias("probe_id"), "match_id", _r6(F.col("score")).alias("score"),
                       F.col("rank").cast("long").alias("rank"))
 
@@ -210,7 +217,8 @@ def q_similarity_topk(spark, sf_dir):
 def q_flag_duplicates(spark, sf_dir):
     history, probes = embedded_docs(spark, sf_dir)
     h = history.select(F.col("doc_id").alias("match_id"), F.col("vector").alias("hvec"))
-    flagged = similarity.flag_duplicates(probes, h, probe_id="doc_id", hist_id="match_id", hist_vec_col="hvec")
+    flagged = similarity.flag_duplicates(probes, h, probe_id="doc_id", hist_id="match_id", hist_vec_col="hvec",
+                                           dim=DIM)
     return flagged.select(F.col("doc_id").alias("probe_id"), "is_duplicate", _r6(F.col("best_score")).alias("best_score"),
                           "best_match_id")
 
@@ -218,7 +226,8 @@ def q_flag_duplicates(spark, sf_dir):
 def q_semantic_anti_join(spark, sf_dir):
     history, probes = embedded_docs(spark, sf_dir)
     h = history.select(F.col("doc_id").alias("match_id"), F.col("vector").alias("hvec"))
-    survivors, _ = similarity.semantic_anti_join(probes, h, probe_id="doc_id", hist_id="match_id", hist_vec_col="hvec")
+    survivors, _ = similarity.semantic_anti_join(probes, h, probe_id="doc_id", hist_id="match_id", hist_vec_col="hvec",
+                                                 dim=DIM)
     return survivors.select("doc_id")
 
 
@@ -227,7 +236,7 @@ def q_semantic_anti_join_batch(spark, sf_dir):
     h = history.select(F.col("doc_id").alias("match_id"), F.col("vector").alias("hvec"))
     survivors, _ = similarity.semantic_anti_join(
         probes.withColumn("ord", F.col("doc_id")), h, probe_id="doc_id", hist_id="match_id", hist_vec_col="hvec",
-        scope="history+batch", order_col="ord")
+        scope="history+batch", order_col="ord", dim=DIM)
     return survivors.select("doc_id")
 
 
@@ -417,6 +426,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = stores.latest_vectors(
         stores.overview_vectors(seed).withColumn("version", F.lit(0).cast("long")).withColumn(
             "batch_id", F.lit(0).cast("long")))
-    flagged = pipeline.flag_batch(events, history)
+    flagged = pipeline.flag_batch(events, history, dim=DIM)
     return flagged.filter(~F.col("is_duplicate")).select(
         "event_id", "title", _r6(F.col("best_score")).alias("best_score"), "best_match_id", "ord")

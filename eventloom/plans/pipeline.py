@@ -70,18 +70,19 @@ def flag_batch(
     history: DataFrame,
     threshold: float = SIMILARITY_THRESHOLD,
     scope: str = "history",
+    dim: int | None = None,
 ) -> DataFrame:
     """Events with ``is_duplicate``, ``best_score``, ``best_match_id``."""
     flagged = flag_duplicates(
         events, history.select(F.col("id").alias("match_id"), F.col("vector").alias("hvec")),
-        threshold, DEDUP_TOP_K, probe_id="ord", hist_id="match_id", vec_col="vector", hist_vec_col="hvec",
+        threshold, DEDUP_TOP_K, probe_id="ord", hist_id="match_id", vec_col="vector", hist_vec_col="hvec", dim=dim,
     )
     if scope == "history+batch":
         batch = events.select(F.col("ord").alias("b_ord"), F.col("vector").alias("bvec"))
         within = flag_duplicates(
             events.select("ord", "vector"), batch, threshold, DEDUP_TOP_K,
             probe_id="ord", hist_id="b_ord", vec_col="vector", hist_vec_col="bvec",
-            probe_ord="ord", hist_ord="b_ord",
+            probe_ord="ord", hist_ord="b_ord", dim=dim,
         ).select("ord", F.col("is_duplicate").alias("_in_batch"))
         flagged = flagged.join(within, "ord", "left").withColumn(
             "is_duplicate", F.col("is_duplicate") | F.coalesce(F.col("_in_batch"), F.lit(False))
@@ -121,7 +122,7 @@ def run_pipeline(
     """
     events = event_batch(responses, run_ts, dim, embedder)["events"].persist(StorageLevel.MEMORY_AND_DISK)
     history = latest_vectors(read_vector_log(spark, store_path), DEDUP_NAMESPACE, before_batch=batch_id)
-    flagged = flag_batch(events, history, threshold, scope).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = flag_batch(events, history, threshold, scope, dim=None if embedder else dim).persist(StorageLevel.MEMORY_AND_DISK)
     stats_row = pipeline_stats(flagged).first()
     stats = spark.createDataFrame([stats_row.asDict()], "total long, duplicates long, stored long")
     try:

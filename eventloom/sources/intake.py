@@ -47,7 +47,9 @@ def split_by_status(df: DataFrame, mode: str = "quarantine") -> tuple[DataFrame,
         guarded = df.withColumn(
             "status",
             F.when(is_ok, F.col("status")).otherwise(
-                F.raise_error(F.concat(F.lit("response error status: "), F.col("status").cast("string")))
+                F.raise_error(F.concat(
+                    F.lit("response error status: "), F.coalesce(F.col("status").cast("string"), F.lit("null"))
+                ))
             ).cast("int"),
         )
         return guarded, df.limit(0)

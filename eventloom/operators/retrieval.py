@@ -36,6 +36,8 @@ QUERY_MAX_CHARS = 250
 BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DECIMALS = 6
+BROADCAST_BYTES = 64 << 20  # query-term side of one batch
+QUERY_TERM_ROW_BYTES = 96  # event id + term + idf, generous
 
 
 def build_queries(events: DataFrame, supplied: DataFrame | None = None) -> DataFrame:
@@ -57,27 +59,33 @@ def build_queries(events: DataFrame, supplied: DataFrame | None = None) -> DataF
 
 
 def build_index(corpus: DataFrame, id_col: str = "page_id", text_col: str = "content") -> tuple[DataFrame, dict]:
-    """BM25 postings ``(term, page_id, tf, dl, idf)`` and corpus statistics.
+    """BM25 postings ``(page_id, term, tf, dl)``, hash-partitioned by page, and
+    the corpus statistics (page count, average length: one global aggregate).
 
-    The two statistics (page count, average length) are one global
-    aggregate, read as two scalars.
+    Partitioning by page keeps a page's postings together, so scoring against
+    broadcast query terms aggregates per (event, page) without a shuffle. An
+    index reused across batches would be written once, bucketed by page_id.
     """
     toks = corpus.select(F.col(id_col).alias("page_id"), words(F.lower(F.col(text_col))).alias("toks"))
     sized = toks.select("page_id", F.size("toks").alias("dl"), "toks")
     stats_row = sized.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total")).first()
     n_pages = int(stats_row["n"] or 0)
     avgdl = float(stats_row["total"] or 0) / n_pages if n_pages else 0.0
-    tf = (
-        sized.select("page_id", "dl", F.explode("toks").alias("term"))
-        .groupBy("term", "page_id", "dl")
+    postings = (
+        sized.repartition("page_id")
+        .select("page_id", "dl", F.explode("toks").alias("term"))
+        .groupBy("page_id", "term", "dl")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    df_t = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (F.lit(n_pages) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    postings = tf.join(df_t.select("term", idf.alias("idf")), "term")
     return postings, {"n_pages": n_pages, "avgdl": avgdl}
 
 
+def _fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
+    limit = BROADCAST_BYTES
+    n = df.count()
+    return n * row_bytes <= limit
+
+
 def retrieve_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -91,6 +99,14 @@ def retrieve_topk(
     Tokens are lower-cased whitespace words; a query's distinct words are
     scored. Ranked by ``round(score, 6) DESC, page_id ASC``. With ``ts_col``
     and ``run_date`` only pages of that day window are searched.
+
+    Plan: the query terms of one batch are checkpointed (shared storage, so
+    lineage is cut and an executor loss does not recompute the batch) and
+    counted. Below ``BROADCAST_BYTES`` they are broadcast, and the postings
+    stream past them in page partitions: scoring, the (event, page) sum and a
+    partial top-k all run inside each partition, and only <= k rows per event
+    and partition are shuffled. Above the limit the join shuffles on term.
+    Document frequencies are only computed for terms that occur in queries.
     """
     if ts_col is not None and run_date is not None:
         corpus = day_window(corpus, ts_col, run_date, days)
@@ -100,15 +116,17 @@ def retrieve_topk(
     avgdl = stats["avgdl"] or 1.0
     q_terms = queries.select(
         "event_id", F.explode(F.array_distinct(words(F.lower(F.col("query"))))).alias("term")
-    )
+    ).checkpoint(eager=True)
+    vocab = q_terms.select("term").distinct()
+    df_t = postings.join(vocab, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(F.lit(1.0) + (F.lit(stats["n_pages"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighted = q_terms.join(df_t.select("term", idf.alias("idf")), "term")
+    if _fits_broadcast(q_terms, QUERY_TERM_ROW_BYTES):
+        weighted = F.broadcast(weighted)
     tf = F.col("tf")
     norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.lit(avgdl))
     contrib = F.col("idf") * tf * F.lit(BM25_K1 + 1) / (tf + norm)
-    scores = (
-        q_terms.join(postings, "term")
-        .groupBy("event_id", "page_id")
-        .agg(F.sum(contrib).alias("score"))
-    )
+    scores = postings.join(weighted, "term").groupBy("page_id", "event_id").agg(F.sum(contrib).alias("score"))
     w = Window.partitionBy("event_id").orderBy(F.round("score", SCORE_DECIMALS).desc(), F.col("page_id").asc())
     top = scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     pages = corpus.select("page_id", "url", "content")

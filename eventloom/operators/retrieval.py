@@ -17,6 +17,9 @@ once and reused by many query batches.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,16 +62,26 @@ def build_queries(events: DataFrame, supplied: DataFrame | None = None) -> DataF
     return out.withColumn("query_too_long", F.length("query") > QUERY_MAX_CHARS)
 
 
-def build_index(corpus: DataFrame, id_col: str = "page_id", text_col: str = "content") -> tuple[DataFrame, dict]:
-    """BM25 postings ``(page_id, term, tf, dl)``, hash-partitioned by page, and
-    the corpus statistics (page count, average length).
+@dataclass
+class BM25Index:
+    """Postings ``(page_id, term, tf, dl)`` hash-partitioned by page, plus corpus statistics."""
+
+    postings: DataFrame
+    n_pages: int
+    avgdl: float
+
+    def release(self) -> None:
+        self.postings.unpersist()
+
+
+def build_index(corpus: DataFrame, id_col: str = "page_id", text_col: str = "content") -> BM25Index:
+    """Tokenise the corpus once into page-partitioned postings.
 
     Partitioning by page keeps a page's postings together, so scoring against
     broadcast query terms aggregates per (event, page) without a shuffle. The
-    postings are checkpointed to shared storage: the corpus is tokenised once,
-    and the statistics and the scoring read the written index (whose
-    partitioning is kept). A long-lived index would be written once, bucketed
-    by page_id, and reused by every batch.
+    postings are persisted (memory and disk; recomputed from lineage if an
+    executor is lost), and the cached plan keeps its partitioning. Build the
+    index once per corpus and pass it to every batch; ``release()`` frees it.
     """
     pages = corpus.select(F.col(id_col).alias("page_id"), F.col(text_col).alias("_text"))
     toks = pages.select("page_id", words(F.lower(F.col("_text"))).alias("toks"))
@@ -77,12 +90,12 @@ def build_index(corpus: DataFrame, id_col: str = "page_id", text_col: str = "con
         .select("page_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
         .groupBy("page_id", "term", "dl")
         .agg(F.count(F.lit(1)).alias("tf"))
-        .checkpoint(eager=True)
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     n_pages = pages.select("page_id").count()  # pages without words count too
     total = postings.agg(F.sum("tf").alias("t")).first()["t"] or 0
     avgdl = float(total) / n_pages if n_pages else 0.0
-    return postings, {"n_pages": n_pages, "avgdl": avgdl}
+    return BM25Index(postings, n_pages, avgdl)
 
 
 def _fits_broadcast(rows: int, row_bytes: int) -> bool:
@@ -96,6 +109,7 @@ def retrieve_topk(
     ts_col: str | None = None,
     run_date=None,
     days: int = SEARCH_DAYS,
+    index: BM25Index | None = None,
 ) -> DataFrame:
     """``(event_id, rank, page_id, url, content, score)``: best <= k pages per query.
 
@@ -103,6 +117,9 @@ def retrieve_topk(
     scored. Ranked by ``round(score, 6) DESC, page_id ASC``. With ``ts_col``
     and ``run_date`` only pages of that day window are searched.
 
+    ``index`` (from ``build_index``) lets many batches share one tokenised
+    corpus; without it the index is built here and stays cached.
+
     Plan: the query terms of one batch are checkpointed (shared storage, so
     lineage is cut and an executor loss does not recompute the batch) and
     counted. Below ``BROADCAST_BYTES`` they are broadcast, and the postings
@@ -113,16 +130,18 @@ def retrieve_topk(
     """
     if ts_col is not None and run_date is not None:
         corpus = day_window(corpus, ts_col, run_date, days)
-    postings, stats = build_index(corpus)
-    if not stats["n_pages"]:
+        index = None  # an index of the whole corpus does not apply to one day
+    if index is None:
+        index = build_index(corpus)
+    if not index.n_pages:
         return _empty_results(queries, corpus)
-    avgdl = stats["avgdl"] or 1.0
+    postings, avgdl = index.postings, index.avgdl or 1.0
     q_terms = queries.select(
         "event_id", F.explode(F.array_distinct(words(F.lower(F.col("query"))))).alias("term")
     ).checkpoint(eager=True)
     vocab = q_terms.select("term").distinct()
     df_t = postings.join(vocab, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (F.lit(stats["n_pages"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(F.lit(1.0) + (F.lit(index.n_pages) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = q_terms.join(df_t.select("term", idf.alias("idf")), "term")
     n_terms = q_terms.count()  # reads the checkpoint
     small_batch = _fits_broadcast(n_terms, QUERY_TERM_ROW_BYTES)

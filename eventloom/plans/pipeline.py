@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators.extract import build_events, contract_split, extract_events
-from eventloom.operators.retrieval import build_queries, enrich_events, retrieve_topk
+from eventloom.operators.retrieval import BM25Index, build_index, build_queries, enrich_events, retrieve_topk
 from eventloom.operators.similarity import SIMILARITY_THRESHOLD, DEDUP_TOP_K, flag_duplicates
 from eventloom.operators.stores import (
     DEDUP_NAMESPACE,
@@ -115,10 +115,13 @@ def run_pipeline(
     embedder=None,
     threshold: float = SIMILARITY_THRESHOLD,
     scope: str = "history",
+    index: BM25Index | None = None,
 ) -> PipelineRun:
     """Run one batch end to end; returns the statistics of the run.
 
     Nothing is written when no event survives (the reference's early exit).
+    ``index`` (``build_index(corpus)``) can be shared by many batches; if not
+    given it is built for this batch and released at the end.
     """
     events = event_batch(responses, run_ts, dim, embedder)["events"].persist(StorageLevel.MEMORY_AND_DISK)
     history = latest_vectors(read_vector_log(spark, store_path), DEDUP_NAMESPACE, before_batch=batch_id)
@@ -128,8 +131,10 @@ def run_pipeline(
     try:
         if stats_row["stored"]:
             survivors = flagged.filter(~F.col("is_duplicate")).drop("is_duplicate", "best_score", "best_match_id")
+            own_index = index is None
+            index = build_index(corpus) if own_index else index
             queries = build_queries(survivors, supplied_queries)
-            results = retrieve_topk(queries, corpus)
+            results = retrieve_topk(queries, corpus, index=index)
             enriched = enrich_events(survivors, results, articles).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 records = overview_vectors(enriched).unionByName(chunk_vectors(enriched, dim=dim, embedder=embedder))
@@ -137,6 +142,8 @@ def run_pipeline(
                 append_articles(enriched, articles_path, batch_id)
             finally:
                 enriched.unpersist()
+                if own_index:
+                    index.release()
     finally:
         flagged.unpersist()
         events.unpersist()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eventloom.operators.retrieval import build_index
 from eventloom.plans.pipeline import run_pipeline
 from eventloom.sources.intake import read_responses
 
@@ -34,8 +35,10 @@ def stream_pipeline(
     """Start the stream; ``batch_id = epoch_id + batch_offset``.
 
     ``run_ts=None`` stamps each batch with its latest answer time, so a
-    replayed epoch gets the same stamp.
+    replayed epoch gets the same stamp. The corpus is static for the stream,
+    so its BM25 index is built once and shared by every micro-batch.
     """
+    index = pipeline_kwargs.pop("index", None) or build_index(corpus)
     source = read_responses(spark, responses_path, streaming=True)
     if files_per_trigger:
         source = (
@@ -51,7 +54,7 @@ def stream_pipeline(
             stamp = latest or "1970-01-01 00:00:00"
         run_pipeline(
             batch.sparkSession, batch, corpus, store_path, articles_path,
-            batch_id=epoch_id + batch_offset, run_ts=stamp, **pipeline_kwargs,
+            batch_id=epoch_id + batch_offset, run_ts=stamp, index=index, **pipeline_kwargs,
         )
 
     writer = source.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_path)

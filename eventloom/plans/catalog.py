@@ -243,7 +243,8 @@ def q_semantic_anti_join_batch(spark, sf_dir):
 def q_similarity_join_lsh(spark, sf_dir):
     history, probes = embedded_docs(spark, sf_dir)
     h = history.select(F.col("doc_id").alias("match_id"), F.col("vector").alias("hvec"))
-    pairs = similarity.similarity_join_lsh(probes, h, probe_id="doc_id", hist_id="match_id", hist_vec_col="hvec")
+    pairs = similarity.similarity_join_lsh(probes, h, probe_id="doc_id", hist_id="match_id", hist_vec_col="hvec",
+                                           dim=DIM)
     return pairs.select(F.col("doc_id").alias("probe_id"), "match_id", _r6(F.col("score")).alias("score"))
 
 

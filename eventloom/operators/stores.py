@@ -170,8 +170,9 @@ def latest_vectors(
 def compact_vectors(spark: SparkSession, src: str, dst: str, partitions: int | None = None) -> DataFrame:
     """Rewrite the latest-wins view of ``src`` into a fresh log at ``dst``.
 
-    Hash-partitioned by id so each output file holds a disjoint id range; the
-    result is one batch (``batch_id = max version``) with the same view.
+    Hash-partitioned by id so each output file holds a disjoint id range. Each
+    surviving row keeps its version (written as its ``batch_id``), so the
+    latest-wins view of ``dst`` equals that of ``src``.
     """
     view = latest_vectors(read_vector_log(spark, src))
     n = partitions or spark.sparkContext.defaultParallelism

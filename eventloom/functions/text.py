@@ -41,21 +41,24 @@ def to_java(pattern: str, multiline: bool = False) -> str:
     return ("(?md)" + out) if multiline else out
 
 
+# Python's whitespace, by its own rule (str.isspace; nothing above U+3000 is space).
+WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def trim_ws(c: Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace.
+
+    ``btrim`` with a character set touches only the ends, not the whole text.
+    """
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def _drop_prefix(c: Column, prefix: str) -> Column:
-    return F.regexp_replace(c, r"\A" + _quote(prefix), "")
+    return F.when(c.startswith(prefix), F.substr(c, F.lit(len(prefix) + 1))).otherwise(c)
 
 
 def _drop_suffix(c: Column, suffix: str) -> Column:
-    return F.regexp_replace(c, _quote(suffix) + r"\z", "")
-
-
-def _quote(literal: str) -> str:
-    return r"\Q" + literal + r"\E"
+    return F.when(c.endswith(suffix), F.substr(c, F.lit(1), F.length(c) - len(suffix))).otherwise(c)
 
 
 def strip_reasoning(c: Column) -> Column:

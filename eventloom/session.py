@@ -45,6 +45,17 @@ def build_session(
     return spark
 
 
+def ensure_engine_conf(spark: SparkSession) -> None:
+    """Session settings results depend on, applied to a session made elsewhere.
+
+    Times are stamped and formatted in UTC; sinks overwrite only the
+    partitions a batch writes (idempotent retries).
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

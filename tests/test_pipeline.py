@@ -81,3 +81,16 @@ def test_stream_equals_batch(spark, tmp_dir):
     run(spark, tmp_dir + "/batch", [[A], [B]], 1)
     batch = sorted((r.title, r.story) for r in read_articles(spark, tmp_dir + "/batch/art").collect())
     assert streamed == batch
+
+
+def test_stream_batches_see_earlier_batches_as_history(spark, tmp_dir):
+    inbox = tmp_dir + "/inbox2"
+    # One file per answer set, so one file per trigger is one answer set per epoch.
+    answers(spark, [[A]], 0).coalesce(1).write.parquet(inbox + "/f1")
+    answers(spark, [[A, B]], 1).coalesce(1).write.parquet(inbox + "/f2")
+    q = stream_pipeline(spark, inbox + "/*", corpus(spark), tmp_dir + "/v2", tmp_dir + "/a2",
+                        tmp_dir + "/ckpt2", run_ts=RUN_TS, files_per_trigger=1)
+    q.awaitTermination()
+    art = read_articles(spark, tmp_dir + "/a2").collect()
+    # Epoch 1 stores A; epoch 2 finds A in the history written by epoch 1 and stores only B.
+    assert sorted((r.batch_id, r.title) for r in art) == [(1, "Storm hits coast"), (2, "Markets rally")]

@@ -54,6 +54,26 @@ def ensure_engine_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eventloom`` importable in every Python worker, once per context.
+
+    Workers unpickle UDFs by module name. The package is zipped into the
+    shared checkpoint folder and added with ``addPyFile``, the same way code
+    reaches executors on a cluster.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    if getattr(sc, "_eventloom_shipped", False):
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "eventloom-code")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(package_dir), "eventloom")
+    sc.addPyFile(archive)
+    sc._eventloom_shipped = True
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

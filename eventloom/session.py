@@ -60,9 +60,9 @@ def ensure_engine_conf(spark: SparkSession) -> None:
 def ship_package(spark: SparkSession) -> None:
     """Make ``eventloom`` importable in every Python worker, once per context.
 
-    Workers unpickle UDFs by module name. The package is zipped into the
-    shared checkpoint folder and added with ``addPyFile``, the same way code
-    reaches executors on a cluster.
+    Workers unpickle UDFs by module name. The package is zipped into a
+    temporary file of the driver, and ``addPyFile`` has Spark's file server
+    hand it to the executors; no shared folder takes part.
     """
     import shutil
 
@@ -70,7 +70,7 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(sc, "_eventloom_shipped", False):
         return
     package_dir = os.path.dirname(os.path.abspath(__file__))
-    base = scratch_path(spark, "eventloom-code")
+    base = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="eventloom-code-")), "eventloom_code")
     archive = shutil.make_archive(base, "zip", os.path.dirname(package_dir), "eventloom")
     sc.addPyFile(archive)
     sc._eventloom_shipped = True
@@ -79,12 +79,15 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names that folder; it is only invented here when the session
-    has none (local runs and tests).
+    The cluster names that folder. One is made up only where the session has
+    none and the master is local (tests, one machine); anywhere else a folder
+    of the driver's own would not be seen by the executors, so that raises.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="eventloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -94,5 +97,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for written tables."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

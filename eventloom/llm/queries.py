@@ -8,6 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.common import prepare, table
 from eventloom.llm.exact_dedup import dedup_decisions
+from eventloom.llm.mixing import mix
+from eventloom.llm.packing import pack_documents
+from eventloom.llm.token_counts import token_counts
+
+#: Vocabulary files of public tokenizers; they stay where they are installed.
+WORD_BPE = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_VOCABULARY))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "times")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +38,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_decisions(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op4_mixing": op4_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {

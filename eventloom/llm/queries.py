@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventloom.llm.common import prepare, table
 from eventloom.llm.exact_dedup import dedup_decisions
 from eventloom.llm.mixing import mix
+from eventloom.llm.ngram_join import join_components
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.token_counts import token_counts
 
@@ -38,6 +39,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_decisions(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return join_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_mixing": op4_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
 }
 

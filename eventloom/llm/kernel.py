@@ -117,6 +117,11 @@ def words(data: np.ndarray, bounds: np.ndarray) -> Words:
     return Words(start, np.flatnonzero(closes) + 1, np.searchsorted(start, bounds))
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    """Factors that make prefix-hash differences independent of their place."""
+    return _power_table(_BASE_INVERSE, n)
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """H with H[j] - H[i] = sum of code(byte) * BASE**position over [i, j), modulo 2**64."""
     out = np.empty(len(data) + 1, dtype=np.uint64)

@@ -11,6 +11,7 @@ from eventloom.llm.exact_dedup import dedup_decisions
 from eventloom.llm.mixing import mix
 from eventloom.llm.ngram_join import join_components
 from eventloom.llm.packing import pack_documents
+from eventloom.llm.suffix_dedup import remove_repeats
 from eventloom.llm.token_counts import token_counts
 
 #: Vocabulary files of public tokenizers; they stay where they are installed.
@@ -24,6 +25,11 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_VOCABULARY))
@@ -50,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
     "op4_mixing": op4_mixing,
     "op8_exact_dedup": op8_exact_dedup,

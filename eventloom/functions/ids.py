@@ -16,3 +16,9 @@ def event_id(title: Column) -> Column:
 
 def chunk_id(event: Column, index: Column) -> Column:
     return F.concat(event, F.lit(CHUNK_INFIX), index.cast("string"))
+
+
+def event_key(response_id: Column, event_idx: Column) -> Column:
+    """Text that sorts as ``(response_id, event_idx)`` does, for any 64-bit id and 32-bit index."""
+    shifted = response_id.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    return F.concat(F.lpad(shifted.cast("string"), 20, "0"), F.lit("-"), F.lpad(event_idx.cast("string"), 10, "0"))

@@ -35,10 +35,11 @@ EMPHASIS_CHARS = "*_"
 WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
-def to_java(pattern: str, multiline: bool = False) -> str:
+def to_java(pattern: str, multiline: bool = False, flags: str = "") -> str:
     """Rewrite a Python-flavoured pattern so Java matches what Python matches."""
     out = pattern.replace(r"\s", WS).replace(r"\d", r"\p{Nd}")
-    return ("(?md)" + out) if multiline else out
+    flags += "md" * multiline
+    return f"(?{flags}){out}" if flags else out
 
 
 # Python's whitespace, by its own rule (str.isspace; nothing above U+3000 is space).

@@ -1,16 +1,16 @@
 """Structured extraction: answers -> one row per event (operators 9-12).
 
-Decoding is tolerant JSON: Spark's ``from_json`` differs from Python's decoder
-(NaN/Infinity, duplicate keys, prefix recovery), so the decode step is an
-Arrow-batched ``mapInPandas``. It is a narrow, per-partition step: no shuffle,
-one pass over each answer, linear in its length. Everything after it
-(contract, report, building events) is native Column work.
+Columns find the texts in which an answer's JSON may lie: the unwrapped answer,
+its fenced block, what follows its first bracket. Spark's ``from_json`` differs
+from the JSON rules needed (NaN/Infinity, duplicate keys, longest prefix), so
+reading the first candidate that parses is an Arrow-batched ``mapInPandas``. Both
+are narrow: no shuffle, linear in the answer's length. Contract, report and
+building events are native Column work too.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,14 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.ids import event_id
-from eventloom.functions.text import clean_text
+from eventloom.functions.text import clean_text, strip_reasoning, to_java
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference behaviour)
 # ---------------------------------------------------------------------------
-THINK_CLOSE = "</think>"
-FENCE_JSON = "```json"
-FENCE = "```"
 FENCED_BLOCK = r"```(?:json)?\s*([\[{].*?[\]}])\s*```"  # DOTALL | IGNORECASE
 EVENTS_KEY = "events"
 REQUESTED_EVENTS = 5
@@ -45,7 +42,6 @@ DECODED_SCHEMA = T.StructType(
     ]
 )
 
-_FENCED = re.compile(FENCED_BLOCK, re.DOTALL | re.IGNORECASE)
 _DECODER = json.JSONDecoder()
 
 
@@ -53,86 +49,75 @@ class NoJson(ValueError):
     pass
 
 
-def _unwrap(text: str) -> str:
-    """Python statement of ``strip_reasoning`` (same rule as the Column version)."""
-    cut = text.rfind(THINK_CLOSE)
-    body = (text if cut < 0 else text[cut + len(THINK_CLOSE):]).strip()
-    for prefix in (FENCE_JSON, FENCE):
-        if body.startswith(prefix):
-            body = body[len(prefix):].strip()
-    if body.endswith(FENCE):
-        body = body[: -len(FENCE)].strip()
-    return body
+def answer_candidates(responses: DataFrame) -> DataFrame:
+    """``(response_id, whole, fenced, tail)``: the texts in which an answer's JSON is looked for.
 
-
-def decode_answer(text: str | None):
-    """Find the JSON payload of one answer.
-
-    Order: whole text; else the first fenced block; else (searching inside
-    that block if it did not parse) the first JSON value starting at the
-    first ``{`` or ``[``. ``raw_decode`` returns exactly the longest parsing
-    prefix, in one linear pass.
+    ``whole`` is the answer unwrapped twice, ``fenced`` its first fenced block (NULL
+    without one), ``tail`` what follows the first bracket of either. Each step is
+    a projection of its own, as it refers to the last one several times.
     """
-    if text is None:
-        raise NoJson("null content")
-    # The reference unwraps twice (wrapper and callee).
-    body = _unwrap(_unwrap(text))
-    try:
-        return json.loads(body)
-    except (ValueError, RecursionError):
-        pass
-    block = _FENCED.search(body)
-    if block:
-        snippet = block.group(1).strip()
-        try:
-            return json.loads(snippet)
-        except (ValueError, RecursionError):
-            body = snippet
-    starts = [i for i in (body.find("{"), body.find("[")) if i >= 0]
-    if not starts:
-        raise NoJson("no JSON start")
+    once = responses.select("response_id", strip_reasoning(F.col("content")).alias("once"))
+    twice = once.select("response_id", strip_reasoning(F.col("once")).alias("whole"))
+    block = twice.select("response_id", "whole", F.regexp_extract("whole", to_java(FENCED_BLOCK, flags="si"), 1).alias("block"))
+    text = block.select("response_id", "whole", F.when(F.col("block") != "", F.col("block")).alias("fenced"))
+    at = text.withColumn("text", F.coalesce("fenced", "whole")).withColumn("at", F.regexp_instr("text", F.lit(r"[\[{]")))
+    return at.select("response_id", "whole", "fenced", F.when(F.col("at") > 0, F.substr("text", F.col("at"))).alias("tail"))
+
+
+def decode_first(whole: str | None, fenced: str | None, tail: str | None):
+    """The value of the first candidate that is JSON; of the tail, its longest prefix that is."""
+    for read, text in ((json.loads, whole), (json.loads, fenced), (lambda t: _DECODER.raw_decode(t)[0], tail)):
+        if text is not None:
+            try:
+                return read(text)
+            except (ValueError, RecursionError):
+                continue
+    raise NoJson("no candidate holds JSON")
+
+
+def _storable(value: str | None) -> bool:
+    """Whether a string has an encoding; a lone surrogate (a cut emoji) has none."""
     try:
-        value, _ = _DECODER.raw_decode(body, min(starts))
-    except (ValueError, RecursionError) as exc:
-        raise NoJson(str(exc)) from None
-    return value
+        return value is None or value.encode() is not None
+    except UnicodeEncodeError:
+        return False
 
 
-def _event_rows(response_id: int, text: str | None) -> list[tuple]:
+def _event_rows(response_id: int, candidates: tuple) -> list[tuple]:
     try:
-        payload = decode_answer(text)
+        payload = decode_first(*candidates)
     except NoJson:
         return [(response_id, None, None, None, "no_json")]
-    if isinstance(payload, list):
-        items = payload
-    elif isinstance(payload, dict):
-        items = payload.get(EVENTS_KEY, [])
-    else:
+    if not isinstance(payload, (list, dict)):
         return [(response_id, None, None, None, "not_object_or_list")]
-    if isinstance(items, (str, dict)) and not items:
-        return []  # iterating an empty string/object yields no events
+    items = payload if isinstance(payload, list) else payload.get(EVENTS_KEY, [])
+    if items in ("", {}):
+        return []  # an empty string or object holds no events
     if not isinstance(items, list):
         return [(response_id, None, None, None, "events_not_array")]
     rows = []
     for idx, item in enumerate(items):
+        error, fields = None, (None, None)
         if not isinstance(item, dict):
-            rows.append((response_id, idx, None, None, "item_not_object"))
-            continue
-        title, summary = item.get("title"), item.get("summary")
-        bad = (title is not None and not isinstance(title, str)) or (
-            summary is not None and not isinstance(summary, str)
-        )
-        rows.append((response_id, idx, title if not bad else None, summary if not bad else None,
-                     "field_not_string" if bad else None))
+            error = "item_not_object"
+        else:
+            fields = (item.get("title"), item.get("summary"))
+            if not all(isinstance(f, (str, type(None))) for f in fields):
+                error = "field_not_string"
+            elif not all(map(_storable, fields)):
+                error = "bad_unicode"
+        rows.append((response_id, idx, *(fields if error is None else (None, None)), error))
     return rows
 
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = [f.name for f in DECODED_SCHEMA.fields]
     for pdf in batches:
+        texts = pdf[["whole", "fenced", "tail"]].astype(object)
+        texts = texts.where(texts.notna(), None)
         rows: list[tuple] = []
-        for rid, text in zip(pdf["response_id"].tolist(), pdf["content"].tolist()):
-            rows.extend(_event_rows(rid, text))
+        for rid, candidates in zip(pdf["response_id"].tolist(), texts.itertuples(index=False, name=None)):
+            rows.extend(_event_rows(rid, candidates))
         out = pd.DataFrame.from_records(rows, columns=cols)
         out["event_idx"] = out["event_idx"].astype("Int32")
         out["response_id"] = out["response_id"].astype("Int64")
@@ -141,22 +126,33 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def decode_responses(responses: DataFrame) -> DataFrame:
     """One row per event item, or one error row per undecodable answer."""
-    return responses.select("response_id", "content").mapInPandas(_decode_batches, DECODED_SCHEMA)
+    return answer_candidates(responses).mapInPandas(_decode_batches, DECODED_SCHEMA)
+
+
+def split_decoded(decoded: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+    """``(events, quarantine)`` of decoded rows; ``failfast`` aborts on the first bad one."""
+    if mode == "failfast":
+        title = F.when(F.col("error").isNull(), F.col("title")).otherwise(
+            F.raise_error(F.concat(F.lit("undecodable answer: "), F.col("error"))).cast("string"))
+        return decoded.withColumn("title", title).drop("error"), _quarantine(decoded.limit(0))
+    if mode != "quarantine":
+        raise ValueError(f"unknown mode {mode!r}")
+    return decoded.filter(F.col("error").isNull()).drop("error"), _quarantine(decoded.filter(F.col("error").isNotNull()))
 
 
-def extract_events(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _quarantine(decoded: DataFrame) -> DataFrame:
+    return decoded.select("response_id", "event_idx", F.col("error").alias("reason"))
+
+
+def extract_events(responses: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
     """``(events, quarantine)`` from answers already split by status.
 
     ``events``: response_id, event_idx, title, summary (NULL when the key is
     missing). ``quarantine``: response_id, event_idx (NULL for a whole
-    answer), reason.
+    answer), reason; a title or summary that cannot be stored as UTF-8 is
+    ``bad_unicode``. ``failfast`` aborts on the first such row instead.
     """
-    decoded = decode_responses(responses)
-    events = decoded.filter(F.col("error").isNull()).drop("error")
-    quarantine = decoded.filter(F.col("error").isNotNull()).select(
-        "response_id", "event_idx", F.col("error").alias("reason")
-    )
-    return events, quarantine
+    return split_decoded(decode_responses(responses), mode)
 
 
 def contract_reason() -> Column:

@@ -17,14 +17,18 @@ once and reused by many query batches.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.text import clean_text, trim_ws, words
 from eventloom.sources.intake import day_window
+from eventloom.sources.tables import staged
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference behaviour)
@@ -39,9 +43,8 @@ QUERY_MAX_CHARS = 250
 BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DECIMALS = 6
-BROADCAST_BYTES = 64 << 20  # query-term side of one batch
-QUERY_TERM_ROW_BYTES = 96  # event id + term + idf, generous
-RESULT_ROW_BYTES = 64  # event id + page id + rank + score
+BROADCAST_BYTES = 64 << 20  # measured bytes of the query-term side of one batch
+ROW_OVERHEAD = 48  # per row of a broadcast table, on top of its strings
 
 
 def build_queries(events: DataFrame, supplied: DataFrame | None = None) -> DataFrame:
@@ -77,29 +80,39 @@ class BM25Index:
 def build_index(corpus: DataFrame, id_col: str = "page_id", text_col: str = "content") -> BM25Index:
     """Tokenise the corpus once into page-partitioned postings.
 
-    Partitioning by page keeps a page's postings together, so scoring against
-    broadcast query terms aggregates per (event, page) without a shuffle. The
-    postings are persisted (memory and disk; recomputed from lineage if an
-    executor is lost), and the cached plan keeps its partitioning. Build the
-    index once per corpus and pass it to every batch; ``release()`` frees it.
+    Terms are counted within the page's own row, so only ``(page_id, term, tf,
+    dl)`` is shuffled, never the text. Partitioning by page keeps a page's
+    postings together, so scoring against broadcast query terms aggregates per
+    (event, page) without a shuffle. The postings are persisted (memory and
+    disk; recomputed from lineage if an executor is lost). Build the index once
+    per corpus and pass it to every batch; ``release()`` frees it.
     """
-    pages = corpus.select(F.col(id_col).alias("page_id"), F.col(text_col).alias("_text"))
-    toks = pages.select("page_id", words(F.lower(F.col("_text"))).alias("toks"))
+    pages = corpus.select(F.col(id_col).alias("page_id"), words(F.lower(F.col(text_col))).alias("toks"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for page, toks in zip(pdf["page_id"].tolist(), pdf["toks"]):
+                toks = [] if toks is None else list(toks)
+                rows += [(page, len(toks), term, tf) for term, tf in Counter(toks).items()]
+            yield pd.DataFrame.from_records(rows, columns=["page_id", "dl", "term", "tf"])
+
+    kind = corpus.schema[id_col].dataType.simpleString()
     postings = (
-        toks.repartition("page_id")
-        .select("page_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
-        .groupBy("page_id", "term", "dl")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        pages.mapInPandas(count, f"page_id {kind}, dl int, term string, tf long")
+        .repartition("page_id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    n_pages = pages.select("page_id").count()  # pages without words count too
+    n_pages = corpus.select(id_col).count()  # pages without words count too
     total = postings.agg(F.sum("tf").alias("t")).first()["t"] or 0
     avgdl = float(total) / n_pages if n_pages else 0.0
     return BM25Index(postings, n_pages, avgdl)
 
 
-def _fits_broadcast(rows: int, row_bytes: int) -> bool:
-    return rows * row_bytes <= BROADCAST_BYTES
+def _measured_bytes(table: DataFrame) -> int:
+    """Bytes of a written table's rows: its strings as they are, plus a fixed part per row."""
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields if f.dataType.simpleString() == "string"]
+    return table.agg(F.sum(sum(strings, F.lit(ROW_OVERHEAD))).alias("b")).first()["b"] or 0
 
 
 def retrieve_topk(
@@ -110,6 +123,7 @@ def retrieve_topk(
     run_date=None,
     days: int = SEARCH_DAYS,
     index: BM25Index | None = None,
+    strategy: str | None = None,
 ) -> DataFrame:
     """``(event_id, rank, page_id, url, content, score)``: best <= k pages per query.
 
@@ -118,49 +132,55 @@ def retrieve_topk(
     and ``run_date`` only pages of that day window are searched.
 
     ``index`` (from ``build_index``) lets many batches share one tokenised
-    corpus; without it the index is built here and stays cached.
-
-    Plan: the query terms of one batch are checkpointed (shared storage, so
-    lineage is cut and an executor loss does not recompute the batch) and
-    counted. Below ``BROADCAST_BYTES`` they are broadcast, and the postings
-    stream past them in page partitions: scoring, the (event, page) sum and a
-    partial top-k all run inside each partition, and only <= k rows per event
-    and partition are shuffled. Above the limit the join shuffles on term.
-    Document frequencies are only computed for terms that occur in queries.
+    corpus; without it one is built here and released before returning.
+
+    Plan: the batch's query terms are written to shared storage and measured.
+    ``strategy='broadcast'``, the choice up to ``BROADCAST_BYTES`` of them, streams
+    the postings past them in page partitions: scoring, the (event, page) sum and
+    a partial top-k all run inside each partition, and only <= k rows per event
+    and partition are shuffled. ``strategy='shuffle'`` joins on the term, where AQE
+    splits hot terms. Both give the same rows. Document frequencies are only
+    computed for terms that occur in queries. The winners (<= k per event) are
+    written too; the corpus is joined to them without a forced broadcast.
     """
+    if strategy not in (None, "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     if ts_col is not None and run_date is not None:
         corpus = day_window(corpus, ts_col, run_date, days)
         index = None  # an index of the whole corpus does not apply to one day
-    if index is None:
-        index = build_index(corpus)
-    if not index.n_pages:
-        return _empty_results(queries, corpus)
+    own_index = index is None
+    index = build_index(corpus) if own_index else index
+    try:
+        if not index.n_pages:
+            return _empty_results(queries, corpus)
+        top = _winners(queries, index, k, strategy)
+    finally:
+        if own_index:
+            index.release()
+    pages = corpus.select("page_id", "url", "content")
+    return top.join(pages, "page_id").select(
+        "event_id", F.col("rank").cast("int").alias("rank"), "page_id", "url", "content", "score"
+    )
+
+
+def _winners(queries: DataFrame, index: BM25Index, k: int, strategy: str | None) -> DataFrame:
+    """``(event_id, page_id, score, rank)`` of the best pages, written to shared storage."""
     postings, avgdl = index.postings, index.avgdl or 1.0
-    q_terms = queries.select(
-        "event_id", F.explode(F.array_distinct(words(F.lower(F.col("query"))))).alias("term")
-    ).checkpoint(eager=True)
+    q_terms = staged(
+        queries.select("event_id", F.explode(F.array_distinct(words(F.lower(F.col("query"))))).alias("term")), "query-terms"
+    )
     vocab = q_terms.select("term").distinct()
     df_t = postings.join(vocab, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(index.n_pages) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = q_terms.join(df_t.select("term", idf.alias("idf")), "term")
-    n_terms = q_terms.count()  # reads the checkpoint
-    small_batch = _fits_broadcast(n_terms, QUERY_TERM_ROW_BYTES)
-    if small_batch:
+    if strategy == "broadcast" or strategy is None and _measured_bytes(q_terms) <= BROADCAST_BYTES:
         weighted = F.broadcast(weighted)
     tf = F.col("tf")
     norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.lit(avgdl))
     contrib = F.col("idf") * tf * F.lit(BM25_K1 + 1) / (tf + norm)
     scores = postings.join(weighted, "term").groupBy("page_id", "event_id").agg(F.sum(contrib).alias("score"))
     w = Window.partitionBy("event_id").orderBy(F.round("score", SCORE_DECIMALS).desc(), F.col("page_id").asc())
-    top = scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    # Winners (<= k per event, at most k per query term row) are bounded by the
-    # batch: broadcast them and stream the corpus, instead of shuffling it.
-    if _fits_broadcast(n_terms * k, RESULT_ROW_BYTES):
-        top = F.broadcast(top)
-    pages = corpus.select("page_id", "url", "content")
-    return top.join(pages, "page_id").select(
-        "event_id", F.col("rank").cast("int").alias("rank"), "page_id", "url", "content", "score"
-    )
+    return staged(scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k), "search-winners")
 
 
 def _empty_results(queries: DataFrame, corpus: DataFrame) -> DataFrame:
@@ -178,11 +198,16 @@ def _present(c):
     return c.isNotNull() & (c != F.lit(""))
 
 
-def aggregate_results(results: DataFrame) -> DataFrame:
+def aggregate_results(results: DataFrame, max_chars: int | None = EXCERPT_MAX_CHARS) -> DataFrame:
     """Per event: ``sources`` (distinct URLs, first-seen order), ``excerpts``
     (non-empty snippets in rank order, not deduplicated, blank-line joined, first
-    8,000 characters) and ``n_results``. One bounded group per event (<= k rows).
+    ``max_chars`` characters, ``None`` for all) and ``n_results``. One bounded
+    group per event (<= k rows).
     """
+    joined = F.array_join(
+        F.transform(F.filter("r", lambda x: _present(x["content"])), lambda x: x["content"]), EXCERPT_SEPARATOR
+    )
+    excerpts = joined if max_chars is None else F.substring(joined, 1, max_chars)
     ordered = F.sort_array(F.collect_list(F.struct("rank", "url", "content")))
     return (
         results.groupBy("event_id")
@@ -193,14 +218,7 @@ def aggregate_results(results: DataFrame) -> DataFrame:
             F.array_distinct(
                 F.transform(F.filter("r", lambda x: _present(x["url"])), lambda x: x["url"])
             ).alias("sources"),
-            F.substring(
-                F.array_join(
-                    F.transform(F.filter("r", lambda x: _present(x["content"])), lambda x: x["content"]),
-                    EXCERPT_SEPARATOR,
-                ),
-                1,
-                EXCERPT_MAX_CHARS,
-            ).alias("excerpts"),
+            excerpts.alias("excerpts"),
         )
     )
 
@@ -209,11 +227,13 @@ def collect_sources(results: DataFrame) -> DataFrame:
     return aggregate_results(results).select("event_id", "sources")
 
 
-def collect_excerpts(results: DataFrame) -> DataFrame:
-    return aggregate_results(results).select("event_id", "excerpts")
+def collect_excerpts(results: DataFrame, max_chars: int | None = EXCERPT_MAX_CHARS) -> DataFrame:
+    return aggregate_results(results, max_chars).select("event_id", "excerpts")
 
 
-def enrich_events(events: DataFrame, results: DataFrame, articles: DataFrame | None = None) -> DataFrame:
+def enrich_events(
+    events: DataFrame, results: DataFrame, articles: DataFrame | None = None, max_chars: int | None = EXCERPT_MAX_CHARS
+) -> DataFrame:
     """Attach sources and a story.
 
     No result rows: the event is unchanged (empty story, no sources) and is
@@ -221,7 +241,7 @@ def enrich_events(events: DataFrame, results: DataFrame, articles: DataFrame | N
     ``story`` is the supplied article (``event_id, article``) cleaned with
     markdown kept; a missing article falls back to the raw excerpts. Trimmed.
     """
-    agg = aggregate_results(results).select(
+    agg = aggregate_results(results, max_chars).select(
         "event_id", F.col("n_results").alias("_n"), F.col("sources").alias("_src"), F.col("excerpts").alias("_exc")
     )
     joined = events.join(agg, "event_id", "left")

@@ -8,8 +8,8 @@ shared storage:
   Each batch is written with dynamic partition overwrite, so a retried
   micro-batch replaces exactly its own partitions (idempotent). Readers use
   ``latest_vectors``: one row per ``(namespace, id)``, highest
-  ``(version, ord)``, computed with ``max_by``. That is a partial aggregate,
-  so a hot id never lands in one task as raw rows.
+  ``(version, ord)``, computed with ``max_by`` over the columns asked for. That
+  is a partial aggregate, so a hot id never lands in one task as raw rows.
 * ``articles``: insert-only, partitioned by ``batch_id``.
 """
 
@@ -44,7 +44,7 @@ VECTOR_LOG_SCHEMA = T.StructType(
         T.StructField("sources", T.ArrayType(T.StringType())),
         T.StructField("text", T.StringType()),
         T.StructField("version", T.LongType()),
-        T.StructField("ord", T.LongType()),
+        T.StructField("ord", T.StringType()),
         T.StructField("namespace", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
@@ -72,7 +72,7 @@ def overview_vectors(events: DataFrame, vec_col: str = "vector") -> DataFrame:
         F.lit(None).cast("int").alias("chunk_index"),
         F.lit(None).cast("array<string>").alias("sources"),
         F.lit(None).cast("string").alias("text"),
-        F.col("ord").cast("long").alias("ord"),
+        F.col("ord").cast("string").alias("ord"),
     )
 
 
@@ -96,7 +96,7 @@ def chunk_vectors(events: DataFrame, dim: int = DEFAULT_DIM, embedder=None, n: i
         F.col("chunk").alias("text"),
         # Chunk ids already carry the index; equal ids only come from events
         # sharing a title, and the later event (higher ord) wins.
-        F.col("ord").cast("long").alias("ord"),
+        F.col("ord").cast("string").alias("ord"),
     )
 
 
@@ -112,8 +112,44 @@ def _chunk_array(toks, n: int):
     ).otherwise(F.array().cast("array<string>"))
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def clear_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove all that an earlier attempt of a batch wrote below ``path``.
+
+    Dynamic overwrite alone replaces only the partitions that the new attempt
+    writes too; one that has fewer (no story, no survivor) would leave the rest.
+    """
+    fs, root = _file_system(spark, path)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path
+    for depth in (f"batch_id={batch_id}", f"*/batch_id={batch_id}"):
+        for found in fs.globStatus(pattern(root, depth)) or []:
+            fs.delete(found.getPath(), True)
+
+
+def claim_batch(spark: SparkSession, store_path: str, batch_id: int, run_id: str) -> None:
+    """Record that ``run_id`` owns a batch; a batch of another owner is refused.
+
+    A stream that lost its checkpoint counts its epochs from 0 again, and must
+    not replace the batches of the stream that filled the store.
+    """
+    path = store_path.rstrip("/") + "-owners"
+    fs, root = _file_system(spark, path)
+    mark = spark._jvm.org.apache.hadoop.fs.Path(root, f"batch_id={batch_id}")
+    if fs.exists(mark):
+        owner = spark.read.schema("run_id string, batch_id long").parquet(path).filter(F.col("batch_id") == batch_id).first()
+        if owner is not None and owner["run_id"] != run_id:
+            raise ValueError(f"batch {batch_id} of {store_path} belongs to run {owner['run_id']!r}, not {run_id!r}")
+    row = spark.createDataFrame([(run_id, batch_id)], "run_id string, batch_id long").coalesce(1)
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+
 def upsert_vectors(records: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch to the vector log (idempotent per ``batch_id``)."""
+    """Write one batch of the vector log; a retry replaces all that the batch wrote before."""
+    clear_batch(records.sparkSession, path, batch_id)
     (
         records.select(*VECTOR_COLUMNS, "ord")
         .withColumn("version", F.lit(batch_id).cast("long"))
@@ -137,48 +173,61 @@ def read_vector_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_vectors(
-    log: DataFrame, namespace: str | None = None, before_batch: int | None = None, prune_stale: bool = False
+    log: DataFrame,
+    namespace: str | None = None,
+    before_batch: int | None = None,
+    prune_stale: bool = False,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Latest-wins view: one row per ``(namespace, id)``.
 
     ``before_batch`` reads the log as of the start of that batch, which fixes
     the history for a whole batch (and makes a retry see the same input).
     ``prune_stale`` drops research chunks left over from an earlier, longer
-    story of the same event (the reference keeps them).
+    story of the same event (the reference keeps them): an event's chunks are
+    those of its newest store, by version and then by order in the batch, in
+    whichever namespace that is. ``columns`` are the columns of the view besides
+    namespace and id; only they are read and shuffled.
     """
-    if namespace is not None:
-        log = log.filter(F.col("namespace") == namespace)  # partition pruning
     if before_batch is not None:
         log = log.filter(F.col("batch_id") < before_batch)  # partition pruning
-    payload = [c for c in VECTOR_LOG_SCHEMA.fieldNames() if c not in ("namespace", "id")]
+    whole = log
+    if namespace is not None:
+        log = log.filter(F.col("namespace") == namespace)  # partition pruning
+    wanted = columns or [c for c in VECTOR_LOG_SCHEMA.fieldNames() if c not in ("namespace", "id")]
+    payload = list(dict.fromkeys([*wanted, *(["event_id", "version", "ord"] if prune_stale else [])]))
     latest = (
         log.groupBy("namespace", "id")
         .agg(F.max_by(F.struct(*payload), F.struct("version", "ord")).alias("r"))
         .select("namespace", "id", "r.*")
     )
     if prune_stale:
-        # An event's newest store is its newest version in either namespace.
-        newest = latest.groupBy("event_id").agg(F.max("version").alias("_ev"))
+        newest = whole.groupBy(F.col("event_id").alias("_event")).agg(F.max(F.struct("version", "ord")).alias("_newest"))
+        current = F.struct("version", "ord") == F.col("_newest")
         latest = (
-            latest.join(newest, "event_id")
-            .filter((F.col("namespace") != RESEARCH_NAMESPACE) | (F.col("version") == F.col("_ev")))
-            .drop("_ev")
+            latest.join(newest, F.col("event_id") == F.col("_event"))
+            .filter((F.col("namespace") != RESEARCH_NAMESPACE) | current)
+            .drop("_event", "_newest")
         )
-    return latest
+    return latest.select("namespace", "id", *wanted)
 
 
 def compact_vectors(spark: SparkSession, src: str, dst: str, partitions: int | None = None) -> DataFrame:
-    """Rewrite the latest-wins view of ``src`` into a fresh log at ``dst``.
+    """Rewrite the latest-wins view of ``src`` into a fresh log at ``dst`` as one base batch.
 
-    Hash-partitioned by id so each output file holds a disjoint id range. Each
-    surviving row keeps its version (written as its ``batch_id``), so the
-    latest-wins view of ``dst`` equals that of ``src``.
+    Rows keep their version; the base batch has the highest batch id of ``src``,
+    so later batches go on from it. Each namespace has at most ``partitions``
+    files (hash-partitioned by id), and never more in all than ``src`` has.
     """
-    view = latest_vectors(read_vector_log(spark, src))
-    n = partitions or spark.sparkContext.defaultParallelism
+    log = read_vector_log(spark, src)
+    base = log.agg(F.max("batch_id")).first()[0] or 0
+    namespaces = max(log.select("namespace").distinct().count(), 1)
+    n = max(1, min(partitions or spark.sparkContext.defaultParallelism, len(log.inputFiles()) // namespaces))
+    view = latest_vectors(log)
     (
-        view.repartition(n, "namespace", "id")
-        .select(*[f.name for f in VECTOR_LOG_SCHEMA.fields if f.name != "batch_id"], F.col("version").alias("batch_id"))
+        view.withColumn("batch_id", F.lit(base).cast("long"))
+        .repartition(n, "id")
+        .select(*[f.name for f in VECTOR_LOG_SCHEMA.fields])
         .write.mode("overwrite")
         .partitionBy("namespace", "batch_id")
         .parquet(dst)
@@ -194,18 +243,19 @@ ARTICLE_SCHEMA = T.StructType(
         T.StructField("summary", T.StringType()),
         T.StructField("story", T.StringType()),
         T.StructField("sources", T.ArrayType(T.StringType())),
-        T.StructField("ord", T.LongType()),
+        T.StructField("ord", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 
 def append_articles(events: DataFrame, path: str, batch_id: int) -> None:
-    """Insert (not upsert) each stored event as a document; idempotent per batch."""
+    """Insert (not upsert) each stored event as a document; a retry replaces its batch."""
+    clear_batch(events.sparkSession, path, batch_id)
     (
         events.select(
             "event_id", "date", "title", "summary", "story", "sources",
-            F.col("ord").cast("long").alias("ord"), F.lit(batch_id).cast("long").alias("batch_id"),
+            F.col("ord").cast("string").alias("ord"), F.lit(batch_id).cast("long").alias("batch_id"),
         )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

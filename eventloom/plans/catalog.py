@@ -13,13 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.ids import event_key
 from eventloom.functions.text import clean_text, strip_citations, strip_markdown, strip_reasoning
 from eventloom.operators import extract, retrieval, similarity, stores, vectors
 from eventloom.plans import pipeline
 from eventloom.session import scratch_path
 from eventloom.sources import fixtures
 from eventloom.sources.intake import day_window, read_responses, split_by_status
-from eventloom.sources.tables import read_table
+from eventloom.sources.tables import read_table, staged
 
 SPREAD_TABLES = {"documents", "pages", "conversations"}
 RUN_TS = "2024-01-15 00:00:00"
@@ -46,21 +47,20 @@ def _text_list(c):
 
 # --------------------------------------------------------------------------- fixtures
 
-def responses_df(spark, sf_dir) -> DataFrame:
-    return fixtures.responses(_table(spark, sf_dir, "documents"))
+def responses_df(spark, sf_dir, faults: bool = True) -> DataFrame:
+    return fixtures.responses(_table(spark, sf_dir, "documents"), faults)
 
 
-def decoded_events(spark, sf_dir) -> DataFrame:
-    ok, _ = split_by_status(responses_df(spark, sf_dir))
+def decoded_events(spark, sf_dir, faults: bool = True) -> DataFrame:
+    ok, _ = split_by_status(responses_df(spark, sf_dir, faults))
     events, _ = extract.extract_events(ok)
     return events
 
 
 def built_events(spark, sf_dir) -> DataFrame:
-    valid, _ = extract.contract_split(decoded_events(spark, sf_dir))
-    return extract.build_events(valid, RUN_TS).withColumn(
-        "ord", F.col("response_id") * F.lit(pipeline.ORD_STRIDE) + F.col("event_idx")
-    )
+    """Every document as an event: answers without faults."""
+    valid, _ = extract.contract_split(decoded_events(spark, sf_dir, faults=False))
+    return extract.build_events(valid, RUN_TS).withColumn("ord", event_key(F.col("response_id"), F.col("event_idx")))
 
 
 def seed_events(spark, sf_dir) -> DataFrame:
@@ -72,40 +72,58 @@ def seed_events(spark, sf_dir) -> DataFrame:
         fixtures.raw_summary(F.col("doc_id"), F.col("text")).alias("summary"),
     )
     return extract.build_events(raw.withColumn("response_id", F.col("doc_id")).withColumn(
-        "event_idx", F.lit(0)), RUN_TS).withColumn("ord", F.col("response_id"))
+        "event_idx", F.lit(0)), RUN_TS).withColumn("ord", event_key(F.col("response_id"), F.lit(0)))
+
+
+def with_overview_vector(events: DataFrame) -> DataFrame:
+    return vectors.embed_table(events.withColumn("_o", vectors.overview_text(F.col("title"), F.col("summary"))),
+                               "ord", "_o", DIM)
 
 
 def embedded_docs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """``(history, probes)`` documents with vectors: labelled vs unlabelled.
 
-    Split first, then embed each side, so no document is hashed twice.
+    Split first, then embed each side once and write it: several jobs read it.
     """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     history, probes = fixtures.labelled_split(docs, _table(spark, sf_dir, "labels"))
-    return (vectors.embed_table(history, "doc_id", "text", DIM).drop("text"),
-            vectors.embed_table(probes, "doc_id", "text", DIM).drop("text"))
+    return (staged(vectors.embed_table(history, "doc_id", "text", DIM).drop("text"), "history-vectors"),
+            staged(vectors.embed_table(probes, "doc_id", "text", DIM).drop("text"), "probe-vectors"))
 
 
 def corpus_df(spark, sf_dir) -> DataFrame:
     return fixtures.corpus(_table(spark, sf_dir, "pages"))
 
 
-def search_results(spark, sf_dir) -> DataFrame:
+def search_results(spark, sf_dir, **options) -> DataFrame:
     queries = retrieval.build_queries(built_events(spark, sf_dir))
-    return retrieval.retrieve_topk(queries, corpus_df(spark, sf_dir))
+    return retrieval.retrieve_topk(queries, corpus_df(spark, sf_dir), **options)
 
 
 def enriched_events(spark, sf_dir) -> DataFrame:
     return retrieval.enrich_events(built_events(spark, sf_dir), search_results(spark, sf_dir))
 
 
+def supplied_queries(spark, sf_dir) -> DataFrame:
+    """Queries that a caller supplies: for events of an even index, the title's words upside down in two lines."""
+    ev = built_events(spark, sf_dir).filter(F.col("event_idx") % 2 == 0).groupBy("event_id").agg(F.min("title").alias("title"))
+    return ev.select("event_id", F.concat(F.lit("  news on\n"), F.col("title"), F.lit(" ")).alias("query"))
+
+
+def supplied_articles(spark, sf_dir) -> DataFrame:
+    """Articles that a caller supplies for events of an odd index: their summary with a citation."""
+    ev = built_events(spark, sf_dir).filter(F.col("event_idx") % 2 == 1).groupBy("event_id").agg(F.min("summary").alias("summary"))
+    return ev.select("event_id", F.concat(F.col("summary"), F.lit(" [3] [Reuters]")).alias("article"))
+
+
 # --------------------------------------------------------------------------- 2.1 sources
 
 def q_read_responses(spark, sf_dir):
     path = scratch_path(spark, "responses")
     responses_df(spark, sf_dir).write.parquet(path)
     df = read_responses(spark, path)
-    return df.select("response_id", F.col("status").cast("long").alias("status"), _ts_text(F.col("ts")).alias("ts"))
+    return df.select("response_id", F.col("status").cast("long").alias("status"), _ts_text(F.col("ts")).alias("ts"),
+                     (F.length("content") > 0).alias("has_content"))
 
 
 def q_split_by_status(spark, sf_dir):
@@ -214,6 +232,25 @@ def q_similarity_topk(spark, sf_dir):
                       F.col("rank").cast("long").alias("rank"))
 
 
+def q_similarity_topk_grid(spark, sf_dir):
+    """The same search through a grid of many small blocks."""
+    history, probes = embedded_docs(spark, sf_dir)
+    h = history.select(F.col("doc_id").alias("match_id"), F.col("vector").alias("hvec"))
+    top = similarity.similarity_topk(probes, h, k=similarity.DEDUP_TOP_K, probe_id="doc_id", hist_id="match_id",
+                                     hist_vec_col="hvec", dim=DIM, block_rows=max(64, history.count() // 6))
+    return top.select(F.col("doc_id").alias("probe_id"), "match_id", _r6(F.col("score")).alias("score"),
+                      F.col("rank").cast("long").alias("rank"))
+
+
+def q_join_embeddings(spark, sf_dir):
+    """Given vectors attached to documents by id."""
+    given = _table(spark, sf_dir, "embeddings")
+    docs = _table(spark, sf_dir, "documents").select("doc_id")
+    joined = vectors.join_embeddings(docs, given.withColumnRenamed("vec_id", "doc_id"), "doc_id", "embedding")
+    return joined.select("doc_id", F.size("vector").cast("long").alias("n"),
+                         _r6(F.element_at("vector", 1)).alias("first"), _r6(F.element_at("vector", -1)).alias("last"))
+
+
 def q_flag_duplicates(spark, sf_dir):
     history, probes = embedded_docs(spark, sf_dir)
     h = history.select(F.col("doc_id").alias("match_id"), F.col("vector").alias("hvec"))
@@ -254,11 +291,26 @@ def q_build_queries(spark, sf_dir):
     return retrieval.build_queries(built_events(spark, sf_dir))
 
 
-def q_retrieve_topk(spark, sf_dir):
-    r = search_results(spark, sf_dir)
+def q_build_queries_supplied(spark, sf_dir):
+    return retrieval.build_queries(built_events(spark, sf_dir), supplied_queries(spark, sf_dir))
+
+
+def _results_out(r: DataFrame) -> DataFrame:
     return r.select("event_id", F.col("rank").cast("long").alias("rank"), "page_id", _r6(F.col("score")).alias("score"))
 
 
+def q_retrieve_topk(spark, sf_dir):
+    return _results_out(search_results(spark, sf_dir))
+
+
+def q_retrieve_topk_shuffle(spark, sf_dir):
+    return _results_out(search_results(spark, sf_dir, strategy="shuffle"))
+
+
+def q_retrieve_topk_day(spark, sf_dir):
+    return _results_out(search_results(spark, sf_dir, ts_col="ts", run_date=RUN_DATE))
+
+
 def q_collect_sources(spark, sf_dir):
     s = retrieval.collect_sources(search_results(spark, sf_dir))
     return s.select("event_id", _text_list(F.col("sources")).alias("sources"),
@@ -269,6 +321,16 @@ def q_collect_excerpts(spark, sf_dir):
     return retrieval.collect_excerpts(search_results(spark, sf_dir))
 
 
+def q_collect_excerpts_full(spark, sf_dir):
+    return retrieval.collect_excerpts(search_results(spark, sf_dir), max_chars=None)
+
+
+def q_enrich_events_articles(spark, sf_dir):
+    e = retrieval.enrich_events(built_events(spark, sf_dir), search_results(spark, sf_dir), supplied_articles(spark, sf_dir))
+    return e.select("event_id", "response_id", F.col("event_idx").cast("long").alias("event_idx"), "story",
+                    _text_list(F.col("sources")).alias("sources"))
+
+
 def q_enrich_events(spark, sf_dir):
     e = enriched_events(spark, sf_dir)
     return e.select("event_id", "response_id", F.col("event_idx").cast("long").alias("event_idx"), "story",
@@ -287,35 +349,35 @@ def _nnz(c):
     return F.size(F.filter(c, lambda x: x != 0)).cast("long")
 
 
+def _weight(c):
+    """Sum of the entries by place, so that an entry that is wrong or in a wrong place shows."""
+    return _r6(F.aggregate(F.transform(c, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x))
+
+
 def q_overview_vectors(spark, sf_dir):
-    b = vectors.embed_table(built_events(spark, sf_dir).withColumn(
-        "_o", vectors.overview_text(F.col("title"), F.col("summary"))), "ord", "_o", DIM)
-    rec = stores.overview_vectors(b)
-    return rec.select("namespace", "id", "event_id", "title", "summary", _nnz(F.col("vector")).alias("nnz"), "ord")
+    rec = stores.overview_vectors(with_overview_vector(built_events(spark, sf_dir)))
+    return rec.select("namespace", "id", "event_id", "title", "summary", _nnz(F.col("vector")).alias("nnz"),
+                      _weight(F.col("vector")).alias("weight"), "ord")
 
 
 def q_chunk_vectors(spark, sf_dir):
     rec = stores.chunk_vectors(enriched_events(spark, sf_dir), dim=DIM)
-    return rec.select("namespace", "id", "event_id", F.col("chunk_index").cast("long").alias("chunk_index"), "text",
-                      _nnz(F.col("vector")).alias("nnz"), "ord")
+    return rec.select("namespace", "id", "event_id", "title", F.col("chunk_index").cast("long").alias("chunk_index"), "text",
+                      _text_list(F.col("sources")).alias("sources"), _nnz(F.col("vector")).alias("nnz"),
+                      _weight(F.col("vector")).alias("weight"), "ord")
 
 
 def _seed_and_batch_log(spark, sf_dir) -> str:
     """Vector log with batch 0 = labelled documents, batch 1 = this run's events."""
     path = scratch_path(spark, "vectors")
-    seed = seed_events(spark, sf_dir)
-    seed = vectors.embed_table(seed.withColumn("_o", vectors.overview_text(F.col("title"), F.col("summary"))),
-                               "ord", "_o", DIM)
-    stores.upsert_vectors(stores.overview_vectors(seed), path, 0)
-    batch = built_events(spark, sf_dir)
-    batch = vectors.embed_table(batch.withColumn("_o", vectors.overview_text(F.col("title"), F.col("summary"))),
-                                "ord", "_o", DIM)
-    stores.upsert_vectors(stores.overview_vectors(batch), path, 1)
+    stores.upsert_vectors(stores.overview_vectors(with_overview_vector(seed_events(spark, sf_dir))), path, 0)
+    stores.upsert_vectors(stores.overview_vectors(with_overview_vector(built_events(spark, sf_dir))), path, 1)
     return path
 
 
 def _view_out(view: DataFrame) -> DataFrame:
-    return view.select("namespace", "id", "version", "title", "summary", "ord")
+    return view.select("namespace", "id", "version", "title", "summary", _nnz(F.col("vector")).alias("nnz"),
+                       _weight(F.col("vector")).alias("weight"), "ord")
 
 
 def q_upsert_vectors(spark, sf_dir):
@@ -328,6 +390,36 @@ def q_compact_vectors(spark, sf_dir):
     return _view_out(stores.compact_vectors(spark, path, scratch_path(spark, "vectors-compact")))
 
 
+def _chunk_log(spark, sf_dir) -> str:
+    """Chunks of every document's text in batch 1; in batch 2 documents of an odd id again, without a story."""
+    path = scratch_path(spark, "vectors")
+    docs = _table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("event_"), F.col("doc_id").cast("string")).alias("event_id"), fixtures.title_of(F.col("text")).alias("title"),
+        F.col("text").alias("story"), F.lit("").alias("summary"), F.array().cast("array<string>").alias("sources"),
+        event_key(F.col("doc_id"), F.lit(0)).alias("ord"), "doc_id")
+    embedded = vectors.embed_table(docs, "ord", "title", DIM)
+    stores.upsert_vectors(stores.overview_vectors(embedded).unionByName(stores.chunk_vectors(docs, dim=DIM)), path, 1)
+    stores.upsert_vectors(stores.overview_vectors(embedded.filter(F.col("doc_id") % 2 == 1)), path, 2)
+    return path
+
+
+def q_prune_stale(spark, sf_dir):
+    log = stores.read_vector_log(spark, _chunk_log(spark, sf_dir))
+    view = stores.latest_vectors(log, stores.RESEARCH_NAMESPACE, prune_stale=True, columns=["event_id", "chunk_index", "text", "version"])
+    return view.select("id", "event_id", F.col("chunk_index").cast("long").alias("chunk_index"), "text", "version")
+
+
+def q_research_search(spark, sf_dir):
+    """Nearest stored chunks of the research namespace for every overview of an unlabelled document's title."""
+    log = stores.read_vector_log(spark, _chunk_log(spark, sf_dir))
+    chunks = stores.latest_vectors(log, stores.RESEARCH_NAMESPACE, before_batch=2, columns=["vector"])
+    _, probes = fixtures.labelled_split(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    probes = staged(vectors.embed_table(probes, "doc_id", "text", DIM).drop("text"), "probe-vectors")
+    top = similarity.similarity_topk(probes, chunks.select(F.col("id").alias("chunk"), F.col("vector").alias("hvec")), k=3,
+                                     probe_id="doc_id", hist_id="chunk", hist_vec_col="hvec", dim=DIM)
+    return top.select("doc_id", "chunk", _r6(F.col("score")).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
 def q_append_articles(spark, sf_dir):
     path = scratch_path(spark, "articles")
     stores.append_articles(enriched_events(spark, sf_dir), path, 1)
@@ -335,13 +427,15 @@ def q_append_articles(spark, sf_dir):
     return art.select("event_id", "batch_id", "title", "story", _text_list(F.col("sources")).alias("sources"), "ord")
 
 
-def _pipeline_run(spark, sf_dir, store: str, articles: str):
-    seed = seed_events(spark, sf_dir)
-    seed = vectors.embed_table(seed.withColumn("_o", vectors.overview_text(F.col("title"), F.col("summary"))),
-                               "ord", "_o", DIM)
-    stores.upsert_vectors(stores.overview_vectors(seed), store, 0)
-    return pipeline.run_pipeline(spark, responses_df(spark, sf_dir), corpus_df(spark, sf_dir), store, articles,
-                                 batch_id=1, run_ts=RUN_TS)
+def _seeded_store(spark, sf_dir) -> str:
+    store = scratch_path(spark, "vectors")
+    stores.upsert_vectors(stores.overview_vectors(with_overview_vector(seed_events(spark, sf_dir))), store, 0)
+    return store
+
+
+def _pipeline_run(spark, sf_dir, articles: str, faults: bool = False, **options):
+    return pipeline.run_pipeline(spark, responses_df(spark, sf_dir, faults), corpus_df(spark, sf_dir), _seeded_store(spark, sf_dir),
+                                 articles, batch_id=1, run_ts=RUN_TS, **options)
 
 
 def _articles_out(spark, path):
@@ -350,32 +444,49 @@ def _articles_out(spark, path):
 
 
 def q_run_pipeline(spark, sf_dir):
-    store, articles = scratch_path(spark, "vectors"), scratch_path(spark, "articles")
-    _pipeline_run(spark, sf_dir, store, articles)
+    articles = scratch_path(spark, "articles")
+    _pipeline_run(spark, sf_dir, articles)
     return _articles_out(spark, articles)
 
 
+def q_run_quarantine(spark, sf_dir):
+    """Rows that a run over answers with faults rejects."""
+    path = scratch_path(spark, "quarantine")
+    _pipeline_run(spark, sf_dir, scratch_path(spark, "articles"), faults=True, quarantine_path=path)
+    return pipeline.read_quarantine(spark, path).select("response_id", F.col("event_idx").cast("long").alias("event_idx"), "reason")
+
+
 def q_pipeline_stats(spark, sf_dir):
-    run = _pipeline_run(spark, sf_dir, scratch_path(spark, "vectors"), scratch_path(spark, "articles"))
-    return run.stats
+    return _pipeline_run(spark, sf_dir, scratch_path(spark, "articles")).stats
 
 
-def q_stream_pipeline(spark, sf_dir):
+def _streamed(spark, sf_dir, files: int, per_trigger: int | None) -> DataFrame:
     from eventloom.streaming.stream import stream_pipeline
 
-    store, articles = scratch_path(spark, "vectors"), scratch_path(spark, "articles")
-    inbox = scratch_path(spark, "inbox")
-    responses_df(spark, sf_dir).write.parquet(inbox)
-    seed = seed_events(spark, sf_dir)
-    seed = vectors.embed_table(seed.withColumn("_o", vectors.overview_text(F.col("title"), F.col("summary"))),
-                               "ord", "_o", DIM)
-    stores.upsert_vectors(stores.overview_vectors(seed), store, 0)
-    q = stream_pipeline(spark, inbox, corpus_df(spark, sf_dir), store, articles,
-                        scratch_path(spark, "stream-ckpt"), run_ts=RUN_TS, batch_offset=1)
-    q.awaitTermination()
+    store, articles, inbox = _seeded_store(spark, sf_dir), scratch_path(spark, "articles"), scratch_path(spark, "inbox")
+    answers = responses_df(spark, sf_dir, faults=False)
+    if files > 1:
+        answers = answers.repartitionByRange(files, "response_id")
+    answers.write.parquet(inbox)
+    corpus = corpus_df(spark, sf_dir)
+    index = retrieval.build_index(corpus)
+    try:
+        stream_pipeline(spark, inbox, corpus, store, articles, scratch_path(spark, "stream-ckpt"), run_ts=RUN_TS, batch_offset=1,
+                        files_per_trigger=per_trigger, index=index).awaitTermination()
+    finally:
+        index.release()
     return _articles_out(spark, articles)
 
 
+def q_stream_pipeline(spark, sf_dir):
+    return _streamed(spark, sf_dir, 1, None)
+
+
+def q_stream_micro_batches(spark, sf_dir):
+    """Several micro-batches: how often each event title was stored, whatever the cut into batches."""
+    return _streamed(spark, sf_dir, 3, 1).select("event_id", "title").distinct()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_responses": q_read_responses,
     "split_by_status": q_split_by_status,
@@ -393,24 +504,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overview_text": q_overview_text,
     "embed_table": q_embed_table,
     "similarity_topk": q_similarity_topk,
+    "similarity_topk_grid": q_similarity_topk_grid,
+    "join_embeddings": q_join_embeddings,
     "flag_duplicates": q_flag_duplicates,
     "semantic_anti_join": q_semantic_anti_join,
     "semantic_anti_join_batch": q_semantic_anti_join_batch,
     "similarity_join_lsh": q_similarity_join_lsh,
     "build_queries": q_build_queries,
+    "build_queries_supplied": q_build_queries_supplied,
     "retrieve_topk": q_retrieve_topk,
+    "retrieve_topk_shuffle": q_retrieve_topk_shuffle,
+    "retrieve_topk_day": q_retrieve_topk_day,
     "collect_sources": q_collect_sources,
     "collect_excerpts": q_collect_excerpts,
+    "collect_excerpts_full": q_collect_excerpts_full,
     "enrich_events": q_enrich_events,
+    "enrich_events_articles": q_enrich_events_articles,
     "chunk_table": q_chunk_table,
     "overview_vectors": q_overview_vectors,
     "chunk_vectors": q_chunk_vectors,
     "upsert_vectors": q_upsert_vectors,
     "compact_vectors": q_compact_vectors,
+    "prune_stale": q_prune_stale,
+    "research_search": q_research_search,
     "append_articles": q_append_articles,
     "run_pipeline": q_run_pipeline,
+    "run_quarantine": q_run_quarantine,
     "pipeline_stats": q_pipeline_stats,
     "stream_pipeline": q_stream_pipeline,
+    "stream_micro_batches": q_stream_micro_batches,
 }
 
 
@@ -420,13 +542,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     The stored collection is the labelled documents' events, held as the
     latest-wins view (one vector per event id) the vector log would give.
     """
-    events = vectors.embed_table(built_events(spark, sf_dir).withColumn(
-        "_o", vectors.overview_text(F.col("title"), F.col("summary"))), "ord", "_o", DIM).drop("_o")
-    seed = vectors.embed_table(seed_events(spark, sf_dir).withColumn(
-        "_o", vectors.overview_text(F.col("title"), F.col("summary"))), "ord", "_o", DIM)
-    history = stores.latest_vectors(
-        stores.overview_vectors(seed).withColumn("version", F.lit(0).cast("long")).withColumn(
-            "batch_id", F.lit(0).cast("long")))
+    events = with_overview_vector(built_events(spark, sf_dir)).drop("_o")
+    seed = stores.overview_vectors(with_overview_vector(seed_events(spark, sf_dir)))
+    history = stores.latest_vectors(seed.withColumn("version", F.lit(0).cast("long")), columns=["vector"])
     flagged = pipeline.flag_batch(events, history, dim=DIM)
     return flagged.filter(~F.col("is_duplicate")).select(
         "event_id", "title", _r6(F.col("best_score")).alias("best_score"), "best_match_id", "ord")

@@ -13,11 +13,17 @@ Similarity oracles score every (probe, history) pair by brute force.
 from __future__ import annotations
 
 RUN_TS = "2024-01-15 00:00:00"
-ORD_STRIDE = 1 << 20
 DIM = 256
 NL = "chr(10)"
 
 
+
+
+def event_key(response_id: str, event_idx: str) -> str:
+    return (f"lpad(CAST({response_id}::HUGEINT + 9223372036854775808 AS VARCHAR), 20, '0') || '-' || "
+            f"lpad(CAST({event_idx} AS VARCHAR), 10, '0')")
+
+
 # --------------------------------------------------------------------------- text rules
 
 def trim(x: str) -> str:
@@ -104,18 +110,18 @@ DECODED = """decoded AS (
 
 BUILT = f"""built AS (
   SELECT 'event_' || substr(sha256(title), 1, 16) AS event_id, title,
-         {clean('summary', True, True)} AS summary,
-         response_id, event_idx, response_id * {ORD_STRIDE} + event_idx AS ord
-  FROM decoded WHERE summary IS NOT NULL)"""
+         {clean('summary_raw', True, True)} AS summary,
+         response_id, event_idx, {event_key('response_id', 'event_idx')} AS ord
+  FROM doc_ev)"""
 
 SEED = f"""seed AS (
   SELECT 'event_' || substr(sha256(title), 1, 16) AS event_id, title,
-         {clean('summary_raw', True, True)} AS summary, doc_id AS ord
+         {clean('summary_raw', True, True)} AS summary, {event_key('doc_id', '0')} AS ord
   FROM (SELECT doc_id, {title_of('text')} AS title, {raw_summary('doc_id', 'text')} AS summary_raw
         FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)))"""
 
 CORPUS = rf"""corpus AS (
-  SELECT page_id, url,
+  SELECT page_id, url, to_timestamp(page_id * 600 + 1704067200 + 13 * 86400) AT TIME ZONE 'UTC' AS ts,
          array_to_string(list_transform(regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1),
                                         lambda p: regexp_replace(p, '<[^>]*>', ' ', 'g')), ' ') AS content
   FROM pages)"""
@@ -138,10 +144,10 @@ def emb(name: str, src: str) -> str:
   FROM {name}_cell c JOIN {name}_norm n USING (id) WHERE c.w <> 0)"""
 
 
-def bm25(queries: str) -> str:
+def bm25(queries: str, where: str = "true") -> str:
     """``results(event_id, rank, page_id, url, content, score)``; queries has (event_id, query)."""
     return f"""{CORPUS},
-ptok AS (SELECT page_id, {words('lower(content)')} AS t FROM corpus),
+ptok AS (SELECT page_id, {words('lower(content)')} AS t FROM corpus WHERE {where}),
 plen AS (SELECT page_id, len(t) AS dl FROM ptok),
 pstats AS (SELECT count(*) AS n, sum(dl)::DOUBLE / count(*) AS avgdl FROM plen),
 ptf AS (SELECT page_id, term, count(*) AS tf FROM (SELECT page_id, unnest(t) AS term FROM ptok) GROUP BY ALL),
@@ -161,14 +167,19 @@ results AS (
   FROM ranked r JOIN corpus c USING (page_id) WHERE r.rank <= 15)"""
 
 
+def excerpt_agg(max_chars: int | None) -> str:
+    whole = f"""coalesce(string_agg(content, {NL} || {NL} ORDER BY rank)
+                         FILTER (WHERE content IS NOT NULL AND content <> ''), '')"""
+    return whole if max_chars is None else f"substr({whole}, 1, {max_chars})"
+
+
 AGG = f"""src_first AS (
   SELECT event_id, url, min(rank) AS r FROM results WHERE url IS NOT NULL AND url <> '' GROUP BY ALL),
 src AS (SELECT event_id, string_agg(url, ' ' ORDER BY r) AS sources, count(*) AS n_sources
         FROM src_first GROUP BY event_id),
 exc AS (
   SELECT event_id,
-         substr(coalesce(string_agg(content, {NL} || {NL} ORDER BY rank)
-                         FILTER (WHERE content IS NOT NULL AND content <> ''), ''), 1, 8000) AS excerpts,
+         {excerpt_agg(8000)} AS excerpts,
          count(*) AS n_results
   FROM results GROUP BY event_id)"""
 
@@ -239,7 +250,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT DISTINCT doc_id // 5 AS response_id,
        CAST(CASE WHEN (doc_id // 5) % 11 = 0 THEN 500 ELSE 200 END AS BIGINT) AS status,
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST((doc_id // 5) * 997 AS DOUBLE)),
-                '%Y-%m-%d %H:%M:%S') AS ts
+                '%Y-%m-%d %H:%M:%S') AS ts, true AS has_content
 FROM documents"""
 
     q["split_by_status"] = """
@@ -289,6 +300,13 @@ SELECT id AS doc_id, CAST(dim_index AS BIGINT) AS dim_index, round(value, 6) AS
 
     q["similarity_topk"] = _with(_doc_pairs()) + """
 SELECT probe_id, match_id, round(score, 6) AS score, rank FROM ranked_pairs WHERE rank <= 5"""
+    q["similarity_topk_grid"] = q["similarity_topk"]
+    q["similarity_join_lsh"] = _with(_doc_pairs()) + """
+SELECT probe_id, match_id, round(score, 6) AS score FROM pairs WHERE score >= 0.8"""
+    q["join_embeddings"] = """
+SELECT d.doc_id, CAST(len(e.embedding) AS BIGINT) AS n, round(e.embedding[1]::DOUBLE, 6) AS first,
+       round(e.embedding[-1]::DOUBLE, 6) AS last
+FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id"""
     q["flag_duplicates"] = _with(_doc_pairs()) + """
 SELECT d.doc_id AS probe_id, coalesce(r.score >= 0.8, false) AS is_duplicate,
        round(r.score, 6) AS best_score, r.match_id AS best_match_id
@@ -312,6 +330,18 @@ WHERE doc_id NOT IN (SELECT doc_id FROM lab)
 SELECT event_id, min(title) AS query, length(min(title)) > 250 AS query_too_long FROM built GROUP BY event_id"""
     retrieval = _with(DOC_EV, DECODED, BUILT, QUERIES_FROM_BUILT, bm25("qsrc"))
     q["retrieve_topk"] = retrieval + "SELECT event_id, rank, page_id, round(score, 6) AS score FROM results"
+    q["retrieve_topk_shuffle"] = q["retrieve_topk"]
+    q["retrieve_topk_day"] = _with(DOC_EV, DECODED, BUILT, QUERIES_FROM_BUILT, bm25(
+        "qsrc", "ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'"
+    )) + "SELECT event_id, rank, page_id, round(score, 6) AS score FROM results"
+    q["build_queries_supplied"] = _with(DOC_EV, DECODED, BUILT) + """
+, even AS (SELECT event_id, min(title) AS title FROM built WHERE event_idx % 2 = 0 GROUP BY event_id),
+src AS (SELECT b.event_id, coalesce(regexp_replace('news on ' || e.title, '\\s+$', ''), b.title) AS query
+        FROM built b LEFT JOIN even e USING (event_id))
+SELECT event_id, min(query) AS query, length(min(query)) > 250 AS query_too_long FROM src GROUP BY event_id"""
+    q["collect_excerpts_full"] = retrieval + f""", exc_full AS (
+  SELECT event_id, {excerpt_agg(None)} AS excerpts FROM results GROUP BY event_id)
+SELECT event_id, excerpts FROM exc_full"""
     q["collect_sources"] = _with(DOC_EV, DECODED, BUILT, QUERIES_FROM_BUILT, bm25("qsrc"), AGG) + """
 SELECT e.event_id, coalesce(s.sources, '') AS sources, coalesce(s.n_sources, 0) AS n_sources
 FROM (SELECT DISTINCT event_id FROM results) e LEFT JOIN src s USING (event_id)"""
@@ -320,6 +350,13 @@ SELECT event_id, excerpts FROM exc"""
     enrich = _with(DOC_EV, DECODED, BUILT, QUERIES_FROM_BUILT, bm25("qsrc"), enriched("built"))
     q["enrich_events"] = enrich + "SELECT event_id, response_id, event_idx, story, sources FROM enriched"
 
+    q["enrich_events_articles"] = enrich.rstrip() + f""",
+odd AS (SELECT event_id, min(summary) || ' [3] [Reuters]' AS article FROM built WHERE event_idx % 2 = 1 GROUP BY event_id),
+cleaned AS (SELECT event_id, {clean('article', True, False)} AS article FROM odd)
+SELECT e.event_id, e.response_id, e.event_idx,
+       CASE WHEN x.event_id IS NULL THEN e.story ELSE coalesce({trim('c.article')}, e.story) END AS story, e.sources
+FROM enriched e LEFT JOIN cleaned c USING (event_id) LEFT JOIN exc x USING (event_id)"""
+
     q["chunk_table"] = f"""
 WITH w AS (SELECT doc_id, {words('text')} AS ws FROM documents),
 c AS (SELECT doc_id, ws, unnest(range(0, CAST(ceil(len(ws) / 300.0) AS BIGINT))) AS chunk_index FROM w)
@@ -330,35 +367,66 @@ FROM c"""
         "bsrc AS (SELECT ord AS id, title || ' ' || summary AS text FROM built)", emb("bv", "bsrc"),
     ) + """
 SELECT 'deduplication' AS namespace, b.event_id AS id, b.event_id, b.title, b.summary,
-       (SELECT count(*) FROM bv WHERE bv.id = b.ord) AS nnz, b.ord
+       (SELECT count(*) FROM bv WHERE bv.id = b.ord) AS nnz,
+       round(coalesce((SELECT sum(value * (dim_index + 1)) FROM bv WHERE bv.id = b.ord), 0.0), 6) AS weight, b.ord
 FROM built b"""
     q["chunk_vectors"] = _with(
         DOC_EV, DECODED, BUILT, QUERIES_FROM_BUILT, bm25("qsrc"), enriched("built"),
         f"""ch AS (
-  SELECT event_id, ord, ws, unnest(range(0, CAST(ceil(len(ws) / 300.0) AS BIGINT))) AS chunk_index
-  FROM (SELECT event_id, ord, {words('story')} AS ws FROM enriched WHERE story <> ''))""",
-        """chunks AS (SELECT event_id, ord, chunk_index,
+  SELECT event_id, title, sources, ord, ws, unnest(range(0, CAST(ceil(len(ws) / 300.0) AS BIGINT))) AS chunk_index
+  FROM (SELECT event_id, title, sources, ord, {words('story')} AS ws FROM enriched WHERE story <> ''))""",
+        """chunks AS (SELECT event_id, title, sources, ord, chunk_index,
                    array_to_string(ws[chunk_index * 300 + 1 : chunk_index * 300 + 300], ' ') AS text FROM ch)""",
-        "csrc AS (SELECT ord * 4096 + chunk_index AS id, text FROM chunks)", emb("cv", "csrc"),
-        "cnnz AS (SELECT id, count(*) AS nnz FROM cv GROUP BY id)",
+        "csrc AS (SELECT ord || '/' || chunk_index AS id, text FROM chunks)", emb("cv", "csrc"),
+        "cnnz AS (SELECT id, count(*) AS nnz, sum(value * (dim_index + 1)) AS weight FROM cv GROUP BY id)",
     ) + """
 SELECT 'research' AS namespace, c.event_id || '_chunk_' || CAST(c.chunk_index AS VARCHAR) AS id, c.event_id,
-       c.chunk_index, c.text, coalesce(n.nnz, 0) AS nnz, c.ord
-FROM chunks c LEFT JOIN cnnz n ON n.id = c.ord * 4096 + c.chunk_index"""
+       c.title, c.chunk_index, c.text, c.sources, coalesce(n.nnz, 0) AS nnz, round(coalesce(n.weight, 0.0), 6) AS weight, c.ord
+FROM chunks c LEFT JOIN cnnz n ON n.id = c.ord || '/' || c.chunk_index"""
 
-    upsert = _with(DOC_EV, DECODED, BUILT, SEED) + """
-, log AS (
+    upsert = _with(
+        DOC_EV, DECODED, BUILT, SEED,
+        """log AS (
   SELECT 'deduplication' AS namespace, event_id AS id, 0 AS version, title, summary, ord FROM seed
   UNION ALL
-  SELECT 'deduplication', event_id, 1, title, summary, ord FROM built)
-SELECT namespace, id, CAST(version AS BIGINT) AS version, title, summary, ord
-FROM (SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY version DESC, ord DESC) AS rn FROM log)
-WHERE rn = 1"""
+  SELECT 'deduplication', event_id, 1, title, summary, ord FROM built)""",
+        """newest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY version DESC, ord DESC) AS rn FROM log)
+  WHERE rn = 1)""",
+        "nsrc AS (SELECT id, title || ' ' || summary AS text FROM newest)", emb("nv", "nsrc"),
+        "nw AS (SELECT id, count(*) AS nnz, sum(value * (dim_index + 1)) AS weight FROM nv GROUP BY id)",
+    ) + """
+SELECT namespace, n.id, CAST(version AS BIGINT) AS version, title, summary, coalesce(nnz, 0) AS nnz,
+       round(coalesce(weight, 0.0), 6) AS weight, ord
+FROM newest n LEFT JOIN nw ON nw.id = n.id"""
     q["upsert_vectors"] = upsert
     q["compact_vectors"] = upsert
     q["append_articles"] = enrich + """
 SELECT event_id, CAST(1 AS BIGINT) AS batch_id, title, story, sources, ord FROM enriched"""
 
+    doc_chunks = f"""w AS (SELECT doc_id, {words('text')} AS ws FROM documents WHERE text <> ''),
+c AS (SELECT doc_id, ws, unnest(range(0, CAST(ceil(len(ws) / 300.0) AS BIGINT))) AS chunk_index FROM w),
+ch AS (SELECT doc_id, chunk_index, 'event_' || doc_id || '_chunk_' || chunk_index AS id,
+              array_to_string(ws[chunk_index * 300 + 1 : chunk_index * 300 + 300], ' ') AS text FROM c)"""
+    q["prune_stale"] = _with(doc_chunks) + """
+SELECT id, 'event_' || doc_id AS event_id, chunk_index, text, CAST(1 AS BIGINT) AS version FROM ch WHERE doc_id % 2 = 0"""
+    q["research_search"] = _with(
+        doc_chunks, "csrc AS (SELECT id, text FROM ch)", emb("cv", "csrc"),
+        "psrc AS (SELECT doc_id AS id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))", emb("qv", "psrc"),
+        """hits AS (SELECT q.id AS doc_id, c.id AS chunk, sum(q.value * c.value) AS score
+                 FROM qv q JOIN cv c USING (dim_index) GROUP BY ALL)""",
+        """pid AS (SELECT DISTINCT id AS doc_id FROM qv)""", """cid AS (SELECT DISTINCT id AS chunk FROM cv)""",
+        """allp AS (SELECT pid.doc_id, cid.chunk, coalesce(h.score, 0.0) AS score
+                 FROM pid CROSS JOIN cid LEFT JOIN hits h ON h.doc_id = pid.doc_id AND h.chunk = cid.chunk)""",
+        """rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, chunk) AS rank FROM allp)""",
+    ) + "SELECT doc_id, chunk, round(score, 6) AS score, rank FROM rk WHERE rank <= 3"
+    q["run_quarantine"] = _with(DOC_EV, DECODED) + """
+SELECT DISTINCT response_id, CAST(NULL AS BIGINT) AS event_idx,
+       CASE WHEN status <> 200 THEN 'status_500' WHEN style = 6 THEN 'no_json' ELSE 'events_not_array' END AS reason
+FROM doc_ev WHERE status <> 200 OR style IN (6, 8)
+UNION ALL
+SELECT response_id, event_idx, 'missing_summary' FROM decoded WHERE summary IS NULL"""
+
     articles = _pipeline_articles() + "SELECT event_id, title, summary, story, sources, ord FROM enriched"
     q["run_pipeline"] = articles
     q["stream_pipeline"] = articles
@@ -373,6 +441,6 @@ SELECT event_id, CAST(1 AS BIGINT) AS batch_id, title, story, sources, ord FROM
         "dups AS (SELECT DISTINCT id FROM bdots WHERE dot >= 0.8)",
     ) + """
 SELECT count(*) AS total, count(*) FILTER (WHERE ord IN (SELECT id FROM dups)) AS duplicates,
-       count(*) FILTER (WHERE ord NOT IN (SELECT id FROM dups)) AS stored
+       count(*) FILTER (WHERE ord NOT IN (SELECT id FROM dups)) AS stored, CAST(0 AS BIGINT) AS rejected
 FROM built"""
     return q

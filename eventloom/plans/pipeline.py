@@ -19,13 +19,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.extract import build_events, contract_split, extract_events
-from eventloom.operators.retrieval import BM25Index, build_index, build_queries, enrich_events, retrieve_topk
+from eventloom.functions.ids import event_key
+from eventloom.operators.extract import build_events, contract_split, decode_responses, split_decoded
+from eventloom.operators.retrieval import EXCERPT_MAX_CHARS, BM25Index, build_queries, enrich_events, retrieve_topk
 from eventloom.operators.similarity import SIMILARITY_THRESHOLD, DEDUP_TOP_K, flag_duplicates
 from eventloom.operators.stores import (
     DEDUP_NAMESPACE,
     append_articles,
     chunk_vectors,
+    claim_batch,
+    clear_batch,
     latest_vectors,
     overview_vectors,
     read_vector_log,
@@ -34,25 +37,32 @@ from eventloom.operators.stores import (
 from eventloom.operators.vectors import DEFAULT_DIM, embed_table, overview_text
 from eventloom.sources.intake import split_by_status
 
-ORD_STRIDE = 1 << 20  # event_idx < 2**20 within one answer
-
-
 @dataclass
 class PipelineRun:
-    stats: DataFrame  # one row: total, duplicates, stored
+    stats: DataFrame  # one row: total, duplicates, stored, rejected
     store_path: str
     articles_path: str
     batch_id: int
+    quarantine_path: str | None = None
 
 
-def event_batch(responses: DataFrame, run_ts: str, dim: int = DEFAULT_DIM, embedder=None) -> dict[str, DataFrame]:
-    """Responses -> embedded events of one batch, plus every rejected row."""
-    ok, rejected = split_by_status(responses)
-    raw, undecodable = extract_events(ok)
-    valid, broken = contract_split(raw)
-    built = build_events(valid, run_ts).withColumn(
-        "ord", F.col("response_id") * F.lit(ORD_STRIDE) + F.col("event_idx")
-    )
+def event_batch(
+    responses: DataFrame, run_ts: str, dim: int = DEFAULT_DIM, embedder=None, mode: str = "quarantine"
+) -> dict[str, DataFrame]:
+    """Responses -> embedded events of one batch, plus every rejected row.
+
+    ``decoded`` is persisted: events and quarantine both come from it, and the
+    caller unpersists it. ``mode='failfast'`` aborts on the first bad row instead.
+    """
+    ok, rejected = split_by_status(responses, mode)
+    if mode == "failfast":
+        rejected = rejected.withColumn("reason", F.lit(None).cast("string"))
+    decoded = decode_responses(ok).persist(StorageLevel.MEMORY_AND_DISK)
+    raw, undecodable = split_decoded(decoded, mode)
+    valid, broken = contract_split(raw, mode)
+    if mode == "failfast":
+        broken = broken.withColumn("reason", F.lit(None).cast("string"))
+    built = build_events(valid, run_ts).withColumn("ord", event_key(F.col("response_id"), F.col("event_idx")))
     embedded = embed_table(
         built.withColumn("_overview", overview_text(F.col("title"), F.col("summary"))),
         "ord", "_overview", dim=dim, embedder=embedder,
@@ -62,7 +72,7 @@ def event_batch(responses: DataFrame, run_ts: str, dim: int = DEFAULT_DIM, embed
         .unionByName(undecodable)
         .unionByName(broken.select("response_id", "event_idx", "reason"))
     )
-    return {"events": embedded, "quarantine": quarantine}
+    return {"events": embedded, "quarantine": quarantine, "decoded": decoded}
 
 
 def flag_batch(
@@ -116,35 +126,66 @@ def run_pipeline(
     threshold: float = SIMILARITY_THRESHOLD,
     scope: str = "history",
     index: BM25Index | None = None,
+    quarantine_path: str | None = None,
+    mode: str = "quarantine",
+    search_ts_col: str | None = None,
+    search_date=None,
+    excerpt_chars: int | None = EXCERPT_MAX_CHARS,
+    run_id: str | None = None,
 ) -> PipelineRun:
     """Run one batch end to end; returns the statistics of the run.
 
-    Nothing is written when no event survives (the reference's early exit).
-    ``index`` (``build_index(corpus)``) can be shared by many batches; if not
-    given it is built for this batch and released at the end.
+    No event is stored when none survives (the reference's early exit); what an
+    earlier attempt of the batch stored is removed. Rejected rows are counted,
+    and written to ``quarantine_path`` (by batch) if it is given; with
+    ``mode='failfast'`` the first one aborts the run. ``search_ts_col`` and
+    ``search_date`` limit the search to that day's pages. ``index``
+    (``build_index(corpus)``) can be shared by many batches; if not given it is
+    built for this batch and released at the end. With ``run_id`` the batch is
+    claimed for that run, and a batch of another run is refused.
     """
-    events = event_batch(responses, run_ts, dim, embedder)["events"].persist(StorageLevel.MEMORY_AND_DISK)
-    history = latest_vectors(read_vector_log(spark, store_path), DEDUP_NAMESPACE, before_batch=batch_id)
+    if run_id is not None:
+        claim_batch(spark, store_path, batch_id, run_id)
+    batch = event_batch(responses, run_ts, dim, embedder, mode)
+    events = batch["events"].persist(StorageLevel.MEMORY_AND_DISK)
+    history = latest_vectors(read_vector_log(spark, store_path), DEDUP_NAMESPACE, before_batch=batch_id, columns=["vector"])
     flagged = flag_batch(events, history, threshold, scope, dim=None if embedder else dim).persist(StorageLevel.MEMORY_AND_DISK)
-    stats_row = pipeline_stats(flagged).first()
-    stats = spark.createDataFrame([stats_row.asDict()], "total long, duplicates long, stored long")
     try:
-        if stats_row["stored"]:
+        counts = pipeline_stats(flagged).first().asDict()
+        quarantine = batch["quarantine"].withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if quarantine_path:
+            clear_batch(spark, quarantine_path, batch_id)
+            quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path)
+            quarantine = read_quarantine(spark, quarantine_path).filter(F.col("batch_id") == batch_id)
+        counts["rejected"] = quarantine.count()
+        stats = spark.createDataFrame([counts], "total long, duplicates long, stored long, rejected long")
+        if counts["stored"]:
             survivors = flagged.filter(~F.col("is_duplicate")).drop("is_duplicate", "best_score", "best_match_id")
-            own_index = index is None
-            index = build_index(corpus) if own_index else index
             queries = build_queries(survivors, supplied_queries)
-            results = retrieve_topk(queries, corpus, index=index)
-            enriched = enrich_events(survivors, results, articles).persist(StorageLevel.MEMORY_AND_DISK)
+            results = retrieve_topk(queries, corpus, ts_col=search_ts_col, run_date=search_date, index=index)
+            enriched = enrich_events(survivors, results, articles, excerpt_chars).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 records = overview_vectors(enriched).unionByName(chunk_vectors(enriched, dim=dim, embedder=embedder))
                 upsert_vectors(records, store_path, batch_id)
                 append_articles(enriched, articles_path, batch_id)
             finally:
                 enriched.unpersist()
-                if own_index:
-                    index.release()
+        else:
+            clear_batch(spark, store_path, batch_id)
+            clear_batch(spark, articles_path, batch_id)
     finally:
         flagged.unpersist()
         events.unpersist()
-    return PipelineRun(stats, store_path, articles_path, batch_id)
+        batch["decoded"].unpersist()
+    return PipelineRun(stats, store_path, articles_path, batch_id, quarantine_path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """``(response_id, event_idx, reason, batch_id)`` of the rows that runs rejected."""
+    schema = "response_id long, event_idx int, reason string, batch_id long"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as exc:  # noqa: BLE001 - only "path does not exist" is expected
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        return spark.createDataFrame([], schema)

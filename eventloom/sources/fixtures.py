@@ -2,14 +2,17 @@
 
 The reference consumes model answers, search results and stored history from
 hosted services. Here they are Spark projections of the test tables, so every
-job's work grows with the tables. Nothing is sampled or capped: every document
-becomes one event, every page one corpus row.
+job's work grows with the tables. Nothing is sampled or capped. Every page is one
+corpus row. Without faults every document becomes one event; with faults (the
+input of the status, extraction and contract jobs, whose feature they are) the
+answers of some ids are refused, have no JSON or lack a field.
 
 * ``responses``: documents grouped five to an answer (the reference asks for
   five events per answer). An event's title is the document's first line and
   its summary the whole rest of the text. Answers are wrapped in the styles
   real answers arrive in, chosen by ``response_id % 10``; status is 500 for
-  ``response_id % 11 = 0``.
+  ``response_id % 11 = 0``. ``faults=False`` uses only the whole styles, in turn,
+  and status 200.
 * ``corpus``: pages with content = text of ``<p>...</p>`` elements, tags
   blanked to a space, joined by a space.
 * ``decorated_text``: documents / conversation turns with markdown, citations,
@@ -28,6 +31,9 @@ N_STYLES = 10
 ERROR_EVERY = 11
 BASE_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 SECONDS_PER_RESPONSE = 997
+SECONDS_PER_PAGE = 600
+PAGE_OFFSET = 13 * 86400  # the first pages are two days older than the run's day
+WHOLE_STYLES = (0, 1, 2, 3, 4, 7)  # styles whose answers hold all their events
 
 # Fixed wrapper texts for the answer styles.
 THINK_TEXT = "<think>\nThe user wants the five most significant events. I will answer in JSON.\n</think>\n"
@@ -59,7 +65,7 @@ def raw_summary(doc_id: Column, text: Column) -> Column:
     return F.when(doc_id % 4 == 3, F.concat(F.lit("## "), cited)).otherwise(cited)
 
 
-def responses(documents: DataFrame) -> DataFrame:
+def responses(documents: DataFrame, faults: bool = True) -> DataFrame:
     """``(response_id, status, content, ts)`` answers built from ``documents``."""
     docs = documents.select(
         "doc_id",
@@ -68,6 +74,8 @@ def responses(documents: DataFrame) -> DataFrame:
         raw_summary(F.col("doc_id"), F.col("text")).alias("summary"),
     )
     style = F.col("response_id") % N_STYLES
+    if not faults:
+        style = F.array(*map(F.lit, WHOLE_STYLES))[(F.col("response_id") % len(WHOLE_STYLES)).cast("int")]
     first_in_response = F.col("doc_id") % EVENTS_PER_RESPONSE == 0
     item = F.when(
         (style == 5) & first_in_response, F.to_json(F.struct("title"))
@@ -93,17 +101,18 @@ def responses(documents: DataFrame) -> DataFrame:
     )
     return grouped.select(
         "response_id",
-        F.when(F.col("response_id") % ERROR_EVERY == 0, F.lit(500)).otherwise(F.lit(200)).alias("status"),
+        F.when(F.lit(faults) & (F.col("response_id") % ERROR_EVERY == 0), F.lit(500)).otherwise(F.lit(200)).alias("status"),
         content.alias("content"),
         F.timestamp_seconds(F.col("response_id") * SECONDS_PER_RESPONSE + BASE_EPOCH).alias("ts"),
     )
 
 
 def corpus(pages: DataFrame) -> DataFrame:
-    """``(page_id, url, content)``: paragraph text of each page."""
+    """``(page_id, url, content, ts)``: paragraph text of each page, a page every ten minutes."""
     paragraphs = F.regexp_extract_all(F.col("html"), F.lit(r"(?s)<p>(.*?)</p>"), 1)
     content = F.array_join(F.transform(paragraphs, lambda p: F.regexp_replace(p, r"<[^>]*>", " ")), " ")
-    return pages.select("page_id", "url", content.alias("content"))
+    ts = F.timestamp_seconds(F.col("page_id") * SECONDS_PER_PAGE + BASE_EPOCH + PAGE_OFFSET)
+    return pages.select("page_id", "url", content.alias("content"), ts.alias("ts"))
 
 
 def decorated_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

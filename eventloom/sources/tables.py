@@ -14,6 +14,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventloom.session import scratch_path
+
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
@@ -26,3 +28,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return ensure_parallelism(df) if spread else df
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: computed once, lineage cut."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,9 +1,8 @@
 """The curation flow over a stream of answers (operator 33).
 
 Each micro-batch is one pipeline run against the history as of its start.
-Exactly-once comes from three things: the stream checkpoint, sinks written
-with dynamic partition overwrite keyed by ``batch_id`` (a retried epoch
-replaces its own partitions), and inputs that are a function of the epoch
+Exactly-once comes from three things: the stream checkpoint, sinks that replace
+all that an earlier attempt of the ``batch_id`` wrote, and inputs that are a function of the epoch
 (history read with ``batch_id < current``, ``run_ts`` fixed or taken from
 the batch itself).
 """
@@ -35,7 +34,9 @@ def stream_pipeline(
     """Start the stream; ``batch_id = epoch_id + batch_offset``.
 
     ``run_ts=None`` stamps each batch with its latest answer time, so a
-    replayed epoch gets the same stamp. The corpus is static for the stream,
+    replayed epoch gets the same stamp. Batches belong to the stream's checkpoint:
+    a stream with another checkpoint that would replace them is refused (give it a
+    ``batch_offset`` beyond them). The corpus is static for the stream,
     so its BM25 index is built once and shared by every micro-batch.
     """
     index = pipeline_kwargs.pop("index", None) or build_index(corpus)
@@ -54,7 +55,7 @@ def stream_pipeline(
             stamp = latest or "1970-01-01 00:00:00"
         run_pipeline(
             batch.sparkSession, batch, corpus, store_path, articles_path,
-            batch_id=epoch_id + batch_offset, run_ts=stamp, index=index, **pipeline_kwargs,
+            batch_id=epoch_id + batch_offset, run_ts=stamp, index=index, run_id=checkpoint_path, **pipeline_kwargs,
         )
 
     writer = source.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_path)

@@ -16,10 +16,19 @@ def test_every_survey_operator_is_registered_with_an_oracle():
     queries, oracles = entry.queries(), entry.oracle_sql()
     assert SURVEY_KEYS <= set(queries)
     assert set(oracles) <= set(queries)
-    assert SURVEY_KEYS - set(oracles) == {"similarity_join_lsh"}  # approximate: rows-only
+    assert SURVEY_KEYS - set(oracles) == set()
 
 
 def test_entry_runs_on_smoke_data(spark):
     df = entry.entry(spark)
     assert df.columns == ["event_id", "title", "best_score", "best_match_id", "ord"]
     assert df.count() > 0
+
+
+def test_shared_folder_with_a_scheme_leaves_no_local_file(spark, tmp_path, monkeypatch):
+    from eventloom import session
+
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setattr(spark.sparkContext, "_eventloom_shipped", False, raising=False)
+    session.ship_package(spark)
+    assert list(tmp_path.iterdir()) == []

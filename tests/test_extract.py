@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators.extract import build_events, contract_report, contract_split, decode_answer, extract_events
+from eventloom.operators.extract import NoJson, answer_candidates, build_events, contract_report, contract_split, decode_first, extract_events
 from eventloom.sources.intake import RESPONSE_SCHEMA, day_window, read_responses, split_by_status
 
 TWO_EVENTS = {"events": [{"title": "Event 1", "summary": "Summary 1"}, {"title": "Event 2", "summary": "Summary 2"}]}
@@ -18,16 +18,34 @@ def answers(spark, rows):
     return spark.createDataFrame([(i, st, c, ts) for i, (st, c) in enumerate(rows)], RESPONSE_SCHEMA)
 
 
-def test_decode_variants():
-    assert decode_answer(FENCED) == TWO_EVENTS
-    assert decode_answer("Here you go:\n```json\n{\"a\": 1}\n```\nbye") == {"a": 1}
-    assert decode_answer("Sure! {\"a\": [1, 2]} trailing {junk") == {"a": [1, 2]}
-    assert decode_answer("[1, 2]") == [1, 2]
-    assert decode_answer("```JSON\n{\"x\": NaN}\n```") is not None
-    with pytest.raises(ValueError):
-        decode_answer("There is no JSON here at all.")
-    with pytest.raises(ValueError):
-        decode_answer(None)
+def test_decode_variants(spark):
+    cases = [
+        (FENCED, TWO_EVENTS),
+        ("Here you go:\n```json\n{\"a\": 1}\n```\nbye", {"a": 1}),
+        ("Sure! {\"a\": [1, 2]} trailing {junk", {"a": [1, 2]}),
+        ("[1, 2]", [1, 2]),
+        ("```JSON\n{\"x\": -Infinity}\n```", {"x": float("-inf")}),
+        ("x ```json\n[1] and more ]\n``` y", [1]),  # the block does not parse: its longest prefix does
+        ("There is no JSON here at all.", NoJson),
+        ("{broken", NoJson),
+        (None, NoJson),
+    ]
+    found = answer_candidates(answers(spark, [(200, c) for c, _ in cases])).orderBy("response_id").collect()
+    for row, (text, want) in zip(found, cases):
+        if want is NoJson:
+            with pytest.raises(NoJson):
+                decode_first(row.whole, row.fenced, row.tail)
+        else:
+            assert decode_first(row.whole, row.fenced, row.tail) == want, text
+
+
+def test_cut_emoji_is_quarantined_not_fatal(spark):
+    df = answers(spark, [(200, r'{"events": [{"title": "cut \ud83d", "summary": "s"}, {"title": "ok \ud83d\ude00", "summary": "s"}]}')])
+    events, quarantine = extract_events(df)
+    assert [r.title for r in events.collect()] == ["ok \U0001F600"]
+    assert [(r.event_idx, r.reason) for r in quarantine.collect()] == [(0, "bad_unicode")]
+    with pytest.raises(Exception, match="bad_unicode"):
+        extract_events(df, mode="failfast")[0].collect()
 
 
 def test_extract_two_events_in_order(spark):

@@ -45,6 +45,18 @@ def test_bm25_matches_formula(spark):
     assert got[1][0] == 1 and got[2][0] == 2
 
 
+def test_both_strategies_agree_and_leave_nothing_cached(spark):
+    corpus = spark.createDataFrame([(i, f"u{i}", " ".join(["common"] * (i % 4) + [f"w{i % 7}", "x"])) for i in range(60)],
+                                   "page_id long, url string, content string")
+    queries = spark.createDataFrame([(f"q{i}", f"w{i} common") for i in range(9)], "event_id string, query string")
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    rows = [sorted((r.event_id, r.rank, r.page_id, round(r.score, 9)) for r in retrieve_topk(queries, corpus, strategy=s).collect())
+            for s in ("broadcast", "shuffle", None)]
+    assert rows[0] == rows[1] == rows[2] and rows[0]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
 def test_sources_first_seen_and_excerpts(spark):
     results = spark.createDataFrame(
         [("e", 1, "a", "x"), ("e", 2, "b", ""), ("e", 3, "a", "y"), ("e", 4, None, "z"), ("e", 5, "", None)],
@@ -59,6 +71,7 @@ def test_excerpt_cap(spark):
     results = spark.createDataFrame([("e", i, f"u{i}", "é" * 3000) for i in range(1, 5)],
                                     "event_id string, rank int, url string, content string")
     assert len(aggregate_results(results).first().excerpts) == 8000
+    assert len(aggregate_results(results, max_chars=None).first().excerpts) == 4 * 3000 + 3 * 2
 
 
 def test_enrich_no_results_unchanged_and_article_branch(spark):

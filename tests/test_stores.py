@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators.stores import (
     append_articles,
     chunk_vectors,
+    claim_batch,
     compact_vectors,
     latest_vectors,
     overview_vectors,
@@ -49,12 +51,16 @@ def test_latest_wins_stale_chunks_and_compaction(spark, tmp_dir):
     assert view[("deduplication", "e1")].summary == "S3"  # same batch: higher ord wins
     assert view[("research", "e1_chunk_0")].text == "x y" and view[("research", "e1_chunk_0")].version == 2
     assert view[("research", "e1_chunk_2")].version == 1  # stale chunk kept, as the reference does
-    pruned = {r.id for r in latest_vectors(log, prune_stale=True).collect()}
-    assert "e1_chunk_2" not in pruned and "e1_chunk_0" in pruned
+    # The newest store of e1 (ord 2 of batch 2) has no story, so no chunk is current, seen from either namespace.
+    assert {r.id for r in latest_vectors(log, prune_stale=True).collect()} == {"e1"}
+    assert latest_vectors(log, "research", prune_stale=True).count() == 0
+    assert {r.id for r in latest_vectors(log, "research", before_batch=2, prune_stale=True).collect()} == {"e1_chunk_0", "e1_chunk_1", "e1_chunk_2"}
+    assert latest_vectors(log, "deduplication", columns=["vector"]).columns == ["namespace", "id", "vector"]
     as_of_2 = {r.id: r.summary for r in latest_vectors(log, "deduplication", before_batch=2).collect()}
     assert as_of_2 == {"e1": "S1"}
     compacted = compact_vectors(spark, path, tmp_dir + "/compact")
-    cols = ["namespace", "id", "version", "summary", "text"]
+    cols = ["namespace", "id", "version", "summary", "text", "vector"]
+    assert len(read_vector_log(spark, tmp_dir + "/compact").inputFiles()) <= len(log.inputFiles())
     assert sorted(compacted.select(*cols).collect()) == sorted(latest_vectors(log).select(*cols).collect())
 
 
@@ -66,6 +72,33 @@ def test_retried_batch_is_idempotent(spark, tmp_dir):
     assert read_vector_log(spark, path).count() == 3
 
 
+def test_retry_with_less_leaves_nothing_behind(spark, tmp_dir):
+    path = tmp_dir + "/vectors"
+    upsert_vectors(records(events(spark, [("e1", "T", "S", "a b c d", [], 1)])), path, 5)
+    upsert_vectors(records(events(spark, [("e1", "T", "S", "", [], 1)])), path, 5)
+    assert [r.namespace for r in read_vector_log(spark, path).collect()] == ["deduplication"]
+
+
+def test_compaction_of_many_batches_has_fewer_files(spark, tmp_dir):
+    path = tmp_dir + "/vectors"
+    for b in range(1, 6):
+        upsert_vectors(records(events(spark, [(f"e{b}", "T", "S", "a b c d", [], 1), ("same", "T", f"S{b}", "x", [], 2)])), path, b)
+    before = read_vector_log(spark, path)
+    compact_vectors(spark, path, tmp_dir + "/compact")
+    after = read_vector_log(spark, tmp_dir + "/compact")
+    assert len(after.inputFiles()) < len(before.inputFiles())
+    assert {(r.id, r.version) for r in after.collect()} == {(r.id, r.version) for r in latest_vectors(before).collect()}
+    assert {r.batch_id for r in after.select("batch_id").distinct().collect()} == {5}
+
+
+def test_batch_of_another_run_is_refused(spark, tmp_dir):
+    claim_batch(spark, tmp_dir + "/vectors", 1, "run-a")
+    claim_batch(spark, tmp_dir + "/vectors", 1, "run-a")
+    claim_batch(spark, tmp_dir + "/vectors", 2, "run-b")
+    with pytest.raises(ValueError, match="belongs to run"):
+        claim_batch(spark, tmp_dir + "/vectors", 1, "run-b")
+
+
 def test_articles_insert_not_upsert(spark, tmp_dir):
     path = tmp_dir + "/articles"
     ev = events(spark, [("e1", "Same", "S1", "", [], 1), ("e1", "Same", "S2", "", [], 2)])

@@ -28,12 +28,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.staged_path = path
+    return written
 
 
-def by_partitions(df: DataFrame) -> int:
-    """Shuffle partitions of the session, for an explicit repartition."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def discard(written: DataFrame) -> None:
+    """Remove a table that ``stage`` wrote and that nothing reads any more."""
+    jvm = written.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(written.staged_path)
+    path.getFileSystem(written.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _slot(id_col: Column, bits: int) -> Column:

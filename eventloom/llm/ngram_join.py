@@ -4,21 +4,21 @@ A document's set holds the 64-bit hashes of its distinct shingles of ``words``
 words (A-Z lower-cased). Two documents link when their sets' Jaccard
 similarity is at least ``percent`` / 100.
 
-1. Equal sets are one class. Shingles that many documents hold are found by
-   counting in every chunk of the corpus and adding up; they come last in the
-   order of shingles, all others are ordered by hash. The first
-   n - ceil(t n) + 1 shingles of a set are its prefix; linked sets share one.
+1. Equal sets are one class. Shingles are ordered by hash, but frequent ones
+   come last. The first n - ceil(t n) + 1 shingles of a set are its prefix;
+   linked sets share one. To tell frequent ones, and those that no other set
+   holds, each document's shingles are counted as far as its prefix may reach.
 2. Classes with the same prefix and size form a group. Only groups meet in the
    join: a (shingle, group) row for every prefix shingle of at least two groups.
 3. Group pairs are filtered by size and by the number of prefix shingles they
    share, then expanded to members, which are verified on their whole sets.
 
 A family of near copies shares its whole prefix, so pairing all of it would
-cost the square of its size. Hence pairs are made in two turns. First every
-group is paired with one group per shingle only, the smallest of its row, and
-members of a group with the group's first; the links found that way give each
-class a hub at a known distance. Then only shingles whose classes still lie in
-different components are joined, hub against hub. For sets, 1 - Jaccard is a
+cost the square of its size. Hence pairs are made in turns. First every group is paired
+with one other, members of a group with the group's first, and then every
+component with one other; the links found that way give classes a hub at a
+known distance. Only shingles whose classes still lie in different components
+are joined, hub against hub. For sets, 1 - Jaccard is a
 metric: members a, b of hubs h, k can link only if d(h, k) <= 1 - t + d(a, h) +
 d(b, k). Pairs of hubs that this cannot rule out are expanded to members. No
 link between different components is lost.
@@ -36,20 +36,26 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm import kernel as K
-from eventloom.llm.common import drop_ids, keep_ids, stage
+from eventloom.llm.common import discard, drop_ids, keep_ids, stage
 from eventloom.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-#: Shingles counted at a time, and the count in one such chunk from which a shingle is reported.
+#: Shingles counted at a time by a task.
 CHUNK = 1 << 21
-CHUNK_LEAST = 4
-#: Most frequent shingles that are demoted; the broadcast table holds 16 bytes for each.
-MOST_FREQUENT = 1 << 19
+#: A set's shingles are counted this many times as far as its prefix reaches.
+REACH = 1.3
+#: A shingle that so many documents hold is demoted, if it is among the most frequent ones.
+FREQUENT = 12
+#: Groups that a group is compared with in the first turn.
+PARTNERS = 3
+MOST_FREQUENT = 1 << 20
+#: Bits of the filter on repeated shingles (16 for each, within these bounds).
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 
 
 def _sets(column: pa.Array, words: int):
@@ -59,37 +65,92 @@ def _sets(column: pa.Array, words: int):
         yield from np.split(hashes, np.searchsorted(text, np.arange(1, len(bounds) - 1)))
 
 
-def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, counts) of shingles that many documents hold, at most ``MOST_FREQUENT``.
+def _prefix_length(n: int, percent: int) -> int:
+    return n - (percent * n + 99) // 100 + 1
 
-    Every shingle held by more documents than ``CHUNK_LEAST - 1`` times the
-    number of chunks is reported by some chunk. A shingle that is missed only
-    makes the join slower.
+
+def _counted(n: int, percent: int) -> int:
+    """How many of a set's shingles, by hash, are counted."""
+    return min(n, int(REACH * _prefix_length(n, percent)) + 1)
+
+
+class Frequencies:
+    """What is known of shingles' document counts: the frequent ones, and which occur twice at all.
+
+    Every set is counted as far as its prefix reaches. Where so many of those are
+    frequent that demoting them makes the prefix reach further (families of
+    copies, texts made of common passages), a second pass counts the set whole.
+    Both tables have a bounded size. A frequent shingle that is not listed and a
+    shingle that wrongly counts as repeated make the join slower, not different.
     """
 
-    def count(batches):
-        held, n = [], 0
+    def __init__(self, docs: DataFrame, words: int, percent: int):
+        spark = docs.sparkSession
+        self.words, self.percent = words, percent
+        self.often, self.times = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        counts = stage(self._count(docs, lambda s: s[: _counted(len(s), percent)]), "join-counts")
+        self._list(counts)
+        deep = spark.sparkContext.broadcast((self.often, self.times))
+
+        def whole(s):
+            often, _ = deep.value
+            reach = s[: _counted(len(s), percent)]
+            at = np.minimum(np.searchsorted(often, reach), len(often) - 1)
+            return s if len(reach) - int((often[at] == reach).sum()) < _prefix_length(len(s), percent) else s[:0]
+
+        if len(self.often):
+            self._list(counts.union(stage(self._count(docs, whole), "join-counts-deep")).groupBy("shingle").agg(F.max("n").alias("n")))
+        bits = min(max(1 << max(16 * counts.count() - 1, 1).bit_length(), LEAST_BITS), MOST_BITS)
+        slot = F.col("shingle").bitwiseAND(F.lit(bits - 1))
+        filled = counts.select(F.shiftrightunsigned(slot, 6).alias("word"), F.expr("shiftleft(1L, cast(shingle & 63 as int))").alias("bit"))
+        filled = filled.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most bits / 64 rows
+        self.bitmap = np.zeros(bits // 64, np.uint64)
+        self.bitmap[filled.column("word").to_numpy()] = filled.column("bits").to_numpy().view(np.uint64)
+
+    def _count(self, docs: DataFrame, part) -> DataFrame:
+        """(shingle, n) of what ``part`` takes of each set, without those of one document."""
+        words = self.words
 
-        def report():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= CHUNK_LEAST
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["shingle", "n"])
+        def count(batches):
+            held, n = [], 0
 
-        for batch in batches:
-            for _, data, bounds in K.blocks(batch.column(0), K.SMALL_BLOCK):
-                held.append(K.shingles(data, bounds, words)[1])
-                n += len(held[-1])
+            def report():
+                values, counts = np.unique(np.concatenate(held), return_counts=True)
+                return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["shingle", "n"])
+
+            for batch in batches:
+                for s in _sets(batch.column(0), words):
+                    taken = part(s) if len(s) else s
+                    if len(taken):
+                        held.append(taken)
+                        n += len(taken)
                 if n >= CHUNK:
                     yield report()
                     held, n = [], 0
-        if held:
-            yield report()
-
-    counted = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toArrow()
-    values = top.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(values)
-    return values[order], top.column("n").to_numpy()[order]
+            if held:
+                yield report()
+
+        counted = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+        return counted.filter("n > 1")
+
+    def _list(self, counts: DataFrame) -> None:
+        top = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toArrow()
+        values = top.column("shingle").to_numpy().view(np.uint64)
+        order = np.argsort(values)
+        self.often, self.times = values[order], top.column("n").to_numpy()[order].astype(np.int32)
+
+    def prefix(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the prefix of a sorted set, places in it of shingles that may be in another set)."""
+        take = _prefix_length(len(s), self.percent)
+        prefix = s[:take]
+        if len(self.often):
+            at = np.minimum(np.searchsorted(self.often, s), len(self.often) - 1)
+            held = np.where(self.often[at] == s, self.times[at], 0)
+            if held.any():
+                prefix = s[np.lexsort((s, held))[:take]]
+        place = prefix & np.uint64(len(self.bitmap) * 64 - 1)
+        twice = self.bitmap[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1
+        return prefix, np.flatnonzero(twice | (prefix > s[_counted(len(s), self.percent) - 1]))
 
 
 def _digest(*arrays: np.ndarray) -> tuple[int, int]:
@@ -101,39 +162,40 @@ def _digest(*arrays: np.ndarray) -> tuple[int, int]:
 
 
 def prefix_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(id, n, set_key, set_rest, group, prefix) for every document; keys are null for empty sets."""
+    """(id, n, set_key, set_rest, group, prefix, places) for every document; keys are null for empty sets.
+
+    ``prefix`` leaves out shingles that no other set holds; ``places`` are where the others stand in it.
+    """
     kind = docs.schema["id"].dataType.simpleString()
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, words))
+    known = docs.sparkSession.sparkContext.broadcast(Frequencies(docs, words, percent))
 
     def rows(batches):
-        often, counts = frequent.value
+        frequencies = known.value
         for batch in batches:
-            n, key, rest, group, prefixes = [], [], [], [], []
+            n, key, rest, group, prefixes, places = [], [], [], [], [], []
             for s in _sets(batch.column(1), words):
                 n.append(len(s))
                 if not len(s):
                     for column in (key, rest, group):
                         column.append(None)
                     prefixes.append(s)
+                    places.append(np.zeros(0, np.int64))
                     continue
-                take = len(s) - (percent * len(s) + 99) // 100 + 1
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    held = np.where(often[at] == s, counts[at], 0)
-                    prefix = s[np.lexsort((s, held))[:take]] if held.any() else s[:take]
-                else:
-                    prefix = s[:take]
+                prefix, at = frequencies.prefix(s)
                 a, b = _digest(s)
                 key.append(a)
                 rest.append(b)
                 group.append(_digest(prefix, np.array([len(s)]))[0])
-                prefixes.append(prefix)
+                prefixes.append(prefix[at])
+                places.append(at)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
+            at = np.concatenate(places).astype(np.int64) if places else np.zeros(0, np.int64)
+            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (flat, at)]
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rest, pa.int64()), pa.array(group, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "n", "set_key", "set_rest", "group", "prefix"])
+            yield pa.RecordBatch.from_arrays([*columns, *lists], ["id", "n", "set_key", "set_rest", "group", "prefix", "places"])
 
-    return docs.mapInArrow(rows, f"id {kind}, n long, set_key long, set_rest long, group long, prefix array<long>")
+    return docs.mapInArrow(rows, f"id {kind}, n long, set_key long, set_rest long, group long, prefix array<long>, places array<long>")
 
 
 def _ceil(numerator: Column, denominator: int) -> Column:
@@ -144,6 +206,12 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def _within_reach(place: Column, a: Column, b: Column, percent: int) -> Column:
+    """Whether a shingle at ``place`` of a set of size ``a`` can be the first that it shares with a
+    linked set of size ``b``: what follows must hold all they need to share."""
+    return place <= a - _ceil((a + b) * percent, 100 + percent)
+
+
 def _enough_shared(shared: Column, a: Column, b: Column, percent: int) -> Column:
     """Whether prefixes share enough for their sets to link: what they do not share is at most
     all that follows the prefix of one of them."""
@@ -181,7 +249,9 @@ class _Verifier:
         common = both.select("a", "b", F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("common"), (F.size("set_a") + F.size("set_b")).cast("long").alias("sizes"))
         union = F.col("sizes") - F.col("common")
         near = (F.col("common") * 100 >= union * self.percent).alias("near")
-        return stage(common.select("a", "b", near, (1 - F.col("common") / union).alias("distance")).distinct(), "join-verified")
+        verified = stage(common.select("a", "b", near, (1 - F.col("common") / union).alias("distance")).distinct(), "join-verified")
+        discard(sets)
+        return verified
 
 
 def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -191,17 +261,24 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     verify = _Verifier(docs, classes, words, percent)
     slack = 1 - percent / 100 + 1e-9
 
-    # (shingle, group, n, lowest group of that shingle) for shingles of at least two groups.
+    # (shingle, group, n, place, lowest group of that shingle) for shingles of at least two groups.
     firsts = groups.select(F.col("first").alias("set_key"), "group").join(classes.select("set_key", "id"), "set_key").select("id", "set_key")
-    own = prefixes.join(firsts, ["id", "set_key"], "left_semi")
-    tokens = own.select("group", "n", F.explode("prefix").alias("shingle"))
+    own = stage(prefixes.join(firsts, ["id", "set_key"], "left_semi").select("set_key", "group", "n", "prefix", "places"), "join-own")
+    tokens = own.select("group", "n", F.explode(F.arrays_zip("prefix", "places")).alias("t")).select("group", "n", F.col("t.prefix").alias("shingle"), F.col("t.places").alias("place"))
     spread = tokens.groupBy("shingle").agg(F.min(F.struct("group", "n")).alias("low"), F.max("group").alias("high")).filter("low.group < high")
-    shared = stage(tokens.join(spread, "shingle").select("shingle", "group", "n", F.col("low.group").alias("low"), F.col("low.n").alias("low_n")).distinct(), "join-shared")
-
-    # First turn: each group against the lowest group of each of its shingles, members against their group's first.
+    # A row stays if another group of its shingle has a size that can link; in order of size that is a neighbour.
+    by_size = Window.partitionBy("shingle").orderBy("n", "group")
+    near_size = _sizes_fit(F.col("n"), F.lag("n").over(by_size), percent) | _sizes_fit(F.col("n"), F.lead("n").over(by_size), percent)
+    rows = tokens.join(spread, "shingle").select("shingle", "group", "n", "place", F.col("low.group").alias("low"), F.col("low.n").alias("low_n"))
+    shared = stage(rows.withColumn("kept", near_size).filter("kept").drop("kept"), "join-shared")
+
+    # First turn: each group against the few others, of the lowest groups of its shingles, with which it
+    # shares most; members against their group's first.
     to_low = shared.filter("group <> low").filter(_sizes_fit(F.col("n"), F.col("low_n"), percent))
     to_low = to_low.groupBy("group", "low").agg(F.count("*").alias("shared"), F.min("n").alias("n"), F.min("low_n").alias("low_n"))
     to_low = to_low.filter(_enough_shared(F.col("shared"), F.col("n"), F.col("low_n"), percent))
+    most = F.slice(F.sort_array(F.collect_list(F.struct("shared", "low")), asc=False), 1, PARTNERS)
+    to_low = to_low.groupBy("group").agg(most.alias("lows")).select("group", F.explode("lows.low").alias("low"))
     first_of = groups.select(F.col("group").alias("low"), F.col("first").alias("b"))
     pairs = to_low.join(classes.select("group", F.col("set_key").alias("a")), "group").join(first_of, "low").select("a", "b")
     inside = classes.join(groups.filter("members > 1").select("group", "first"), "group").filter("set_key <> first").select(F.col("set_key").alias("a"), F.col("first").alias("b"))
@@ -212,28 +289,50 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     linked = star.filter("near")
     roots = linked.join(linked.select(F.col("a").alias("b")).distinct(), "b", "left_anti")
     hub_of = roots.groupBy(F.col("a").alias("set_key")).agg(F.min(F.struct("b", "distance")).alias("h"))
-    found = components(links)
-    members = (
-        classes.join(hub_of, "set_key", "left")
-        .join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
-        .select("set_key", "group", "n", F.coalesce("h.b", "set_key").alias("hub"), F.coalesce("h.distance", F.lit(0.0)).alias("radius"), F.coalesce("component", "set_key").alias("component"))
-    )
-    members = stage(members, "join-members")
-    hubs = members.groupBy("hub").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("radius").alias("radius"), F.count("*").alias("members"))
+    def hubs_of(links):
+        """Classes with hub and component, hubs, and a row per shingle, hub where components still meet."""
+        found = components(links)
+        members = (
+            classes.join(hub_of, "set_key", "left")
+            .join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
+            .select("set_key", "group", "n", F.coalesce("h.b", "set_key").alias("hub"), F.coalesce("h.distance", F.lit(0.0)).alias("radius"), F.coalesce("component", "set_key").alias("component"))
+        )
+        members = stage(members, "join-members")
+        hubs = members.groupBy("hub").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("radius").alias("radius"), F.count("*").alias("members"))
+        rows = shared.select("shingle", "group", "place").join(members.select("group", "hub", "component"), "group")
+        rows = rows.groupBy("shingle", "hub", "component").agg(F.min("place").alias("place"))
+        ends = rows.groupBy("shingle").agg(F.min(F.struct("component", "hub")).alias("lo"), F.max(F.struct("component", "hub")).alias("hi")).filter("lo.component < hi.component")
+        return members, hubs, stage(rows.join(ends, "shingle").join(hubs, "hub"), "join-open")
+
+    def meets(x: str, y: str) -> Column:
+        return (F.col(f"{x}n_min") * percent <= F.col(f"{y}n_max") * 100) & (F.col(f"{y}n_min") * percent <= F.col(f"{x}n_max") * 100)
+
+    # The same again, twice, for whole components: each against the lowest or highest one of its shingles
+    # with which a hub of it shares most. What the first turn left apart by chance meets here without a join.
+    hub_of = stage(hub_of, "join-hubs")
+    for _ in range(2):
+        members, hubs, rows = hubs_of(links)
+        other = F.when(F.col("component") == F.col("lo.component"), F.col("hi")).otherwise(F.col("lo"))
+        turn = rows.select("component", F.col("hub").alias("a"), other.getField("hub").alias("b"), "n_min").groupBy("component", "a", "b").agg(F.count("*").alias("shared"), F.min("n_min").alias("n"))
+        turn = turn.filter(_enough_shared(F.col("shared"), F.col("n"), F.col("n"), percent))  # as for equal sizes
+        turn = turn.groupBy("component").agg(F.max(F.struct("shared", "a", "b")).alias("t")).select("t.a", "t.b")
+        links = stage(links.union(verify(turn).filter("near").select("a", "b")), "join-links")
+        discard(rows)
 
     # Second turn: hub against hub, over shingles that still join different components.
-    rows = shared.select("shingle", "group").join(members.select("group", "hub", "component"), "group").select("shingle", "hub", "component").distinct()
-    open_ = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("shingle")
-    rows = stage(rows.join(open_, "shingle", "left_semi").join(hubs, "hub"), "join-open")
+    members, hubs, rows = hubs_of(links)
+    rows = rows.drop("lo", "hi")
     x, y = rows.alias("x"), rows.alias("y")
     meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.hub") < F.col("y.hub")) & (F.col("x.component") != F.col("y.component"))
-    meet &= (F.col("x.n_min") * percent <= F.col("y.n_max") * 100) & (F.col("y.n_min") * percent <= F.col("x.n_max") * 100)
-    met = x.join(y, meet).groupBy(F.col("x.hub").alias("a"), F.col("y.hub").alias("b")).agg(
-        F.count("*").alias("shared"),
-        *(F.min(f"{s}.{c}").alias(f"{c}_{s}") for s in "xy" for c in ("n_min", "members", "radius")),
-    )
+    meet &= meets("x.", "y.")
+    meet &= _within_reach(F.col("x.place"), F.col("x.n_max"), F.col("y.n_min"), percent)
+    meet &= _within_reach(F.col("y.place"), F.col("y.n_max"), F.col("x.n_min"), percent)
+    met = x.join(y, meet).groupBy(F.col("x.hub").alias("a"), F.col("y.hub").alias("b")).agg(*(F.min(f"{s}.{c}").alias(f"{c}_{s}") for s in "xy" for c in ("n_min", "members", "radius")))
     single = (F.col("members_x") == 1) & (F.col("members_y") == 1)
-    met = stage(met.filter(~single | _enough_shared(F.col("shared"), F.col("n_min_x"), F.col("n_min_y"), percent)), "join-met")
+    prefix_of = lambda s: own.select(F.col("set_key").alias(s), F.col("prefix").alias(f"prefix_{s}"))
+    both = met.join(prefix_of("a"), "a", "left").join(prefix_of("b"), "b", "left")
+    enough = _enough_shared(F.size(F.array_intersect("prefix_a", "prefix_b")), F.col("n_min_x"), F.col("n_min_y"), percent)
+    met = stage(both.filter(~single | F.coalesce(enough, F.lit(True))).drop("prefix_a", "prefix_b"), "join-met")
     across = verify(met)
     links = links.union(across.filter("near").select("a", "b"))
 

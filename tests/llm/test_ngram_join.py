@@ -73,7 +73,7 @@ def test_drifting_families(spark, k, percent, seed):
 
 
 def test_common_passages_and_short_texts(spark, monkeypatch):
-    monkeypatch.setattr("eventloom.llm.ngram_join.CHUNK_LEAST", 2)
+    monkeypatch.setattr("eventloom.llm.ngram_join.FREQUENT", 4)
     rng = random.Random(8)
     line = " ".join(f"c{i}" for i in range(12))
     texts = [line + " " + " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 3)) for _ in range(rng.randint(0, 14))) for _ in range(150)]

@@ -53,6 +53,21 @@ def frequent_keys(df: DataFrame, key: str, counters: int = COUNTERS) -> DataFram
     return parts.groupBy(key).agg(F.sum("low").alias("low")).orderBy(F.desc("low"), key).limit(counters)
 
 
+def join_summary(rows: DataFrame, key: str, *sums: Column, counters: int = COUNTERS) -> DataFrame:
+    """``rows`` with per-key aggregates beside them, hot keys split off.
+
+    The aggregates of frequent keys (at most ``counters`` of them) are summed on
+    the map side and broadcast; rows of all other keys are shuffled. ``rows`` is
+    read several times, so it should be a written table; ``key`` is a string.
+    """
+    summary = lambda part: part.groupBy(key).agg(*sums, F.count("*").alias("__n"))
+    candidates = frequent_keys(rows, key, counters).select(key)
+    hot = stage(summary(rows.join(F.broadcast(candidates), key, "left_semi")).filter("__n > 1"), "hot-keys")
+    direct = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return direct.unionByName(rest.join(summary(rest), key)).drop("__n")
+
+
 def dedup_decisions(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -65,13 +80,8 @@ def dedup_decisions(
     text = normalise(text) if normalise else text
     digests = stage(docs.select(F.col(id_col).alias("id"), F.sha2(text.cast("binary"), 256).alias("digest")), "dedup-digests")
 
-    summary = lambda rows: rows.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    candidates = frequent_keys(digests, "digest", counters).select("digest")
-    hot = stage(summary(digests.join(F.broadcast(candidates), "digest", "left_semi")).filter("group_size > 1"), "dedup-hot")
-    direct = digests.join(F.broadcast(hot), "digest")
-    rest = digests.join(F.broadcast(hot.select("digest")), "digest", "left_anti")
-    shuffled = rest.join(summary(rest), "digest")
-    return direct.unionByName(shuffled).select(
+    joined = join_summary(digests, "digest", F.max("id").alias("keep_id"), F.count("*").alias("group_size"), counters=counters)
+    return joined.select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",

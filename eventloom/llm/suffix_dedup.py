@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import kernel as K
 from eventloom.llm.common import drop_ids, stage
+from eventloom.llm.exact_dedup import join_summary
 
 LENGTH = 100
 ANCHOR = 32
@@ -535,8 +536,8 @@ def remove_repeats(
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(id_col).alias("own_id"), text.alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.xxhash64("id", "hash"))
     digests = stage(rows.filter(F.octet_length("text") >= length).select("id", "row", F.octet_length("text").cast("long").alias("end"), "hash", F.sha2(F.col("text").cast("binary"), 256).alias("digest")), "suffix-digests")
-    first = digests.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = stage(digests.join(first, "digest").filter("id > first").select("id", "row", "hash", "end"), "suffix-copies")
+    copies = join_summary(digests, "digest", F.min("id").alias("first")).filter("id > first")
+    copies = stage(copies.select("id", "row", "hash", "end"), "suffix-copies")
     long_ = rows.filter(F.octet_length("text") >= length)
     found = covered_intervals(drop_ids(long_, "row", copies.select("row")), length, k, shard_bytes, hot_least)
     found = found.union(copies.select("id", "hash", F.lit(0).cast("long"), "end"))

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import split_by_ids, stage
+from eventloom.llm.exact_dedup import join_summary
 from eventloom.session import scratch_path
 
 VERSION = "WARC/1.1"
@@ -64,8 +65,8 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("sha1", F.sha1(F.col("payload").cast("binary"))).withColumn("row", F.xxhash64("id", "sha1"))
     digests = stage(rows.filter(F.octet_length("payload") >= least).select("id", "row", "sha1"), "warc-digests")
-    winners = digests.groupBy("sha1").agg(F.max("id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    revisits = stage(digests.join(winners, "sha1").filter("NOT (id <=> refers_to)").select("row", "refers_to").distinct(), "warc-revisits")
+    winners = join_summary(digests, "sha1", F.max("id").alias("refers_to"))
+    revisits = stage(winners.filter("NOT (id <=> refers_to) AND refers_to IS NOT NULL").select("row", "refers_to").distinct(), "warc-revisits")
     # Only rows that may be revisits are shuffled with their payload.
     maybe, no = split_by_ids(rows, "row", revisits.select("row"))
     joined = maybe.join(revisits, "row", "left")

@@ -15,10 +15,10 @@ similarity is at least ``percent`` / 100.
 
 A family of near copies shares its whole prefix, so pairing all of it would
 cost the square of its size. Hence pairs are made in turns. First every group is paired
-with one other, members of a group with the group's first, and then every
-component with one other; the links found that way give classes a hub at a
-known distance. Only shingles whose classes still lie in different components
-are joined, hub against hub. For sets, 1 - Jaccard is a
+with one other, members of a group with the group's first (those left without a
+link with a new first), and then every component with one other; the links found that way give classes a hub at a
+known distance. Only shingles and groups whose classes still lie in different
+components are joined, hub against hub. For sets, 1 - Jaccard is a
 metric: members a, b of hubs h, k can link only if d(h, k) <= 1 - t + d(a, h) +
 d(b, k). Pairs of hubs that this cannot rule out are expanded to members. No
 link between different components is lost.
@@ -53,6 +53,8 @@ REACH = 1.3
 FREQUENT = 12
 #: Groups that a group is compared with in the first turn.
 PARTNERS = 3
+#: Times that members of a group without a link are paired with a new first, before the turns.
+STARS = 2
 MOST_FREQUENT = 1 << 20
 #: Bits of the filter on repeated shingles (16 for each, within these bounds).
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
@@ -283,12 +285,29 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     pairs = to_low.join(classes.select("group", F.col("set_key").alias("a")), "group").join(first_of, "low").select("a", "b")
     inside = classes.join(groups.filter("members > 1").select("group", "first"), "group").filter("set_key <> first").select(F.col("set_key").alias("a"), F.col("first").alias("b"))
     star = verify(pairs.union(inside))
+    # Members that have no link yet get a first of their own, some times: without that a family whose
+    # first is a stranger would meet all against all.
+    tried = groups.select(F.col("first").alias("set_key"))
+    for _ in range(STARS):
+        linked = star.filter("near")
+        done = tried.union(linked.select("a")).union(linked.select("b")).distinct()
+        alone = classes.join(groups.filter("members > 1").select("group"), "group").join(done, "set_key", "left_anti").select("group", "set_key")
+        again = alone.join(alone.groupBy("group").agg(F.min("set_key").alias("b")), "group").select(F.col("set_key").alias("a"), "b")
+        again = stage(again, "join-alone")
+        if again.isEmpty():
+            break
+        tried = tried.union(again.select("b"))
+        star = stage(star.union(verify(again.filter("a <> b"))), "join-star")
     links = star.filter("near").select("a", "b")
 
     # Hubs: of the classes that a class is linked to, the lowest that has no such link itself.
     linked = star.filter("near")
     roots = linked.join(linked.select(F.col("a").alias("b")).distinct(), "b", "left_anti")
     hub_of = roots.groupBy(F.col("a").alias("set_key")).agg(F.min(F.struct("b", "distance")).alias("h"))
+    # All members of a group share its prefix; one row stands for it, so that members in different
+    # components meet also where no other group holds any of its shingles.
+    together = groups.filter("members > 1").select(F.col("group").alias("shingle"), "group", F.lit(0).cast("long").alias("place"))
+
     def hubs_of(links):
         """Classes with hub and component, hubs, and a row per shingle, hub where components still meet."""
         found = components(links)
@@ -299,7 +318,7 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
         )
         members = stage(members, "join-members")
         hubs = members.groupBy("hub").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("radius").alias("radius"), F.count("*").alias("members"))
-        rows = shared.select("shingle", "group", "place").join(members.select("group", "hub", "component"), "group")
+        rows = shared.select("shingle", "group", "place").union(together).join(members.select("group", "hub", "component"), "group")
         rows = rows.groupBy("shingle", "hub", "component").agg(F.min("place").alias("place"))
         ends = rows.groupBy("shingle").agg(F.min(F.struct("component", "hub")).alias("lo"), F.max(F.struct("component", "hub")).alias("hi")).filter("lo.component < hi.component")
         return members, hubs, stage(rows.join(ends, "shingle").join(hubs, "hub"), "join-open")
@@ -331,8 +350,9 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     single = (F.col("members_x") == 1) & (F.col("members_y") == 1)
     prefix_of = lambda s: own.select(F.col("set_key").alias(s), F.col("prefix").alias(f"prefix_{s}"))
     both = met.join(prefix_of("a"), "a", "left").join(prefix_of("b"), "b", "left")
+    known = F.col("prefix_a").isNotNull() & F.col("prefix_b").isNotNull()
     enough = _enough_shared(F.size(F.array_intersect("prefix_a", "prefix_b")), F.col("n_min_x"), F.col("n_min_y"), percent)
-    met = stage(both.filter(~single | F.coalesce(enough, F.lit(True))).drop("prefix_a", "prefix_b"), "join-met")
+    met = stage(both.filter(~single | ~known | enough).drop("prefix_a", "prefix_b"), "join-met")
     across = verify(met)
     links = links.union(across.filter("near").select("a", "b"))
 

@@ -2,8 +2,10 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
+from eventloom.llm import kernel as K
 from eventloom.llm.ngram_join import join_components, near_dedup
 
 from .helpers import docs_df, odd_texts, real_docs, rows_of
@@ -96,3 +98,36 @@ def test_empty_and_repeated_ids(spark):
     df = docs_df(spark, ["a b c d", "a b c d", "x y z", None], ids=[4, 4, 4, 4])
     assert got(join_components(df, words=3, percent=90)) == [(4, 0, 4), (4, 1, 4), (4, 2, 4), (4, 2, 4)]
     assert got(join_components(df.limit(0))) == []
+
+
+def by_hash(words):
+    """Words in the order of their one-word shingles."""
+    def key(w):
+        raw = np.frombuffer(w.encode(), np.uint8)
+        return int(K.shingles(raw, np.array([0, len(raw)]), 1)[1][0])
+
+    return sorted(words, key=key)
+
+
+def test_links_inside_an_isolated_group(spark):
+    # Equal size and equal prefix (the 9 lowest hashes of 40), and no other group holds any of it.
+    texts, rng = [], random.Random(4)
+    for t in range(24):
+        pool = by_hash(f"t{t}w{i}" for i in range(80))
+        prefix, rest = pool[:9], pool[9:]
+        rng.shuffle(rest)
+        a = rest[:31]
+        if t % 2:  # a stranger and two that link: 40 / 42 words in common
+            family = [rest[31:62], a, [*a[1:], rest[62]]]
+        else:  # a chain: the ends have 32 words in common, neighbours 36
+            family = [a, [*a[4:], *rest[31:35]], [*a[8:], *rest[31:39]]]
+        texts += [" ".join(prefix + f) for f in family]
+    assert got(join_components(docs_df(spark, texts), words=1, percent=80)) == brute(range(len(texts)), texts, 1, 80)
+
+
+def test_family_whose_group_starts_with_strangers(spark):
+    pool = by_hash(f"s{i}" for i in range(900))
+    prefix, rest = pool[:9], pool[9:]
+    texts = [" ".join(prefix + rest[31 * i : 31 * i + 31]) for i in range(12)]
+    texts += [" ".join(prefix + rest[372:402] + [rest[410 + i]]) for i in range(12)]
+    assert got(join_components(docs_df(spark, texts), words=1, percent=80)) == brute(range(len(texts)), texts, 1, 80)

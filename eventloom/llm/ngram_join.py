@@ -6,8 +6,9 @@ similarity is at least ``percent`` / 100.
 
 1. Equal sets are one class. Shingles are ordered by hash, but frequent ones
    come last. The first n - ceil(t n) + 1 shingles of a set are its prefix;
-   linked sets share one. To tell frequent ones, and those that no other set
-   holds, each document's shingles are counted as far as its prefix may reach.
+   linked sets share one. To tell frequent ones, each document's shingles are
+   counted as far as its prefix may reach; then those of the final prefixes are
+   counted, to tell which no other prefix holds.
 2. Classes with the same prefix and size form a group. Only groups meet in the
    join: a (shingle, group) row for every prefix shingle of at least two groups.
 3. Group pairs are filtered by size and by the number of prefix shingles they
@@ -76,14 +77,27 @@ def _counted(n: int, percent: int) -> int:
     return min(n, int(REACH * _prefix_length(n, percent)) + 1)
 
 
+def _prefix(s: np.ndarray, percent: int, often: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The prefix of a sorted set, given the frequent shingles and their counts."""
+    take = _prefix_length(len(s), percent)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, s), len(often) - 1)
+        held = np.where(often[at] == s, times[at], 0)
+        if held.any():
+            return s[np.lexsort((s, held))[:take]]
+    return s[:take]
+
+
 class Frequencies:
-    """What is known of shingles' document counts: the frequent ones, and which occur twice at all.
+    """What is known of shingles' document counts: the frequent ones, and which two prefixes hold.
 
     Every set is counted as far as its prefix reaches. Where so many of those are
     frequent that demoting them makes the prefix reach further (families of
     copies, texts made of common passages), a second pass counts the set whole.
-    Both tables have a bounded size. A frequent shingle that is not listed and a
-    shingle that wrongly counts as repeated make the join slower, not different.
+    That makes the list of frequent ones, which fixes every prefix; a last pass
+    counts the prefixes. Both tables have a bounded size. A frequent shingle that
+    is not listed and a shingle that wrongly counts as repeated make the join
+    slower, not different.
     """
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
@@ -101,7 +115,12 @@ class Frequencies:
             return s if len(reach) - int((often[at] == reach).sum()) < _prefix_length(len(s), percent) else s[:0]
 
         if len(self.often):
-            self._list(counts.union(stage(self._count(docs, whole), "join-counts-deep")).groupBy("shingle").agg(F.max("n").alias("n")))
+            further = stage(self._count(docs, whole), "join-counts-deep")
+            self._list(counts.union(further).groupBy("shingle").agg(F.max("n").alias("n")))
+            discard(further)
+        discard(counts)
+        listed = spark.sparkContext.broadcast((self.often, self.times))
+        counts = stage(self._count(docs, lambda s: _prefix(s, percent, *listed.value)), "join-counts-prefix")
         bits = min(max(1 << max(16 * counts.count() - 1, 1).bit_length(), LEAST_BITS), MOST_BITS)
         slot = F.col("shingle").bitwiseAND(F.lit(bits - 1))
         filled = counts.select(F.shiftrightunsigned(slot, 6).alias("word"), F.expr("shiftleft(1L, cast(shingle & 63 as int))").alias("bit"))
@@ -142,17 +161,11 @@ class Frequencies:
         self.often, self.times = values[order], top.column("n").to_numpy()[order].astype(np.int32)
 
     def prefix(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(the prefix of a sorted set, places in it of shingles that may be in another set)."""
-        take = _prefix_length(len(s), self.percent)
-        prefix = s[:take]
-        if len(self.often):
-            at = np.minimum(np.searchsorted(self.often, s), len(self.often) - 1)
-            held = np.where(self.often[at] == s, self.times[at], 0)
-            if held.any():
-                prefix = s[np.lexsort((s, held))[:take]]
+        """(the prefix of a sorted set, places in it of shingles that may be in another prefix)."""
+        prefix = _prefix(s, self.percent, self.often, self.times)
         place = prefix & np.uint64(len(self.bitmap) * 64 - 1)
         twice = self.bitmap[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1
-        return prefix, np.flatnonzero(twice | (prefix > s[_counted(len(s), self.percent) - 1]))
+        return prefix, np.flatnonzero(twice)
 
 
 def _digest(*arrays: np.ndarray) -> tuple[int, int]:
@@ -166,7 +179,7 @@ def _digest(*arrays: np.ndarray) -> tuple[int, int]:
 def prefix_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(id, n, set_key, set_rest, group, prefix, places) for every document; keys are null for empty sets.
 
-    ``prefix`` leaves out shingles that no other set holds; ``places`` are where the others stand in it.
+    ``prefix`` leaves out shingles that no other prefix holds; ``places`` are where the others stand in it.
     """
     kind = docs.schema["id"].dataType.simpleString()
     known = docs.sparkSession.sparkContext.broadcast(Frequencies(docs, words, percent))

@@ -131,3 +131,14 @@ def test_family_whose_group_starts_with_strangers(spark):
     texts = [" ".join(prefix + rest[31 * i : 31 * i + 31]) for i in range(12)]
     texts += [" ".join(prefix + rest[372:402] + [rest[410 + i]]) for i in range(12)]
     assert got(join_components(docs_df(spark, texts), words=1, percent=80)) == brute(range(len(texts)), texts, 1, 80)
+
+
+def test_shingle_within_reach_of_one_prefix_only(spark):
+    # a has the frequent f first, then x; b has two more in front, so only the demotion of f brings
+    # x into b's prefix. 10 of 12 words are common, and of the prefixes only the first x.
+    pool = by_hash(f"v{i}" for i in range(120))
+    d, f, x, rest = pool[:2], pool[2:4], pool[4:12], pool[12:]
+    texts = [" ".join(f + x), " ".join(d + f + x)] + [" ".join(f + rest[8 * i : 8 * i + 8]) for i in range(13)]
+    want = brute(range(len(texts)), texts, 1, 80)
+    assert want[:2] == [(0, 10, 0), (1, 12, 0)]
+    assert got(join_components(docs_df(spark, texts), words=1, percent=80)) == want

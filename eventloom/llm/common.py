@@ -33,6 +33,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return written
 
 
+def number_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written, with a distinct number ``__row`` for every row that stays the same between two reads."""
+    return stage(df.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
 def discard(written: DataFrame) -> None:
     """Remove a table that ``stage`` wrote and that nothing reads any more."""
     jvm = written.sparkSession._jvm

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm import kernel as K
-from eventloom.llm.common import discard, drop_ids, keep_ids, stage
+from eventloom.llm.common import discard, drop_ids, keep_ids, number_rows, stage
 from eventloom.llm.components import components
 
 WORDS = 5
@@ -177,18 +177,18 @@ def _digest(*arrays: np.ndarray) -> tuple[int, int]:
 
 
 def prefix_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(id, n, set_key, set_rest, group, prefix, places) for every document; keys are null for empty sets.
+    """(row, id, n, set_key, set_rest, group, prefix, places) for every document; keys are null for empty sets.
 
     ``prefix`` leaves out shingles that no other prefix holds; ``places`` are where the others stand in it.
     """
-    kind = docs.schema["id"].dataType.simpleString()
+    row_kind, kind = (docs.schema[c].dataType.simpleString() for c in ("row", "id"))
     known = docs.sparkSession.sparkContext.broadcast(Frequencies(docs, words, percent))
 
     def rows(batches):
         frequencies = known.value
         for batch in batches:
             n, key, rest, group, prefixes, places = [], [], [], [], [], []
-            for s in _sets(batch.column(1), words):
+            for s in _sets(batch.column(2), words):
                 n.append(len(s))
                 if not len(s):
                     for column in (key, rest, group):
@@ -207,10 +207,10 @@ def prefix_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
             at = np.concatenate(places).astype(np.int64) if places else np.zeros(0, np.int64)
             lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (flat, at)]
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rest, pa.int64()), pa.array(group, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, *lists], ["id", "n", "set_key", "set_rest", "group", "prefix", "places"])
+            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rest, pa.int64()), pa.array(group, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, *lists], ["row", "id", "n", "set_key", "set_rest", "group", "prefix", "places"])
 
-    return docs.mapInArrow(rows, f"id {kind}, n long, set_key long, set_rest long, group long, prefix array<long>, places array<long>")
+    return docs.select("row", "id", "text").mapInArrow(rows, f"row {row_kind}, id {kind}, n long, set_key long, set_rest long, group long, prefix array<long>, places array<long>")
 
 
 def _ceil(numerator: Column, denominator: int) -> Column:
@@ -242,7 +242,7 @@ class _Verifier:
 
     def sets(self, keys: DataFrame) -> DataFrame:
         words = self.words
-        wanted = self.classes.join(keys.distinct(), "set_key", "left_semi").select("id")
+        wanted = self.classes.join(keys.distinct(), "set_key", "left_semi").select("row")
 
         def rows(batches):
             for batch in batches:
@@ -252,7 +252,7 @@ class _Verifier:
                 keys = pa.array([_digest(s)[0] for s in found], pa.int64())
                 yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["key", "set"])
 
-        return stage(keep_ids(self.docs, "id", wanted).mapInArrow(rows, "key long, set array<long>"), "join-sets")
+        return stage(keep_ids(self.docs.select("row", "text"), "row", wanted).mapInArrow(rows, "key long, set array<long>"), "join-sets")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """Distinct (a, b) pairs with (near, distance): whether they link, and 1 - similarity."""
@@ -270,15 +270,15 @@ class _Verifier:
 
 
 def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) over the set keys that have a link; ``docs`` has (id, text)."""
-    classes = stage(prefixes.filter("n > 0").groupBy("set_key", "set_rest").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("group").alias("group")).drop("set_rest"), "join-classes")
+    """(node, component) over the set keys that have a link; ``docs`` has (row, id, text)."""
+    classes = stage(prefixes.filter("n > 0").groupBy("set_key", "set_rest").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("group").alias("group")).drop("set_rest"), "join-classes")
     groups = stage(classes.groupBy("group").agg(F.min("set_key").alias("first"), F.min("n").alias("n"), F.count("*").alias("members")), "join-groups")
     verify = _Verifier(docs, classes, words, percent)
     slack = 1 - percent / 100 + 1e-9
 
     # (shingle, group, n, place, lowest group of that shingle) for shingles of at least two groups.
-    firsts = groups.select(F.col("first").alias("set_key"), "group").join(classes.select("set_key", "id"), "set_key").select("id", "set_key")
-    own = stage(prefixes.join(firsts, ["id", "set_key"], "left_semi").select("set_key", "group", "n", "prefix", "places"), "join-own")
+    firsts = groups.select(F.col("first").alias("set_key"), "group").join(classes.select("set_key", "row"), "set_key").select("row", "set_key")
+    own = stage(prefixes.join(firsts, ["row", "set_key"], "left_semi").select("set_key", "group", "n", "prefix", "places"), "join-own")
     tokens = own.select("group", "n", F.explode(F.arrays_zip("prefix", "places")).alias("t")).select("group", "n", F.col("t.prefix").alias("shingle"), F.col("t.places").alias("place"))
     spread = tokens.groupBy("shingle").agg(F.min(F.struct("group", "n")).alias("low"), F.max("group").alias("high")).filter("low.group < high")
     # A row stays if another group of its shingle has a size that can link; in order of size that is a neighbour.
@@ -391,26 +391,36 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     return components(links)
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id), one row for every row of ``docs``; component_id is the
-    smallest id that links reach."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    prefixes = stage(prefix_rows(narrow, words, percent), "join-prefixes")
-    found = linked_classes(narrow, prefixes, words, percent)
-    classes = prefixes.filter("n > 0").groupBy("set_key", "set_rest").agg(F.min("id").alias("first_id"))
-    labelled = classes.join(found, classes["set_key"] == found["node"], "left").select("set_key", "set_rest", "first_id", F.coalesce("component", "set_key").alias("component"))
+def row_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(row, id, n, lowest) for every row of (row, id, text); ``lowest`` holds the smallest id that links
+    reach and the smallest row of that id. Null ids come last."""
+    prefixes = stage(prefix_rows(docs, words, percent), "join-prefixes")
+    found = linked_classes(docs, prefixes, words, percent)
+    own = F.struct(F.col("id").isNull().alias("missing"), "id", "row")
+    classes = prefixes.filter("n > 0").groupBy("set_key", "set_rest").agg(F.min(own).alias("first"))
+    labelled = classes.join(found, classes["set_key"] == found["node"], "left").select("set_key", "set_rest", "first", F.coalesce("component", "set_key").alias("component"))
     # A class without links keeps its own first id: distinct sets never share a label by chance.
     alone = found.select(F.col("node").alias("set_key"), F.lit(True).alias("in_link"))
     labelled = labelled.join(alone, "set_key", "left")
-    lowest = labelled.filter("in_link").groupBy("component").agg(F.min("first_id").alias("lowest"))
-    labelled = labelled.join(lowest, "component", "left").select("set_key", "set_rest", F.when(F.col("in_link"), F.col("lowest")).otherwise(F.col("first_id")).alias("component_id"))
-    full = prefixes.filter("n > 0").select("id", "n", "set_key", "set_rest").join(labelled, ["set_key", "set_rest"])
+    lowest = labelled.filter("in_link").groupBy("component").agg(F.min("first").alias("lowest"))
+    labelled = labelled.join(lowest, "component", "left").select("set_key", "set_rest", F.when(F.col("in_link"), F.col("lowest")).otherwise(F.col("first")).alias("lowest"))
+    full = prefixes.filter("n > 0").select("row", "id", "n", "set_key", "set_rest").join(labelled, ["set_key", "set_rest"])
     empty = prefixes.filter("n = 0")
-    return full.select("id", "n", "component_id").union(empty.select("id", "n", F.col("id").alias("component_id"))).toDF(id_col, "n_shingles", "component_id")
+    return full.select("row", "id", "n", "lowest").union(empty.select("row", "id", "n", own.alias("lowest")))
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id), one row for every row of ``docs``; component_id is the
+    smallest id that links reach."""
+    narrow = docs.select(F.col(id_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return row_components(narrow, words, percent).select("id", "n", "lowest.id").toDF(id_col, "n_shingles", "component_id")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; documents without
-    words stay."""
-    found = stage(join_components(docs, id_col, text_col, words, percent), "join-components")
-    return drop_ids(docs, id_col, found.filter(F.col(id_col) != F.col("component_id")).select(id_col))
+    """One row of ``docs`` for each component, that of the smallest id; documents without words stay.
+    Rows are told apart by number, as ids may repeat."""
+    rows = number_rows(docs, "join-rows")
+    narrow = rows.select(F.col("__row").alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    found = row_components(narrow, words, percent)
+    lost = stage(found.filter("row <> lowest.row").select("row"), "join-lost")
+    return drop_ids(rows, "__row", lost).drop("__row")

@@ -48,6 +48,13 @@ def test_stage_keeps_columns_and_winners(spark):
     assert sorted(r["doc_id"] for r in rows_of(kept)) == [i for i, _, _, keep, _ in brute(range(len(texts)), texts) if keep]
 
 
+def test_stage_decides_repeated_ids_row_by_row(spark):
+    rows = [(5, "a"), (5, "b"), (6, "a"), (7, "c"), (7, "c"), (None, "a"), (None, "d"), (8, None), (5, "")]
+    df = docs_df(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    kept = {(r["doc_id"], r["text"]) for r in rows_of(exact_dedup(df))}
+    assert exact_dedup(df).count() == 5 and kept == {(5, "b"), (6, "a"), (7, "c"), (None, "d"), (8, None)}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 9), max_size=200), st.integers(1, 5))
 def test_misra_gries_bound(keys, counters):

@@ -142,3 +142,10 @@ def test_shingle_within_reach_of_one_prefix_only(spark):
     want = brute(range(len(texts)), texts, 1, 80)
     assert want[:2] == [(0, 10, 0), (1, 12, 0)]
     assert got(join_components(docs_df(spark, texts), words=1, percent=80)) == want
+
+
+def test_stage_decides_repeated_ids_row_by_row(spark):
+    rows = [(4, "x y z w"), (4, "a b c d"), (3, "x y z w"), (4, "p q"), (4, "p q"), (4, None), (None, "a b c d"), (None, "r s")]
+    df = docs_df(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    kept = [(r["doc_id"], r["text"]) for r in rows_of(near_dedup(df, words=3, percent=90))]
+    assert len(kept) == 5 and set(kept) == {(3, "x y z w"), (4, "a b c d"), (4, "p q"), (4, None), (None, "r s")}

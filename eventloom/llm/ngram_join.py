@@ -26,7 +26,8 @@ link between different components is lost.
 
 Null and empty texts have an empty set, link with nothing and are components of
 their own. A text with fewer words has its whole sequence as its one shingle.
-Rows that repeat an id are documents of their own. Empty tables give empty
+Rows that repeat an id, or have a null id, are documents of their own; null ids
+come after all others. Rows are told apart by number. Empty tables give empty
 results; extra columns are not read. Shingles, sets and groups are told apart
 by 64-bit hashes (sets by 128).
 """
@@ -411,8 +412,9 @@ def row_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id), one row for every row of ``docs``; component_id is the
-    smallest id that links reach."""
-    narrow = docs.select(F.col(id_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    smallest id that links reach, null only if all of them are."""
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    narrow = number_rows(narrow, "join-rows").withColumnRenamed("__row", "row")
     return row_components(narrow, words, percent).select("id", "n", "lowest.id").toDF(id_col, "n_shingles", "component_id")
 
 

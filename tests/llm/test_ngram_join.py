@@ -149,3 +149,22 @@ def test_stage_decides_repeated_ids_row_by_row(spark):
     df = docs_df(spark, [t for _, t in rows], ids=[i for i, _ in rows])
     kept = [(r["doc_id"], r["text"]) for r in rows_of(near_dedup(df, words=3, percent=90))]
     assert len(kept) == 5 and set(kept) == {(3, "x y z w"), (4, "a b c d"), (4, "p q"), (4, None), (None, "r s")}
+
+
+def test_null_ids_link_like_others(spark):
+    rng, rows, want = random.Random(6), [], []
+    for t in range(16):  # chains of one group, as above, and of different groups, with null ids in each place
+        pool = by_hash(f"n{t}w{i}" for i in range(80))
+        prefix, rest = (pool[:9], pool[9:]) if t % 2 else ([], pool)
+        rng.shuffle(rest)
+        a = rest[: 40 - len(prefix)]
+        family = [a, [*a[4:], *rest[40:44]], [*a[8:], *rest[40:48]]]
+        ids = [None if t // 2 & 1 << i else 10 * t + i for i in range(3)]
+        low = min((i for i in ids if i is not None), default=None)
+        rows += [(i, " ".join(prefix + f)) for i, f in zip(ids, family)]
+        want += [(i, 40, low) for i in ids]
+    rows.append((None, None))
+    want.append((None, 0, None))
+    order = lambda r: [(x is None, x or 0) for x in r]
+    found = rows_of(join_components(docs_df(spark, [t for _, t in rows], ids=[i for i, _ in rows]), words=1, percent=80))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=order) == sorted(want, key=order)

@@ -15,6 +15,7 @@ from eventloom.llm.ngram_join import join_components
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.quality import quality_scores
 from eventloom.llm.simhash import simhash_components
+from eventloom.llm.spelling import spelling_forms
 from eventloom.llm.suffix_dedup import remove_repeats
 from eventloom.llm.token_counts import token_counts
 from eventloom.llm.topk_search import top_k
@@ -81,6 +82,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return spelling_forms(table(spark, sf_dir, "documents"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return simhash_components(table(spark, sf_dir, "documents"))
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op12_spelling": op12_spelling,
     "op13_simhash": op13_simhash,
 }
 

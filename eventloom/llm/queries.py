@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import prepare, table
 from eventloom.llm.exact_dedup import dedup_decisions
+from eventloom.llm.hard_negatives import hard_negatives
 from eventloom.llm.licenses import license_scan
 from eventloom.llm.mixing import mix
 from eventloom.llm.ngram_join import join_components
@@ -82,6 +83,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return spelling_forms(table(spark, sf_dir, "documents"))
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_spelling": op12_spelling,
     "op13_simhash": op13_simhash,
 }
@@ -137,4 +145,24 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, row_number() OVER w ::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 10
+    """,
 }

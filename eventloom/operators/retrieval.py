@@ -2,33 +2,26 @@
 
 The reference asks a hosted web search for up to 15 results per event. Here
 the search is BM25 over a corpus *table*, computed set-at-a-time for all
-queries at once:
-
-    corpus --explode words--> (page, term, tf, len) --groupBy term--> df, idf
-    queries --explode distinct words--> (event, term) --join on term--> partial
-    scores --groupBy (event, page)--> score --row_number <= k--> results
-
-Term-at-a-time join + aggregation is exact. The hot-term case (a word in a
-third of all pages) is the posting-list side of a sort-merge join on
-``term``, which AQE's skew-join handling splits. Scores are pre-aggregated
-per (event, page) before the top-k window. ``build_index`` can be written
-once and reused by many query batches.
+queries at once. The corpus is indexed once as a table of page blocks
+(``eventloom.operators.blockmax``); a batch's query words get their weights by
+one join, and events meet page blocks in a grid whose cells prune by the
+largest weight of each word in each block. ``strategy='shuffle'`` is the plain
+relational form: postings joined to query words on the word, summed by (event,
+page), ranked by a window. ``build_index`` can be made once and reused by many
+query batches.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.text import clean_text, trim_ws, words
+from eventloom.operators.blockmax import BLOCK_PAGES, BM25_B, BM25_K1, SCORE_DECIMALS, page_blocks, search_blocks, term_statistics
 from eventloom.sources.intake import day_window
-from eventloom.sources.tables import staged
+from eventloom.sources.tables import discard, staged
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference behaviour)
@@ -40,13 +33,6 @@ EXCERPT_MAX_CHARS = 8000
 QUERY_MAX_CHARS = 250
 # ---------------------------------------------------------------------------
 
-BM25_K1 = 1.2
-BM25_B = 0.75
-SCORE_DECIMALS = 6
-BROADCAST_BYTES = 64 << 20  # measured bytes of the query-term side of one batch
-ROW_OVERHEAD = 48  # per row of a broadcast table, on top of its strings
-
-
 def build_queries(events: DataFrame, supplied: DataFrame | None = None) -> DataFrame:
     """``(event_id, query, query_too_long)``: one search string per event id.
 
@@ -67,52 +53,38 @@ def build_queries(events: DataFrame, supplied: DataFrame | None = None) -> DataF
 
 @dataclass
 class BM25Index:
-    """Postings ``(page_id, term, tf, dl)`` hash-partitioned by page, plus corpus statistics."""
+    """Page blocks with their postings (written), and corpus statistics."""
 
-    postings: DataFrame
+    blocks: DataFrame
+    n_blocks: int
     n_pages: int
     avgdl: float
 
+    @property
+    def postings(self) -> DataFrame:
+        """``(page_id, term, tf, dl)``, a row for every word of a page."""
+        term = F.explode(F.sequence(F.lit(0), F.size("terms") - 1)).alias("i")
+        runs = self.blocks.filter(F.size("terms") > 0).select("page_ids", "dl", "starts", "pages", "tf", "terms", term)
+        one = F.struct(F.get("pages", F.col("j")).alias("page"), F.get("tf", F.col("j")).cast("long").alias("tf"))
+        rows = runs.withColumn("j", F.explode(F.sequence(F.get("starts", F.col("i")), F.get("starts", F.col("i") + 1) - 1)))
+        rows = rows.select("page_ids", "dl", F.get("terms", F.col("i")).alias("term"), one.alias("p"))
+        return rows.select(F.get("page_ids", F.col("p.page")).alias("page_id"), "term", F.col("p.tf").alias("tf"), F.get("dl", F.col("p.page")).alias("dl"))
+
     def release(self) -> None:
-        self.postings.unpersist()
+        discard(self.blocks)
 
 
-def build_index(corpus: DataFrame, id_col: str = "page_id", text_col: str = "content") -> BM25Index:
-    """Tokenise the corpus once into page-partitioned postings.
+def build_index(corpus: DataFrame, id_col: str = "page_id", text_col: str = "content", block_pages: int = BLOCK_PAGES) -> BM25Index:
+    """Tokenise the corpus once into page blocks, written to the shared scratch folder.
 
-    Terms are counted within the page's own row, so only ``(page_id, term, tf,
-    dl)`` is shuffled, never the text. Partitioning by page keeps a page's
-    postings together, so scoring against broadcast query terms aggregates per
-    (event, page) without a shuffle. The postings are persisted (memory and
-    disk; recomputed from lineage if an executor is lost). Build the index once
-    per corpus and pass it to every batch; ``release()`` frees it.
+    Words are counted within the page's own row, so page texts are never
+    shuffled. Build the index once per corpus and pass it to every batch;
+    ``release()`` removes it.
     """
-    pages = corpus.select(F.col(id_col).alias("page_id"), words(F.lower(F.col(text_col))).alias("toks"))
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for page, toks in zip(pdf["page_id"].tolist(), pdf["toks"]):
-                toks = [] if toks is None else list(toks)
-                rows += [(page, len(toks), term, tf) for term, tf in Counter(toks).items()]
-            yield pd.DataFrame.from_records(rows, columns=["page_id", "dl", "term", "tf"])
-
-    kind = corpus.schema[id_col].dataType.simpleString()
-    postings = (
-        pages.mapInPandas(count, f"page_id {kind}, dl int, term string, tf long")
-        .repartition("page_id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    n_pages = corpus.select(id_col).count()  # pages without words count too
-    total = postings.agg(F.sum("tf").alias("t")).first()["t"] or 0
-    avgdl = float(total) / n_pages if n_pages else 0.0
-    return BM25Index(postings, n_pages, avgdl)
-
-
-def _measured_bytes(table: DataFrame) -> int:
-    """Bytes of a written table's rows: its strings as they are, plus a fixed part per row."""
-    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields if f.dataType.simpleString() == "string"]
-    return table.agg(F.sum(sum(strings, F.lit(ROW_OVERHEAD))).alias("b")).first()["b"] or 0
+    blocks = page_blocks(corpus, id_col, text_col, block_pages)
+    lengths = F.aggregate("dl", F.lit(0).cast("long"), lambda a, x: a + x)
+    n_blocks, n_pages, total = blocks.agg(F.count(F.lit(1)), F.sum(F.size("page_ids")), F.sum(lengths)).first()  # pages without words count too
+    return BM25Index(blocks, n_blocks, n_pages or 0, float(total or 0) / n_pages if n_pages else 0.0)
 
 
 def retrieve_topk(
@@ -134,16 +106,14 @@ def retrieve_topk(
     ``index`` (from ``build_index``) lets many batches share one tokenised
     corpus; without it one is built here and released before returning.
 
-    Plan: the batch's query terms are written to shared storage and measured.
-    ``strategy='broadcast'``, the choice up to ``BROADCAST_BYTES`` of them, streams
-    the postings past them in page partitions: scoring, the (event, page) sum and
-    a partial top-k all run inside each partition, and only <= k rows per event
-    and partition are shuffled. ``strategy='shuffle'`` joins on the term, where AQE
-    splits hot terms. Both give the same rows. Document frequencies are only
-    computed for terms that occur in queries. The winners (<= k per event) are
-    written too; the corpus is joined to them without a forced broadcast.
+    Plan: ``strategy='blocks'``, the default, searches the page blocks with
+    block-max pruning; each grid cell returns at most k pages per event.
+    ``strategy='shuffle'`` joins postings and query words on the word, where AQE
+    splits hot words, and scores every (event, page) with a common word. Both
+    give the same rows. The winners (<= k per event) are written, and the corpus is
+    joined to them without a forced broadcast.
     """
-    if strategy not in (None, "broadcast", "shuffle"):
+    if strategy not in (None, "blocks", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if ts_col is not None and run_date is not None:
         corpus = day_window(corpus, ts_col, run_date, days)
@@ -153,7 +123,11 @@ def retrieve_topk(
     try:
         if not index.n_pages:
             return _empty_results(queries, corpus)
-        top = _winners(queries, index, k, strategy)
+        page_kind = corpus.schema["page_id"].dataType.simpleString()
+        scores = _scores_by_join(queries, index) if strategy == "shuffle" else search_pages(queries, index, k, page_kind)
+        w = Window.partitionBy("event_id").orderBy(F.round("score", SCORE_DECIMALS).desc(), F.col("page_id").asc())
+        ranked = scores.select("event_id", "page_id", "score").withColumn("rank", F.row_number().over(w))
+        top = staged(ranked.filter(F.col("rank") <= k), "search-winners")
     finally:
         if own_index:
             index.release()
@@ -163,24 +137,36 @@ def retrieve_topk(
     )
 
 
-def _winners(queries: DataFrame, index: BM25Index, k: int, strategy: str | None) -> DataFrame:
-    """``(event_id, page_id, score, rank)`` of the best pages, written to shared storage."""
-    postings, avgdl = index.postings, index.avgdl or 1.0
-    q_terms = staged(
-        queries.select("event_id", F.explode(F.array_distinct(words(F.lower(F.col("query"))))).alias("term")), "query-terms"
-    )
-    vocab = q_terms.select("term").distinct()
-    df_t = postings.join(vocab, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (F.lit(index.n_pages) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = q_terms.join(df_t.select("term", idf.alias("idf")), "term")
-    if strategy == "broadcast" or strategy is None and _measured_bytes(q_terms) <= BROADCAST_BYTES:
-        weighted = F.broadcast(weighted)
+def _idf(index: BM25Index):
+    return F.log(F.lit(1.0) + (F.lit(index.n_pages) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+
+
+def _query_terms(queries: DataFrame) -> DataFrame:
+    return queries.select("event_id", F.explode(F.array_distinct(words(F.lower(F.col("query"))))).alias("term"))
+
+
+def search_pages(queries: DataFrame, index: BM25Index, k: int, page_kind: str = "bigint") -> DataFrame:
+    """``(event_id, page_id, score, scored)``: the k best pages of every grid cell per event.
+
+    ``scored`` adds up to the pages whose score was completed.
+    """
+    statistics = term_statistics(index.blocks, index.avgdl or 1.0, k)
+    weighted = _query_terms(queries).join(statistics, "term").select("event_id", F.struct("term", _idf(index).alias("idf")).alias("t"), (_idf(index) * F.col("kth")).alias("floor"))
+    events = weighted.groupBy("event_id").agg(F.collect_list("t").alias("t"), F.max("floor").alias("floor"))  # the words of one query
+    events = staged(events.select("event_id", F.col("t.term").alias("terms"), F.col("t.idf").alias("idf"), "floor"), "query-terms")
+    return search_blocks(events, index.blocks, k, index.avgdl or 1.0, events.count(), index.n_blocks, page_kind)
+
+
+def _scores_by_join(queries: DataFrame, index: BM25Index) -> DataFrame:
+    """``(event_id, page_id, score)`` of every event and page with a common word."""
+    postings = index.postings
+    q_terms = staged(_query_terms(queries), "query-terms")
+    df_t = postings.join(q_terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weighted = q_terms.join(df_t.select("term", _idf(index).alias("idf")), "term")
     tf = F.col("tf")
-    norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.lit(avgdl))
+    norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.lit(index.avgdl or 1.0))
     contrib = F.col("idf") * tf * F.lit(BM25_K1 + 1) / (tf + norm)
-    scores = postings.join(weighted, "term").groupBy("page_id", "event_id").agg(F.sum(contrib).alias("score"))
-    w = Window.partitionBy("event_id").orderBy(F.round("score", SCORE_DECIMALS).desc(), F.col("page_id").asc())
-    return staged(scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k), "search-winners")
+    return postings.join(weighted, "term").groupBy("page_id", "event_id").agg(F.sum(contrib).alias("score"))
 
 
 def _empty_results(queries: DataFrame, corpus: DataFrame) -> DataFrame:

@@ -35,4 +35,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.staged_path = path
+    return written
+
+
+def discard(written: DataFrame) -> None:
+    """Remove a table that ``staged`` wrote and that nothing reads any more."""
+    spark = written.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(written.staged_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -52,7 +52,7 @@ def test_both_strategies_agree_and_leave_nothing_cached(spark):
     spark.catalog.clearCache()
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     rows = [sorted((r.event_id, r.rank, r.page_id, round(r.score, 9)) for r in retrieve_topk(queries, corpus, strategy=s).collect())
-            for s in ("broadcast", "shuffle", None)]
+            for s in ("blocks", "shuffle", None)]
     assert rows[0] == rows[1] == rows[2] and rows[0]
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
 
@@ -87,3 +87,29 @@ def test_enrich_no_results_unchanged_and_article_branch(spark):
     assert out["e3"].story == "# Head \n**Body**" and out["e3"].sources == ["u3"]
     plain = {r.event_id: r.story for r in enrich_events(ev, results).collect()}
     assert plain["e3"] == "three"
+
+
+def test_block_search_completes_few_scores_and_loses_none(spark):
+    """Random pages and queries over many small blocks: the same rows as the join, a fraction of its pairs."""
+    import random
+
+    from eventloom.operators import retrieval
+
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+    pages = [(i, f"u{i}", " ".join(rng.choices(vocab, weights, k=rng.randint(0, 120)))) for i in range(1500)] + [(9000, "n", None), (9001, "e", "")]
+    corpus = spark.createDataFrame(pages, "page_id long, url string, content string").repartition(5)
+    queries = spark.createDataFrame(
+        [(f"q{i}", " ".join(rng.choices(vocab, weights, k=rng.randint(1, 25)))) for i in range(120)] + [("none", "unknown"), ("blank", " "), ("null", None)],
+        "event_id string, query string")
+    index = retrieval.build_index(corpus, block_pages=64)
+    assert index.n_blocks > 15 and index.n_pages == 1502
+    found = retrieval.search_pages(queries, index, 15)
+    scored = found.agg(F.sum("scored")).first()[0]
+    pairs = retrieval._scores_by_join(queries, index).count()
+    print("completed scores:", scored, "of", pairs)
+    assert scored * 5 < pairs
+    rows = [sorted((r.event_id, r.rank, r.page_id, round(r.score, 6)) for r in retrieve_topk(queries, corpus, index=index, strategy=s).collect()) for s in ("blocks", "shuffle")]
+    assert rows[0] == rows[1] and len(rows[0]) > 1000
+    index.release()

@@ -3,9 +3,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from eventloom.llm.spelling import near_words, runs, spelling_forms
+from eventloom.llm.spelling import PIECE, after_zeros, deal, deal_words, near_words, spelling_forms
 from tests.llm.helpers import docs_df, odd_texts, real_docs, rows_of
 
 
@@ -98,17 +100,35 @@ def test_long_words_salts_and_depth(spark):
     rng = random.Random(5)
     base = "".join(rng.choice("ab") for _ in range(150))
     words = {base, base[:-1], base + "c", base[:70] + "x" + base[71:], base[:3] + base[4:], "q" + base, base[1:], "aaaaa", "aaaab", "baaaa"}
-    words |= {"".join(rng.choice("ab") for _ in range(rng.randint(5, 9))) for _ in range(300)}
+    words |= {"".join(rng.choice("ab") for _ in range(rng.randint(2, 9))) for _ in range(300)}
     want = {(a, b) for a, near in brute_near(words).items() for b in near if a != b}
     for depth, per_salt in ((64, 2048), (8, 16)):
         got = near_words(spark.createDataFrame([(w,) for w in sorted(words)], "word string"), depth, per_salt)
         assert {(r.word, r.near) for r in got.collect()} == want
 
 
-def test_runs_in_pieces():
-    for text in odd_texts():
-        if text:
-            assert list(runs(text, 5)) == list(runs(text))
+def test_texts_in_pieces_and_long_runs():
+    texts = [*odd_texts(), "z" * 300 + " y" * 50, "é" * 200, "ab" * 40 + " c" * 9, None]
+    ids = [*range(len(texts) - 1), None]
+    want = Counter()
+    for doc_id, text in zip(ids, texts):
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            want[deal(doc_id, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run))] += 1
+    for piece in (PIECE, 40):
+        got = Counter()
+        for part in deal_words(ids, pa.array(texts, pa.string()), piece):
+            for word, n in zip(*part.to_pydict().values()):
+                got[word] += n
+        assert got == want
+
+
+def test_checksum_of_both_parts():
+    prefixes, words = [b"12:", b":", b"-7:"], [b"a", "é".encode(), b"abcdefgh" * 7]
+    lengths = np.array(sorted({len(w) for w in words}))
+    got = after_zeros(np.array([zlib.crc32(p) for p in prefixes], np.uint32), lengths)
+    for i, p in enumerate(prefixes):
+        for w in words:
+            assert int(got[i, lengths.tolist().index(len(w))]) ^ zlib.crc32(w) == zlib.crc32(p + w)
 
 
 @pytest.mark.parametrize("texts", [[], [None, "", "12 34", "one two"]])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.ids import event_key
 from eventloom.functions.text import clean_text, strip_citations, strip_markdown, strip_reasoning
 from eventloom.operators import extract, retrieval, similarity, stores, vectors
+from eventloom.operators.snapshots import SnapshotStore
 from eventloom.plans import pipeline
 from eventloom.session import scratch_path
 from eventloom.sources import fixtures
@@ -123,7 +124,7 @@ def q_read_responses(spark, sf_dir):
     responses_df(spark, sf_dir).write.parquet(path)
     df = read_responses(spark, path)
     return df.select("response_id", F.col("status").cast("long").alias("status"), _ts_text(F.col("ts")).alias("ts"),
-                     (F.length("content") > 0).alias("has_content"))
+                     "content")
 
 
 def q_split_by_status(spark, sf_dir):
@@ -248,7 +249,7 @@ def q_join_embeddings(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id")
     joined = vectors.join_embeddings(docs, given.withColumnRenamed("vec_id", "doc_id"), "doc_id", "embedding")
     return joined.select("doc_id", F.size("vector").cast("long").alias("n"),
-                         _r6(F.element_at("vector", 1)).alias("first"), _r6(F.element_at("vector", -1)).alias("last"))
+                         _weight(F.transform("vector", lambda x: x.cast("double"))).alias("weight"))
 
 
 def q_flag_duplicates(spark, sf_dir):
@@ -367,12 +368,12 @@ def q_chunk_vectors(spark, sf_dir):
                       _weight(F.col("vector")).alias("weight"), "ord")
 
 
-def _seed_and_batch_log(spark, sf_dir) -> str:
-    """Vector log with batch 0 = labelled documents, batch 1 = this run's events."""
-    path = scratch_path(spark, "vectors")
-    stores.upsert_vectors(stores.overview_vectors(with_overview_vector(seed_events(spark, sf_dir))), path, 0)
-    stores.upsert_vectors(stores.overview_vectors(with_overview_vector(built_events(spark, sf_dir))), path, 1)
-    return path
+def _seed_and_batch_store(spark, sf_dir) -> SnapshotStore:
+    """A store with batch 0 = labelled documents, batch 1 = this run's events."""
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    store.commit(0, stores.overview_vectors(with_overview_vector(seed_events(spark, sf_dir))))
+    store.commit(1, stores.overview_vectors(with_overview_vector(built_events(spark, sf_dir))))
+    return store
 
 
 def _view_out(view: DataFrame) -> DataFrame:
@@ -381,13 +382,14 @@ def _view_out(view: DataFrame) -> DataFrame:
 
 
 def q_upsert_vectors(spark, sf_dir):
-    path = _seed_and_batch_log(spark, sf_dir)
-    return _view_out(stores.latest_vectors(stores.read_vector_log(spark, path)))
+    return _view_out(_seed_and_batch_store(spark, sf_dir).vectors())
 
 
 def q_compact_vectors(spark, sf_dir):
-    path = _seed_and_batch_log(spark, sf_dir)
-    return _view_out(stores.compact_vectors(spark, path, scratch_path(spark, "vectors-compact")))
+    """The view after the store's attempts were merged into one."""
+    store = _seed_and_batch_store(spark, sf_dir)
+    store.compact(small_bytes=1 << 62, fan_in=2)
+    return _view_out(store.vectors())
 
 
 def _chunk_log(spark, sf_dir) -> str:
@@ -427,64 +429,76 @@ def q_append_articles(spark, sf_dir):
     return art.select("event_id", "batch_id", "title", "story", _text_list(F.col("sources")).alias("sources"), "ord")
 
 
-def _seeded_store(spark, sf_dir) -> str:
-    store = scratch_path(spark, "vectors")
-    stores.upsert_vectors(stores.overview_vectors(with_overview_vector(seed_events(spark, sf_dir))), store, 0)
+def _seeded_store(spark, sf_dir) -> SnapshotStore:
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    store.commit(0, stores.overview_vectors(with_overview_vector(seed_events(spark, sf_dir))))
     return store
 
 
-def _pipeline_run(spark, sf_dir, articles: str, faults: bool = False, **options):
-    return pipeline.run_pipeline(spark, responses_df(spark, sf_dir, faults), corpus_df(spark, sf_dir), _seeded_store(spark, sf_dir),
-                                 articles, batch_id=1, run_ts=RUN_TS, **options)
+def _pipeline_run(spark, sf_dir, faults: bool = False, **options):
+    return pipeline.run_pipeline(spark, responses_df(spark, sf_dir, faults), corpus_df(spark, sf_dir), None, None,
+                                 batch_id=1, run_ts=RUN_TS, store=_seeded_store(spark, sf_dir), **options)
 
 
-def _articles_out(spark, path):
-    art = stores.read_articles(spark, path)
+def _articles_out(art: DataFrame):
     return art.select("event_id", "title", "summary", "story", _text_list(F.col("sources")).alias("sources"), "ord")
 
 
 def q_run_pipeline(spark, sf_dir):
-    articles = scratch_path(spark, "articles")
-    _pipeline_run(spark, sf_dir, articles)
-    return _articles_out(spark, articles)
+    return _articles_out(_pipeline_run(spark, sf_dir).store.articles())
+
+
+def q_run_pipeline_supplied(spark, sf_dir):
+    """The whole flow with queries and articles that a caller supplies."""
+    run = _pipeline_run(spark, sf_dir, supplied_queries=supplied_queries(spark, sf_dir), articles=supplied_articles(spark, sf_dir))
+    return _articles_out(run.store.articles())
+
+
+def q_run_pipeline_day(spark, sf_dir):
+    """The whole flow with the search limited to the day of the run's stamp."""
+    return _articles_out(_pipeline_run(spark, sf_dir, search_ts_col="ts").store.articles())
 
 
 def q_run_quarantine(spark, sf_dir):
     """Rows that a run over answers with faults rejects."""
-    path = scratch_path(spark, "quarantine")
-    _pipeline_run(spark, sf_dir, scratch_path(spark, "articles"), faults=True, quarantine_path=path)
-    return pipeline.read_quarantine(spark, path).select("response_id", F.col("event_idx").cast("long").alias("event_idx"), "reason")
+    bad = _pipeline_run(spark, sf_dir, faults=True).store.quarantine()
+    return bad.select("response_id", F.col("event_idx").cast("long").alias("event_idx"), "reason")
 
 
 def q_pipeline_stats(spark, sf_dir):
-    return _pipeline_run(spark, sf_dir, scratch_path(spark, "articles")).stats
+    return _pipeline_run(spark, sf_dir).stats
+
+
+STREAM_PARTS = 3
 
 
-def _streamed(spark, sf_dir, files: int, per_trigger: int | None) -> DataFrame:
+def _streamed(spark, sf_dir, parts: int) -> DataFrame:
+    """Articles of a stream whose input arrives in ``parts`` ranges of answer ids, a micro-batch each."""
     from eventloom.streaming.stream import stream_pipeline
 
-    store, articles, inbox = _seeded_store(spark, sf_dir), scratch_path(spark, "articles"), scratch_path(spark, "inbox")
+    store, inbox, checkpoint = _seeded_store(spark, sf_dir), scratch_path(spark, "inbox"), scratch_path(spark, "stream-ckpt")
     answers = responses_df(spark, sf_dir, faults=False)
-    if files > 1:
-        answers = answers.repartitionByRange(files, "response_id")
-    answers.write.parquet(inbox)
+    first, last = answers.agg(F.min("response_id"), F.max("response_id")).first()
+    part = F.expr(f"(response_id - {first or 0}) * {parts} div {(last or 0) - (first or 0) + 1}")
     corpus = corpus_df(spark, sf_dir)
     index = retrieval.build_index(corpus)
     try:
-        stream_pipeline(spark, inbox, corpus, store, articles, scratch_path(spark, "stream-ckpt"), run_ts=RUN_TS, batch_offset=1,
-                        files_per_trigger=per_trigger, index=index).awaitTermination()
+        for i in range(parts):
+            answers.filter(part == i).write.parquet(f"{inbox}/part={i}")
+            stream_pipeline(spark, f"{inbox}/*", corpus, None, None, checkpoint, run_ts=RUN_TS, batch_offset=1, index=index, store=store).awaitTermination()
     finally:
         index.release()
-    return _articles_out(spark, articles)
+    return store.articles()
 
 
 def q_stream_pipeline(spark, sf_dir):
-    return _streamed(spark, sf_dir, 1, None)
+    return _articles_out(_streamed(spark, sf_dir, 1))
 
 
 def q_stream_micro_batches(spark, sf_dir):
-    """Several micro-batches: how often each event title was stored, whatever the cut into batches."""
-    return _streamed(spark, sf_dir, 3, 1).select("event_id", "title").distinct()
+    """What each of several micro-batches stores; each sees those before it as history."""
+    art = _streamed(spark, sf_dir, STREAM_PARTS)
+    return _articles_out(art).join(art.select("ord", "batch_id"), "ord")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -529,6 +543,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "research_search": q_research_search,
     "append_articles": q_append_articles,
     "run_pipeline": q_run_pipeline,
+    "run_pipeline_supplied": q_run_pipeline_supplied,
+    "run_pipeline_day": q_run_pipeline_day,
     "run_quarantine": q_run_quarantine,
     "pipeline_stats": q_pipeline_stats,
     "stream_pipeline": q_stream_pipeline,

@@ -12,6 +12,8 @@ Similarity oracles score every (probe, history) pair by brute force.
 
 from __future__ import annotations
 
+from eventloom.sources import fixtures
+
 RUN_TS = "2024-01-15 00:00:00"
 DIM = 256
 NL = "chr(10)"
@@ -222,36 +224,92 @@ ranked_pairs AS (
   FROM pairs)"""
 
 
-def _pipeline_articles() -> str:
-    """Articles of one run: events of the answers vs the labelled seed, survivors enriched."""
-    return _with(
-        DOC_EV, DECODED, BUILT, SEED,
-        "bsrc AS (SELECT ord AS id, title || ' ' || summary AS text FROM built)",
-        emb("bv", "bsrc"),
-        "ssrc AS (SELECT ord AS id, title || ' ' || summary AS text FROM seed)",
-        emb("sv", "ssrc"),
-        # The seed's latest-wins view: one vector per event id (highest ord).
-        "seed_latest AS (SELECT event_id, max(ord) AS ord FROM seed GROUP BY event_id)",
-        "svl AS (SELECT * FROM sv WHERE id IN (SELECT ord FROM seed_latest))",
-        """bdots AS (SELECT b.id, sum(b.value * s.value) AS dot
+#: Vectors of the run's events and of the seed's latest-wins view (one per event id, highest ord).
+RUN_VECTORS = (
+    "bsrc AS (SELECT ord AS id, title || ' ' || summary AS text FROM built)",
+    emb("bv", "bsrc"),
+    "ssrc AS (SELECT ord AS id, title || ' ' || summary AS text FROM seed)",
+    emb("sv", "ssrc"),
+    "seed_latest AS (SELECT event_id, max(ord) AS ord FROM seed GROUP BY event_id)",
+    "svl AS (SELECT * FROM sv WHERE id IN (SELECT ord FROM seed_latest))",
+)
+
+SURVIVORS = (
+    """bdots AS (SELECT b.id, sum(b.value * s.value) AS dot
                  FROM bv b JOIN svl s USING (dim_index) GROUP BY b.id, s.id)""",
-        "dups AS (SELECT DISTINCT id FROM bdots WHERE dot >= 0.8)",
-        "survivors AS (SELECT * FROM built WHERE ord NOT IN (SELECT id FROM dups))",
-        "qsrc AS (SELECT event_id, min(title) AS query FROM survivors GROUP BY event_id)",
-        bm25("qsrc"),
-        enriched("survivors"),
+    "dups AS (SELECT DISTINCT id FROM bdots WHERE dot >= 0.8)",
+    "survivors AS (SELECT * FROM built WHERE ord NOT IN (SELECT id FROM dups))",
+)
+
+RUN_QUERIES = "qsrc AS (SELECT event_id, min(title) AS query FROM survivors GROUP BY event_id)"
+
+#: The queries that a caller supplies: the titles of events of an even index, under a line of their own.
+SUPPLIED = """even AS (SELECT event_id, min(title) AS title FROM built WHERE event_idx % 2 = 0 GROUP BY event_id),
+qsrc AS (SELECT v.event_id, min(coalesce(regexp_replace('news on ' || e.title, '\\s+$', ''), v.title)) AS query
+         FROM survivors v LEFT JOIN even e USING (event_id) GROUP BY v.event_id)"""
+
+
+def _pipeline_articles(queries: str = RUN_QUERIES, where: str = "true", survivors: tuple[str, ...] = SURVIVORS) -> str:
+    """Articles of one run: events of the answers vs the labelled seed, survivors enriched."""
+    return _with(DOC_EV, DECODED, BUILT, SEED, *RUN_VECTORS, *survivors, queries, bm25("qsrc", where), enriched("survivors"))
+
+
+def _micro_batches(parts: int) -> tuple[str, ...]:
+    """``survivors`` of a run in ``parts`` batches: each is held against the seed and the survivors before it,
+    of which the latest per event id counts."""
+    near = "sum(a.value * b.value) >= 0.8"
+    ctes = [
+        "rng AS (SELECT min(doc_id // 5) AS f, max(doc_id // 5) AS l FROM documents)",
+        f"part AS (SELECT built.*, (response_id - f) * {parts} // (l - f + 1) AS part FROM built, rng)",
+        f"near_seed AS (SELECT a.id AS ord, b.id AS other FROM bv a JOIN sv b USING (dim_index) GROUP BY ALL HAVING {near})",
+        f"""near_run AS (SELECT a.id AS ord, b.id AS other FROM bv a JOIN bv b USING (dim_index)
+            JOIN part x ON x.ord = a.id JOIN part y ON y.ord = b.id AND y.part < x.part GROUP BY ALL HAVING {near})""",
+    ]
+    stored = "SELECT event_id, ord, 0 AS version, true AS seeded FROM seed"
+    for i in range(parts):
+        ctes.append(f"""h{i} AS (SELECT * FROM ({stored})
+            QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY version DESC, ord DESC) = 1)""")
+        ctes.append(f"""s{i} AS (SELECT * FROM part WHERE part = {i}
+            AND ord NOT IN (SELECT n.ord FROM near_seed n JOIN h{i} h ON h.seeded AND h.ord = n.other)
+            AND ord NOT IN (SELECT n.ord FROM near_run n JOIN h{i} h ON NOT h.seeded AND h.ord = n.other))""")
+        stored += f" UNION ALL SELECT event_id, ord, {i + 1}, false FROM s{i}"
+    ctes.append("survivors AS (" + " UNION ALL ".join(f"SELECT *, CAST({i + 1} AS BIGINT) AS batch_id FROM s{i}" for i in range(parts)) + ")")
+    return tuple(ctes)
+
+
+def _json_text(x: str) -> str:
+    return f"CAST(to_json({x}) AS VARCHAR)"
+
+
+def _answer() -> str:
+    """The answer text of each response, in the style of its id."""
+    items = (
+        "string_agg(CASE WHEN style = 5 AND doc_id % 5 = 0 THEN '{\"title\":' || " + _json_text("title") + " || '}' "
+        "ELSE '{\"title\":' || " + _json_text("title") + " || ',\"summary\":' || " + _json_text("summary_raw") + " || '}' END, ',' ORDER BY doc_id)"
     )
+    text = lambda t: "'" + t.replace("'", "''").replace("\n", f"' || {NL} || '") + "'"
+    obj = "'{\"events\":[' || items || ']}'"
+    return f"""answer AS (
+  SELECT response_id, status, CASE style
+           WHEN 1 THEN {text(chr(96) * 3 + "json" + chr(10))} || {obj} || {text(chr(10) + chr(96) * 3)}
+           WHEN 2 THEN {text(fixtures.THINK_TEXT + chr(96) * 3 + "json" + chr(10))} || {obj} || {text(chr(10) + chr(96) * 3)}
+           WHEN 3 THEN {text(fixtures.PROSE_BEFORE)} || {obj} || {text(fixtures.PROSE_AFTER)}
+           WHEN 4 THEN '[' || items || ']'
+           WHEN 6 THEN {text(fixtures.NO_JSON_TEXT)}
+           WHEN 7 THEN {text(fixtures.FENCE_LEAD)} || {obj} || {text(fixtures.FENCE_TAIL)}
+           WHEN 8 THEN '{{"events":"none"}}'
+           WHEN 9 THEN '{{"results":[' || items || ']}}'
+           ELSE {obj} END AS content
+  FROM (SELECT response_id, min(status) AS status, min(style) AS style, {items} AS items FROM doc_ev GROUP BY response_id))"""
 
 
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
-    q["read_responses"] = """
-SELECT DISTINCT doc_id // 5 AS response_id,
-       CAST(CASE WHEN (doc_id // 5) % 11 = 0 THEN 500 ELSE 200 END AS BIGINT) AS status,
-       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST((doc_id // 5) * 997 AS DOUBLE)),
-                '%Y-%m-%d %H:%M:%S') AS ts, true AS has_content
-FROM documents"""
+    q["read_responses"] = _with(DOC_EV, _answer()) + """
+SELECT response_id, CAST(status AS BIGINT) AS status, content,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(response_id * 997 AS DOUBLE)), '%Y-%m-%d %H:%M:%S') AS ts
+FROM answer"""
 
     q["split_by_status"] = """
 SELECT DISTINCT doc_id // 5 AS response_id, (doc_id // 5) % 11 <> 0 AS accepted,
@@ -304,8 +362,8 @@ SELECT probe_id, match_id, round(score, 6) AS score, rank FROM ranked_pairs WHER
     q["similarity_join_lsh"] = _with(_doc_pairs()) + """
 SELECT probe_id, match_id, round(score, 6) AS score FROM pairs WHERE score >= 0.8"""
     q["join_embeddings"] = """
-SELECT d.doc_id, CAST(len(e.embedding) AS BIGINT) AS n, round(e.embedding[1]::DOUBLE, 6) AS first,
-       round(e.embedding[-1]::DOUBLE, 6) AS last
+SELECT d.doc_id, CAST(len(e.embedding) AS BIGINT) AS n,
+       round(list_sum(list_transform(e.embedding, lambda x, i: x::DOUBLE * i)), 6) AS weight
 FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id"""
     q["flag_duplicates"] = _with(_doc_pairs()) + """
 SELECT d.doc_id AS probe_id, coalesce(r.score >= 0.8, false) AS is_duplicate,
@@ -427,19 +485,18 @@ FROM doc_ev WHERE status <> 200 OR style IN (6, 8)
 UNION ALL
 SELECT response_id, event_idx, 'missing_summary' FROM decoded WHERE summary IS NULL"""
 
-    articles = _pipeline_articles() + "SELECT event_id, title, summary, story, sources, ord FROM enriched"
-    q["run_pipeline"] = articles
-    q["stream_pipeline"] = articles
-    q["pipeline_stats"] = _with(
-        DOC_EV, DECODED, BUILT, SEED,
-        "bsrc AS (SELECT ord AS id, title || ' ' || summary AS text FROM built)", emb("bv", "bsrc"),
-        "ssrc AS (SELECT ord AS id, title || ' ' || summary AS text FROM seed)", emb("sv", "ssrc"),
-        "seed_latest AS (SELECT event_id, max(ord) AS ord FROM seed GROUP BY event_id)",
-        "svl AS (SELECT * FROM sv WHERE id IN (SELECT ord FROM seed_latest))",
-        """bdots AS (SELECT b.id, sum(b.value * s.value) AS dot
-                 FROM bv b JOIN svl s USING (dim_index) GROUP BY b.id, s.id)""",
-        "dups AS (SELECT DISTINCT id FROM bdots WHERE dot >= 0.8)",
-    ) + """
+    out = "SELECT event_id, title, summary, story, sources, ord FROM enriched"
+    q["run_pipeline"] = _pipeline_articles() + out
+    q["stream_pipeline"] = q["run_pipeline"]
+    q["run_pipeline_day"] = _pipeline_articles(where="ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'") + out
+    q["run_pipeline_supplied"] = _pipeline_articles(SUPPLIED).rstrip() + f""",
+odd AS (SELECT event_id, min(summary) || ' [3] [Reuters]' AS article FROM built WHERE event_idx % 2 = 1 GROUP BY event_id),
+cleaned AS (SELECT event_id, {clean('article', True, False)} AS article FROM odd)
+SELECT e.event_id, e.title, e.summary,
+       CASE WHEN x.event_id IS NULL THEN e.story ELSE coalesce({trim('c.article')}, e.story) END AS story, e.sources, e.ord
+FROM enriched e LEFT JOIN cleaned c USING (event_id) LEFT JOIN exc x USING (event_id)"""
+    q["stream_micro_batches"] = _pipeline_articles(survivors=_micro_batches(3)) + "SELECT event_id, title, summary, story, sources, ord, batch_id FROM enriched"
+    q["pipeline_stats"] = _with(DOC_EV, DECODED, BUILT, SEED, *RUN_VECTORS, *SURVIVORS) + """
 SELECT count(*) AS total, count(*) FILTER (WHERE ord IN (SELECT id FROM dups)) AS duplicates,
        count(*) FILTER (WHERE ord NOT IN (SELECT id FROM dups)) AS stored, CAST(0 AS BIGINT) AS rejected
 FROM built"""

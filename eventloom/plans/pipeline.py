@@ -7,8 +7,9 @@
 
 The reference deduplicates before it enriches, so enrichment (the costly
 step) only runs for survivors; the plan keeps that order. History is the
-latest-wins view of the vector log *before* this batch, so a retried batch
-sees the same input and rewrites the same partitions.
+latest-wins view *before* this batch, so a retried batch sees the same input.
+Sinks are a ``SnapshotStore``, which commits all of them at once, or plain
+folders, whose partitions a retry rewrites one after the other.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from eventloom.functions.ids import event_key
 from eventloom.operators.extract import build_events, contract_split, decode_responses, split_decoded
 from eventloom.operators.retrieval import EXCERPT_MAX_CHARS, BM25Index, build_queries, enrich_events, retrieve_topk
 from eventloom.operators.similarity import SIMILARITY_THRESHOLD, DEDUP_TOP_K, flag_duplicates
+from eventloom.operators.snapshots import SnapshotStore
 from eventloom.operators.stores import (
     DEDUP_NAMESPACE,
     append_articles,
@@ -36,14 +38,17 @@ from eventloom.operators.stores import (
 )
 from eventloom.operators.vectors import DEFAULT_DIM, embed_table, overview_text
 from eventloom.sources.intake import split_by_status
+from eventloom.sources.tables import staged
+
 
 @dataclass
 class PipelineRun:
     stats: DataFrame  # one row: total, duplicates, stored, rejected
-    store_path: str
-    articles_path: str
+    store_path: str | None
+    articles_path: str | None
     batch_id: int
     quarantine_path: str | None = None
+    store: SnapshotStore | None = None
 
 
 def event_batch(
@@ -115,8 +120,8 @@ def run_pipeline(
     spark: SparkSession,
     responses: DataFrame,
     corpus: DataFrame,
-    store_path: str,
-    articles_path: str,
+    store_path: str | None,
+    articles_path: str | None,
     batch_id: int,
     run_ts: str,
     supplied_queries: DataFrame | None = None,
@@ -132,28 +137,42 @@ def run_pipeline(
     search_date=None,
     excerpt_chars: int | None = EXCERPT_MAX_CHARS,
     run_id: str | None = None,
+    store: SnapshotStore | None = None,
 ) -> PipelineRun:
     """Run one batch end to end; returns the statistics of the run.
 
+    With ``store`` vectors, articles and quarantine become visible together, by one
+    commit at the end, and the paths are not used.
+
     No event is stored when none survives (the reference's early exit); what an
     earlier attempt of the batch stored is removed. Rejected rows are counted,
     and written to ``quarantine_path`` (by batch) if it is given; with
     ``mode='failfast'`` the first one aborts the run. ``search_ts_col`` and
-    ``search_date`` limit the search to that day's pages. ``index``
+    ``search_date`` limit the search to that day's pages; without a date that is the day
+    of ``run_ts``. ``index``
     (``build_index(corpus)``) can be shared by many batches; if not given it is
     built for this batch and released at the end. With ``run_id`` the batch is
     claimed for that run, and a batch of another run is refused.
     """
-    if run_id is not None:
+    if store is not None:
+        store.check_owner(batch_id, run_id)
+    elif run_id is not None:
         claim_batch(spark, store_path, batch_id, run_id)
+    if search_ts_col is not None and search_date is None:
+        search_date = run_ts[:10]
     batch = event_batch(responses, run_ts, dim, embedder, mode)
     events = batch["events"].persist(StorageLevel.MEMORY_AND_DISK)
-    history = latest_vectors(read_vector_log(spark, store_path), DEDUP_NAMESPACE, before_batch=batch_id, columns=["vector"])
+    if store is not None:
+        history = store.vectors(DEDUP_NAMESPACE, before_batch=batch_id, columns=["vector"])
+    else:
+        history = latest_vectors(read_vector_log(spark, store_path), DEDUP_NAMESPACE, before_batch=batch_id, columns=["vector"])
     flagged = flag_batch(events, history, threshold, scope, dim=None if embedder else dim).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = pipeline_stats(flagged).first().asDict()
         quarantine = batch["quarantine"].withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if quarantine_path:
+        if store is not None:
+            quarantine = staged(quarantine, "quarantine")  # counted and committed
+        elif quarantine_path:
             clear_batch(spark, quarantine_path, batch_id)
             quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path)
             quarantine = read_quarantine(spark, quarantine_path).filter(F.col("batch_id") == batch_id)
@@ -166,10 +185,15 @@ def run_pipeline(
             enriched = enrich_events(survivors, results, articles, excerpt_chars).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 records = overview_vectors(enriched).unionByName(chunk_vectors(enriched, dim=dim, embedder=embedder))
-                upsert_vectors(records, store_path, batch_id)
-                append_articles(enriched, articles_path, batch_id)
+                if store is not None:
+                    store.commit(batch_id, records, enriched, quarantine, run_id)
+                else:
+                    upsert_vectors(records, store_path, batch_id)
+                    append_articles(enriched, articles_path, batch_id)
             finally:
                 enriched.unpersist()
+        elif store is not None:
+            store.commit(batch_id, quarantine=quarantine, run_id=run_id)
         else:
             clear_batch(spark, store_path, batch_id)
             clear_batch(spark, articles_path, batch_id)
@@ -177,7 +201,7 @@ def run_pipeline(
         flagged.unpersist()
         events.unpersist()
         batch["decoded"].unpersist()
-    return PipelineRun(stats, store_path, articles_path, batch_id, quarantine_path)
+    return PipelineRun(stats, store_path, articles_path, batch_id, quarantine_path, store)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

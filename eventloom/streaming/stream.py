@@ -1,8 +1,8 @@
 """The curation flow over a stream of answers (operator 33).
 
 Each micro-batch is one pipeline run against the history as of its start.
-Exactly-once comes from three things: the stream checkpoint, sinks that replace
-all that an earlier attempt of the ``batch_id`` wrote, and inputs that are a function of the epoch
+Exactly-once comes from three things: the stream checkpoint, one commit per batch that replaces
+an earlier attempt of the ``batch_id`` (or folders that are rewritten), and inputs that are a function of the epoch
 (history read with ``batch_id < current``, ``run_ts`` fixed or taken from
 the batch itself).
 """
@@ -22,8 +22,8 @@ def stream_pipeline(
     spark: SparkSession,
     responses_path: str,
     corpus: DataFrame,
-    store_path: str,
-    articles_path: str,
+    store_path: str | None,
+    articles_path: str | None,
     checkpoint_path: str,
     run_ts: str | None = None,
     batch_offset: int = 1,
@@ -34,7 +34,9 @@ def stream_pipeline(
     """Start the stream; ``batch_id = epoch_id + batch_offset``.
 
     ``run_ts=None`` stamps each batch with its latest answer time, so a
-    replayed epoch gets the same stamp. Batches belong to the stream's checkpoint:
+    replayed epoch gets the same stamp; with ``search_ts_col`` it is also the day that
+    the batch's search is limited to. ``store`` (a ``SnapshotStore``) takes the place of
+    the two paths. Batches belong to the stream's checkpoint:
     a stream with another checkpoint that would replace them is refused (give it a
     ``batch_offset`` beyond them). The corpus is static for the stream,
     so its BM25 index is built once and shared by every micro-batch.

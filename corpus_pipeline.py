@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import prepare, stage, table
+from eventloom.llm.common import doc_column, number_rows, prepare, stage, table
 from eventloom.llm.exact_dedup import exact_dedup
 from eventloom.llm.mixing import mix
 from eventloom.llm.ngram_join import near_dedup
@@ -40,11 +40,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: 0, 1 or 2 times."""
     prepare(spark)
-    docs = docs.withColumn("__row", F.monotonically_increasing_id())
-    docs = stage(docs, "mixture-rows")  # the row numbers must not change between two reads
-    times = mix(docs, id_col="__row").select("__row", "times").filter("times > 0")
-    copies = docs.join(times, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-    return copies.drop("__row", "times", "__copy")
+    rows = number_rows(docs, "mixture-rows")  # numbered and packed, so that any column names pass
+    narrow = rows.select("__row", doc_column("text").alias("text"), doc_column("source").alias("source"))
+    times = mix(narrow, id_col="__row").select(F.col("__row").alias("taken"), F.col("times").cast("int").alias("times")).filter("times > 0")
+    copies = rows.join(times, rows["__row"] == times["taken"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return copies.select("doc.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

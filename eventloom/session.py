@@ -53,10 +53,31 @@ def ensure_engine_conf(spark: SparkSession) -> None:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    restore_settings(spark)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 
 
+_KEPT = "eventloom.caller."
+
+
+def remember_setting(spark: SparkSession, key: str, value: str) -> None:
+    """Set ``key`` for the queries to come, until ``restore_settings``; plans are made after a query
+    function returns, so it cannot be set back at its end."""
+    if spark.conf.get(_KEPT + key, None) is None:
+        spark.conf.set(_KEPT + key, spark.conf.get(key))
+    spark.conf.set(key, value)
+
+
+def restore_settings(spark: SparkSession) -> None:
+    """The caller's values of what ``remember_setting`` changed."""
+    for key in ("spark.sql.execution.arrow.maxRecordsPerBatch",):
+        kept = spark.conf.get(_KEPT + key, None)
+        if kept is not None:
+            spark.conf.set(key, kept)
+            spark.conf.unset(_KEPT + key)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``eventloom`` importable in every Python worker, once per context.
 

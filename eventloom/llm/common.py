@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventloom.session import ensure_engine_conf, scratch_path
+from eventloom.session import ensure_engine_conf, remember_setting, scratch_path
 
 #: Bits of the id filter; its table has at most 1/64 as many rows, whatever the input.
 FILTER_BITS = 1 << 24
@@ -13,9 +13,10 @@ FILTER_BITS = 1 << 24
 
 def prepare(spark: SparkSession) -> None:
     """Session settings that the operators need: the engine's own, and small Arrow batches
-    (the kernels work on a few MB of text at a time)."""
+    (the kernels work on a few MB of text at a time). The next query that needs no such batches has
+    the caller's setting again."""
     ensure_engine_conf(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    remember_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +35,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def number_rows(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written, with a distinct number ``__row`` for every row that stays the same between two reads."""
-    return stage(df.withColumn("__row", F.monotonically_increasing_id()), name)
+    """(__row, doc), written: every row of ``df`` as a struct, so that no column name can clash, and a
+    distinct number of it that stays the same between two reads. ``doc.*`` gives the columns back."""
+    return stage(df.select(F.monotonically_increasing_id().alias("__row"), F.struct("*").alias("doc")), name)
+
+
+def doc_column(name: str) -> Column:
+    """A column of a row that ``number_rows`` packed."""
+    return F.col("doc").getField(name)
 
 
 def discard(written: DataFrame) -> None:

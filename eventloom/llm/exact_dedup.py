@@ -11,7 +11,9 @@ split.
 Null and empty texts are equal. Of equal texts the row with the largest id
 stays; rows that repeat an id count as rows of their own, and then the decisions
 keep each row of the winning id, while the stage keeps one. A null id is smaller
-than all others. Empty tables give empty results. Extra columns are not read.
+than all others. Texts are digested whole, however
+long. Empty tables give empty results. Extra columns are not read; the stage keeps them,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import drop_ids, number_rows, stage
+from eventloom.llm.common import doc_column, drop_ids, number_rows, stage
 
 #: Counters of a Misra-Gries summary, and the most rows that are broadcast.
 COUNTERS = 1024
@@ -93,8 +95,8 @@ def dedup_decisions(
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
     """One row of ``docs`` for every text, that of the largest id; rows are told apart by number, as ids may repeat."""
     rows = number_rows(docs, "dedup-rows")
-    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    digests = stage(rows.select("__row", F.col(id_col).alias("id"), digest.alias("digest")), "dedup-digests")
+    digest = F.sha2(F.coalesce(doc_column(text_col).cast("string"), F.lit("")).cast("binary"), 256)
+    digests = stage(rows.select("__row", doc_column(id_col).alias("id"), digest.alias("digest")), "dedup-digests")
     joined = join_summary(digests, "digest", F.max(F.struct("id", "__row")).alias("keep"), counters=counters)
     lost = stage(joined.filter("__row <> keep.__row").select("__row"), "dedup-lost")
-    return drop_ids(rows, "__row", lost).drop("__row")
+    return drop_ids(rows, "__row", lost).select("doc.*")

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import stage
+from eventloom.llm.integers import MOST, integers, products
 
 SCALE = 256.0
 POSITIVES, NEGATIVES = 5, 10
@@ -44,35 +45,10 @@ BLOCK = 512
 CURVE, CURVE_BITS = 8, 4
 #: Anchors and zone maps of a cell of the grid; anchors that read a block together.
 ANCHOR_CELL, ZONE_CELL, BUNDLE = 256, 1024, 256
-_MOST = np.iinfo(np.int64).max
-#: Vectors of components below this are multiplied as 64-bit integers.
-NARROW = 2.0**28
-
-
-def _integers(flat: np.ndarray, scale: float) -> np.ndarray:
-    """floor(scale * x): 64-bit integers, or Python integers where one is beyond them."""
-    value = np.floor(scale * flat)
-    if np.all(np.abs(value) < 2.0**62):
-        return value.astype(np.int64)
-    # scale is a power of two, so the product of a finite double that overflows is exact in integers.
-    return np.array([int(v) if np.isfinite(v) else int(x) * int(scale) for v, x in zip(value.tolist(), flat.tolist())], dtype=object)
 
 
 def _matrix(raw: list[bytes], dim: int, scale: float) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return _integers(np.frombuffer(b"".join(raw), "<f8"), scale).reshape(len(raw), dim)
-
-
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of all rows of a with all rows of b, held within 64 bits."""
-    if a.dtype != object and b.dtype != object:
-        most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-        if most < 2.0**53:
-            return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-        if most < 2.0**62:
-            return a @ b.T
-    exact = a.astype(object) @ b.astype(object).T
-    return np.clip(exact, -_MOST, _MOST).astype(np.int64)
+    return integers(np.frombuffer(b"".join(raw), "<f8"), scale).reshape(len(raw), dim)
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -111,7 +87,7 @@ def intervals(anchors: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[n
         slack = 1e-9 * (np.abs(anchors) @ np.maximum(np.abs(low), np.abs(high)).T) + 1
         least, most = up @ low.T + down @ high.T - slack, up @ high.T + down @ low.T + slack
     # Scores are held within 64 bits, and so are their bounds.
-    return np.minimum(np.where(np.isnan(least), -np.inf, least), float(_MOST)), np.maximum(np.where(np.isnan(most), np.inf, most), -float(_MOST))
+    return np.minimum(np.where(np.isnan(least), -np.inf, least), float(MOST)), np.maximum(np.where(np.isnan(most), np.inf, most), -float(MOST))
 
 
 def _points(vectors: DataFrame, id_col: str, vector_col: str, label: Column) -> DataFrame:
@@ -273,8 +249,8 @@ def _best_in_windows(score: np.ndarray, ids: np.ndarray, floors: np.ndarray, cap
     sorted_scores = score[order]
     taken = np.zeros(len(score), bool)
     for floor, cap in zip(floors, caps):
-        start = np.searchsorted(-sorted_scores, -cap, side="left") if cap < _MOST else 0
-        end = np.searchsorted(-sorted_scores, -floor, side="right") if floor > -_MOST else len(score)
+        start = np.searchsorted(-sorted_scores, -cap, side="left") if cap < MOST else 0
+        end = np.searchsorted(-sorted_scores, -floor, side="right") if floor > -MOST else len(score)
         taken[order[start : min(end, start + k)]] = True
     return np.flatnonzero(taken)
 
@@ -331,7 +307,7 @@ def hard_negatives(
     """
     points = stage(_points(vectors, id_col, vector_col, label), "negatives-rows")
     blocks = zone_blocks(points, SCALE, block)
-    every = F.array(F.lit(-_MOST)), F.array(F.lit(_MOST))
+    every = F.array(F.lit(-MOST)), F.array(F.lit(MOST))
     anchors = points.filter(is_anchor).distinct().select(F.col("id").alias("anchor_id"), "label", "dim", "vector", every[0].alias("floors"), every[1].alias("caps"))
     anchors = stage(anchors.withColumn("anchor", F.monotonically_increasing_id()), "negatives-anchors")
 
@@ -349,7 +325,7 @@ def hard_negatives(
     windows = F.sort_array(F.collect_list(F.struct("window", "floor", "cap")))  # at most ``positives`` of an anchor
     windows = pairs.groupBy("anchor").agg(windows.alias("w"))
     padded = lambda c, fill: F.concat(F.col(f"w.{c}"), F.array_repeat(F.lit(fill), F.lit(positives) - F.size("w")))
-    windows = windows.select("anchor", padded("floor", _MOST).alias("floors"), padded("cap", -_MOST).alias("caps"))  # no score is in the padding
+    windows = windows.select("anchor", padded("floor", MOST).alias("floors"), padded("cap", -MOST).alias("caps"))  # no score is in the padding
     seekers = stage(anchors.drop("floors", "caps").join(windows, "anchor"), "negatives-seekers")
 
     of_window = Window.partitionBy("anchor", "window").orderBy(F.desc("score"), "id")

@@ -8,6 +8,7 @@ tab, LF, VT, FF and CR; null texts count as empty.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +19,8 @@ import pyarrow as pa
 #: several 8-byte values per byte run fastest on blocks whose arrays stay in the cache.
 BLOCK_BYTES = 2 << 20
 SMALL_BLOCK = 64 << 10
+#: Bytes from which on a word's hash is a digest.
+LONG_WORD = 128
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -137,8 +140,16 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[Words, np.ndarray]:
+    """The words of a block and 64-bit hashes of them.
+
+    A polynomial modulo 2**64 has collisions by construction between words of 1,024 bytes
+    and more, whatever its base; words of ``LONG_WORD`` bytes and more get a BLAKE2 digest.
+    """
     w = words(data, bounds)
-    return w, span_hash(prefix_hash(data), w.start, w.end)
+    hashes = span_hash(prefix_hash(data), w.start, w.end)
+    for i in np.flatnonzero(w.end - w.start >= LONG_WORD).tolist():
+        hashes[i] = int.from_bytes(hashlib.blake2b(data[w.start[i] : w.end[i]].tobytes(), digest_size=8).digest(), "little")
+    return w, hashes
 
 
 def shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm import kernel as K
-from eventloom.llm.common import discard, drop_ids, keep_ids, number_rows, stage
+from eventloom.llm.common import discard, doc_column, drop_ids, keep_ids, number_rows, stage
 from eventloom.llm.components import components
 
 WORDS = 5
@@ -414,15 +414,16 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_shingles, component_id), one row for every row of ``docs``; component_id is the
     smallest id that links reach, null only if all of them are."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    narrow = number_rows(narrow, "join-rows").withColumnRenamed("__row", "row")
-    return row_components(narrow, words, percent).select("id", "n", "lowest.id").toDF(id_col, "n_shingles", "component_id")
+    narrow = stage(narrow.withColumn("row", F.monotonically_increasing_id()), "join-rows")
+    found = row_components(narrow.select("row", "id", "text"), words, percent)
+    return found.select("id", "n", "lowest.id").toDF(id_col, "n_shingles", "component_id")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of ``docs`` for each component, that of the smallest id; documents without words stay.
-    Rows are told apart by number, as ids may repeat."""
+    Rows are told apart by number, as ids may repeat; all columns stay, whatever their names."""
     rows = number_rows(docs, "join-rows")
-    narrow = rows.select(F.col("__row").alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    narrow = rows.select(F.col("__row").alias("row"), doc_column(id_col).alias("id"), doc_column(text_col).cast("string").alias("text"))
     found = row_components(narrow, words, percent)
     lost = stage(found.filter("row <> lowest.row").select("row"), "join-lost")
-    return drop_ids(rows, "__row", lost).drop("__row")
+    return drop_ids(rows, "__row", lost).select("doc.*")

@@ -17,8 +17,10 @@ of the few rows per query are ranked at the end.
 Vectors that are null or empty or hold a null, NaN or infinite component take
 no part; neither do rows with a null id. Vectors meet only vectors of the same
 dimension. A query does not meet rows of its own id. Equal scores rank by the
-smaller id, rows that repeat an id each count. Empty tables give empty results;
-extra columns are not read. Scores are exact if they fit 63 bits.
+smaller id, rows that repeat an id each count, as candidates and as queries. Scores
+are exact; one beyond 63 bits is held at plus or minus 2**63 - 1 and ranks as such
+(vectors of such size take exact integers of any length in place of the bounds). Empty
+tables give empty results; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import stage
+from eventloom.llm.integers import integers, products
 
 K, SCALE = 20, 64.0
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 8192
@@ -38,27 +41,23 @@ RESOLUTIONS = (4, 16)
 QUERY_TILE, CANDIDATE_TILE = 256, 4096
 
 
-def quantise(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
-    """(id, dim, values) with values the little-endian 64-bit integers floor(scale * x)."""
+def quantise(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, dim, vector) of the rows that take part, the vector as its doubles' bytes."""
 
     def rows(batches):
         for batch in batches:
             column = batch.column(1)
-            length = np.diff(column.offsets.to_numpy())
-            flat = column.values.cast(pa.float64()).fill_null(float("nan")).to_numpy()[column.offsets[0].as_py() : column.offsets[-1].as_py()]
-            with np.errstate(over="ignore", invalid="ignore"):
-                value = np.floor(scale * flat)
-            bad = np.concatenate([[0], np.cumsum(~np.isfinite(value) | (np.abs(value) >= 2.0**62))])
+            flat = column.flatten().fill_null(float("nan")).to_numpy(zero_copy_only=False).astype("<f8")
+            length = np.asarray(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+            bad = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
             ends = np.cumsum(length)
-            good = column.is_valid().to_numpy(zero_copy_only=False) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-            good &= (length > 0) & (bad[ends] == bad[ends - length])
+            good = batch.column(0).is_valid().to_numpy(zero_copy_only=False) & (length > 0) & (bad[ends] == bad[ends - length])
             kept = np.flatnonzero(good)
-            value = np.where(np.isfinite(value) & (np.abs(value) < 2.0**62), value, 0).astype("<i8")
-            raw = [value[ends[i] - length[i] : ends[i]].tobytes() for i in kept.tolist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)).cast(pa.int64()), pa.array(length[kept].astype(np.int32)), pa.array(raw, pa.binary())], ["id", "dim", "values"])
+            raw = [flat[ends[i] - length[i] : ends[i]].tobytes() for i in kept.tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)).cast(pa.int64()), pa.array(length[kept].astype(np.int32)), pa.array(raw, pa.binary())], ["id", "dim", "vector"])
 
     narrow = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    return narrow.mapInArrow(rows, "id long, dim int, values binary")
+    return narrow.mapInArrow(rows, "id long, dim int, vector binary")
 
 
 def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -158,17 +157,46 @@ def _pair_bounds(q, c, i, j):
     return out
 
 
-def _matrix(block: pa.Table):
-    ids = block.column("id").to_numpy()
-    return ids, np.frombuffer(b"".join(block.column("values").to_pylist()), "<i8").reshape(len(ids), -1)
+def _open(block: pa.Table, scale: float):
+    """(numbers, ids, integers, wide): floor(scale * x) of a block's vectors; a wide row's scores may not fit 62 bits
+    of integer arithmetic."""
+    numbers, ids = block.column("number").to_numpy(), block.column("id").to_numpy()
+    flat = np.frombuffer(b"".join(block.column("vector").to_pylist()), "<f8")
+    x = integers(flat, scale).reshape(len(ids), -1)
+    most = np.abs(x).max(axis=1).astype(float)
+    return numbers, ids, x, most * most * x.shape[1] >= 2.0**62
+
+
+def _exact_best(q, q_ids, c, c_ids, k: int):
+    """The k best of few rows in Python integers: (query index, score, candidate id)."""
+    score = products(q, c)
+    query, other = np.nonzero(q_ids[:, None] != c_ids[None, :])
+    best = _Best(len(q), k)
+    best.add(query, score[query, other], c_ids[other])
+    return best.query, best.score, best.id
+
+
+def search_rows(q_ids, q, q_wide, c_ids, c, c_wide, k: int):
+    """``search_block`` for rows whose scores fit, exact integers of any size for the others."""
+    parts = []
+    for mine, theirs, search in ((~q_wide, ~c_wide, search_block), (~q_wide, c_wide, None), (q_wide, np.ones(len(c), bool), None)):
+        mine = np.flatnonzero(mine)
+        if not len(mine) or not theirs.any():
+            continue
+        if search:
+            found = search(q_ids[mine], q[mine].astype(np.int64), c_ids[theirs], c[theirs].astype(np.int64), k)
+        else:
+            found = _exact_best(q[mine], q_ids[mine], c[theirs], c_ids[theirs], k)
+        parts.append((mine[found[0]], found[1], found[2]))
+    return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*parts) if parts else ((), (), ()))]
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, scale: float = SCALE, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score); ``is_query`` is a condition on the column ``id``."""
-    points = stage(quantise(vectors, id_col, vector_col, scale), "search-vectors")
+    points = stage(quantise(vectors, id_col, vector_col).withColumn("number", F.monotonically_increasing_id()), "search-vectors")
     n, n_queries = points.agg(F.count("*"), F.count_if(is_query)).first()
     across, down = max(-(-n // candidate_block), 1), max(-(-n_queries // query_block), 1)
-    place = F.xxhash64("id")
+    place = F.xxhash64("id", "number")
     blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = points.filter(is_query).withColumn("q", F.pmod(place, F.lit(down)).cast("int")).withColumn("c", blocks(across))
     right = points.withColumn("c", F.pmod(place, F.lit(across)).cast("int")).withColumn("q", blocks(down))
@@ -176,11 +204,11 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     def meet(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         if not queries.num_rows or not candidates.num_rows:
             empty = pa.array([], pa.int64())
-            return pa.table({"query_id": empty, "vec_id": empty, "score": empty})
-        (q_ids, q), (c_ids, c) = _matrix(queries), _matrix(candidates)
-        query, score, ids = search_block(q_ids, q, c_ids, c, k)
-        return pa.table({"query_id": q_ids[query], "vec_id": ids, "score": score})
+            return pa.table({"number": empty, "query_id": empty, "vec_id": empty, "score": empty})
+        (numbers, q_ids, q, q_wide), (_, c_ids, c, c_wide) = _open(queries, scale), _open(candidates, scale)
+        query, score, ids = search_rows(q_ids, q, q_wide, c_ids, c, c_wide, k)
+        return pa.table({"number": numbers[query], "query_id": q_ids[query], "vec_id": ids, "score": score})
 
-    cells = left.groupBy("q", "c", "dim").cogroup(right.groupBy("q", "c", "dim")).applyInArrow(meet, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    cells = left.groupBy("q", "c", "dim").cogroup(right.groupBy("q", "c", "dim")).applyInArrow(meet, "number long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     return cells.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -7,6 +7,9 @@ whose line separator is the blank lines that end a record, so each part file is
 a WARC file on whatever store the path names, and a lost task is written again
 by the ordinary commit protocol.
 
+Payloads may be very long: a record is held whole while it is written or read, a file
+by the task that reads it. Pages that are archived and read back fail on a gap: no page is lost unseen.
+
 Reading: a record is accepted if its header lines are well-formed, its length
 lies in the file, its block digest matches and blank lines end it; a gzip
 member must inflate whole, with its checksum, to one such record. After a
@@ -121,61 +124,86 @@ class Item:
     reason: str | None = None
     headers: dict[str, str] = field(default_factory=dict)
     block: bytes = b""
+    inside: bool = False  # found within what a failed record declares to be its block
 
 
 class _Bad(Exception):
-    pass
+    """A failed check, and where the record declares its block to end (0: it does not)."""
+
+    def __init__(self, reason: str, end: int = 0):
+        super().__init__(reason)
+        self.end = end
+
+
+#: Bytes of a header line, and of a member that are inflated at a time.
+MOST_LINE, STEP = 1 << 16, 1 << 16
 
 
 _NUMBER = re.compile(r"[0-9]{1,18}")
 
 
-def _record(data: bytes, at: int) -> tuple[Item, int]:
-    """The plain record at ``at`` and the offset behind it."""
-    if not data.startswith(b"WARC/1.", at):
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+
+
+def _headers(data: bytes, at: int) -> tuple[dict[str, str], int]:
+    """The header lines of the record at ``at`` and the offset of its block, a line at a time."""
+    version = _VERSION.match(data, at)
+    if not version:
         raise _Bad("no version line")
-    stop = data.find(END, at)
-    if stop < 0:
-        raise _Bad("header does not end")
-    lines = data[at:stop].split(b"\r\n")
     headers: dict[str, str] = {}
-    for raw in lines[1:]:
-        name, colon, value = raw.partition(b":")
+    line = version.end()
+    while True:
+        stop = data.find(b"\r\n", line, line + MOST_LINE)
+        if stop < 0:
+            raise _Bad("header does not end")
+        if stop == line:
+            return headers, stop + 2
+        name, colon, value = data[line:stop].partition(b":")
         if not colon or not name or name.strip() != name:
             raise _Bad("malformed header line")
         key = name.decode("latin-1").lower()
         if key in headers and key != "warc-concurrent-to":
             raise _Bad("repeated header line")
         headers[key] = value.strip().decode("utf-8", "replace")
+        line = stop + 2
+
+
+def _record(data: bytes, at: int) -> tuple[Item, int]:
+    """The plain record at ``at`` and the offset behind it."""
+    headers, start = _headers(data, at)
     size = headers.get("content-length", "")
     if not _NUMBER.fullmatch(size):
         raise _Bad("no valid length")
-    start = stop + len(END)
     end = start + int(size)
     if end > len(data):
-        raise _Bad("truncated block")
+        raise _Bad("truncated block", len(data))
     block = data[start:end]
     if data[end : end + len(END)] != END:
-        raise _Bad("no blank lines behind the block")
+        raise _Bad("no blank lines behind the block", end)
     wanted = headers.get("warc-block-digest", "")
     if wanted.startswith("sha1:") and base64.b32encode(hashlib.sha1(block).digest()).decode() != wanted[5:]:
-        raise _Bad("block digest differs")
+        raise _Bad("block digest differs", end)
     return Item(at, end + len(END) - at, None, headers, block), end + len(END)
 
 
 def _member(data: bytes, at: int) -> tuple[Item, int]:
     """The record in the gzip member at ``at`` and the offset behind the member."""
     inflate = zlib.decompressobj(31)
+    plain, behind = [], at
     try:
-        plain = inflate.decompress(memoryview(data)[at:])
+        while not inflate.eof:
+            part = data[behind : behind + STEP]
+            if not part:
+                raise _Bad("truncated member")
+            plain.append(inflate.decompress(part))
+            behind += len(part)
     except zlib.error as e:
         raise _Bad("broken member") from e
-    if not inflate.eof:
-        raise _Bad("truncated member")
-    item, end = _record(plain, 0)
-    if end != len(plain):
+    behind -= len(inflate.unused_data)
+    text = b"".join(plain)
+    item, end = _record(text, 0)
+    if end != len(text):
         raise _Bad("member holds more than a record")
-    behind = len(data) - len(inflate.unused_data)
     return Item(at, behind - at, None, item.headers, item.block), behind
 
 
@@ -184,39 +212,64 @@ _STARTS = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
 
 def salvage(data: bytes) -> Iterator[Item]:
-    """Records and gaps of a file, in order; together they are the whole file."""
-    at, lost, reason = 0, -1, ""
+    """Records and gaps of a file, in order; together they are the whole file.
+
+    A failed record with a readable length declares where it ends. If the file ends there or
+    a whole record follows, the length is right, and nothing of the record is taken for
+    another one, whatever text its block holds. Else the search goes through it, and a
+    record that lies before the declared end is marked ``inside``.
+    """
+    at, lost, reason, extent = 0, -1, "", 0
     while at < len(data):
         try:
-            item, behind = (_member if data.startswith(b"\x1f\x8b", at) else _record)(data, at)
+            item, behind = _at(data, at)
         except _Bad as bad:
             if lost < 0:
                 lost, reason = at, str(bad)
+            then = bad.end + len(END)
+            if bad.end > at and bad.end < len(data) and (then >= len(data) or _whole(data, then)):
+                at = min(then, len(data))
+                continue
+            extent = max(extent, bad.end)
             found = _STARTS.search(data, at + 1)
             at = found.start() if found else len(data)
             continue
         if lost >= 0:
             yield Item(lost, at - lost, reason)
             lost = -1
+        item.inside = behind <= extent
         yield item
         at = behind
     if lost >= 0:
         yield Item(lost, len(data) - lost, reason)
 
 
+def _at(data: bytes, at: int) -> tuple[Item, int]:
+    return (_member if data.startswith(b"\x1f\x8b", at) else _record)(data, at)
+
+
+def _whole(data: bytes, at: int) -> bool:
+    try:
+        _at(data, at)
+    except _Bad:
+        return False
+    return True
+
+
 def compress_record(record: bytes) -> bytes:
     """A record, its ending blank lines included, as a gzip member of its own."""
     return gzip.compress(record, mtime=0)
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """(archive, offset, length, gap, record_type, record_id, refers_to, target, payload_bytes, payload_digest[, payload]).
+    """(archive, offset, length, gap, inside, record_type, record_id, refers_to, target, payload_bytes, payload_digest[, payload]).
 
-    Rows with ``gap`` set are quarantined bytes and the reason; the others are records.
+    Rows with ``gap`` set are quarantined bytes and the reason; the others are records, ``inside`` if they
+    lie in what a failed record declares to be its block, so that they may be part of its payload.
     """
 
     def read(batches):
-        names = ["archive", "offset", "length", "gap", "record_type", "record_id", "refers_to", "target", "payload_bytes", "payload_digest"]
+        names = ["archive", "offset", "length", "gap", "inside", "record_type", "record_id", "refers_to", "target", "payload_bytes", "payload_digest"]
         for batch in batches:
             for archive, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows, blocks = [], []
@@ -225,18 +278,18 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                     size = h.get("x-payload-length", str(len(item.block)))
                     digest = h.get("warc-payload-digest", "")
                     rows.append(
-                        (archive, item.offset, item.length, item.reason, h.get("warc-type"), _bare(h.get("warc-record-id")), _bare(h.get("warc-refers-to")), h.get("warc-target-uri"))
+                        (archive, item.offset, item.length, item.reason, item.inside, h.get("warc-type"), _bare(h.get("warc-record-id")), _bare(h.get("warc-refers-to")), h.get("warc-target-uri"))
                         + ((int(size), digest.removeprefix("sha1:")) if item.reason is None else (None, None))
                     )
                     blocks.append(item.block)
-                kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
                 if with_payload:
                     columns.append(pa.array(blocks, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names + ["payload"] * with_payload)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    schema = "archive string, offset long, length long, gap string, record_type string, record_id string, refers_to string, target string, payload_bytes long, payload_digest string"
+    schema = "archive string, offset long, length long, gap string, inside boolean, record_type string, record_id string, refers_to string, target string, payload_bytes long, payload_digest string"
     return files.mapInArrow(read, schema + ", payload binary" * with_payload)
 
 
@@ -252,5 +305,8 @@ def archive_pages(pages: DataFrame, path: str | None = None, id_col: str = "page
     path = path or scratch_path(spark, "warc")
     write_archives(plan_records(pages, id_col, url_col, payload_col, least), path)
     number = lambda c: F.when(F.col(c) != "", F.col(c)).cast(kind)
-    records = read_archives(spark, path).filter("gap IS NULL")
+    # What was just written has no gaps; if the store damaged it, pages are missing and that must not pass unseen.
+    lost = F.concat(F.lit("quarantined bytes in "), F.col("archive"), F.lit(" at "), F.col("offset").cast("string"), F.lit(": "), F.coalesce("gap", F.lit("record inside a failed one")))
+    records = read_archives(spark, path)
+    records = records.withColumn("record_type", F.when(F.col("gap").isNotNull() | F.col("inside"), F.raise_error(lost)).otherwise(F.col("record_type")))
     return records.select(number("record_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"), "archive", "offset")

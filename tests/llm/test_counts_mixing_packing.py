@@ -20,8 +20,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def greedy(word, starts, rests):
     n, at, pieces = 0, 0, starts
+    longest = max(map(len, starts | rests), default=0)
     while at < len(word):
-        for end in range(len(word), at, -1):
+        for end in range(min(len(word), at + longest), at, -1):
             if word[at:end] in pieces:
                 break
         else:
@@ -47,18 +48,43 @@ def counts_brute(texts):
     memo = {}
     for i, t in enumerate(texts):
         words = WORD.findall(t or "")
-        n = [memo.setdefault(w, greedy(w.encode(), starts, rests)) for w in words]
+        for w in set(words) - memo.keys():
+            memo[w] = greedy(w.encode(), starts, rests)
+        n = [memo[w] for w in words]
         yield i, len(words), sum(max(x, 1) for x in n), n.count(0)
 
 
 def test_token_counts_match_greedy(spark):
     texts = odd_texts() + [r["text"] for r in real_docs(spark).limit(40).collect()]
-    texts = [t if t is None else t[:3000] for t in texts]
+    texts += ["long " * 40000 + "w" * 7000, "\n".join(t or "" for t in texts) * 20]  # very long ones, whole
     got = token_counts(docs_df(spark, texts, extra=True), tokenizer_file(PIECE_VOCABULARY))
     assert sorted(tuple(r.values()) for r in rows_of(got)) == list(counts_brute(texts))
     assert rows_of(token_counts(docs_df(spark, texts).limit(0), tokenizer_file(PIECE_VOCABULARY))) == []
 
 
+def thue_morse(n):
+    """Two words of n bytes that collide under every polynomial modulo 2**64 of an odd base."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_that_a_polynomial_hash_confuses(spark, n):
+    a, b = thue_morse(n)
+    data = np.frombuffer((a + b).encode(), np.uint8)
+    plain = K.span_hash(K.prefix_hash(data), np.array([0, n]), np.array([n, 2 * n]))
+    assert plain[0] == plain[1]
+    _, h = K.word_hashes(np.frombuffer(f"{a} {b} {a}".encode(), np.uint8), np.array([0, 3 * n + 2]))
+    assert h[0] == h[2] != h[1]
+    texts = [a, b, f"{a} x", f"x {b} y {a}"]
+    assert sorted(tuple(r.values()) for r in rows_of(token_counts(docs_df(spark, texts), tokenizer_file(PIECE_VOCABULARY)))) == list(counts_brute(texts))
+    tokenizer = Tokenizer.from_file(tokenizer_file(WORD_BPE))
+    crc = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows_of(pack_documents(docs_df(spark, texts), tokenizer_file(WORD_BPE))) if r["piece"] == 0}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 1][:4096]
+        assert crc[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def water(sizes, share=1.5, most=2):
     """Shares by weight, capped and reshared until none is above."""
     sources = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)

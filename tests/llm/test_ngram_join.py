@@ -168,3 +168,10 @@ def test_null_ids_link_like_others(spark):
     order = lambda r: [(x is None, x or 0) for x in r]
     found = rows_of(join_components(docs_df(spark, [t for _, t in rows], ids=[i for i, _ in rows]), words=1, percent=80))
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=order) == sorted(want, key=order)
+
+
+def test_texts_that_a_polynomial_hash_confuses(spark):
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    a, b = ("".join(w[x] for x in bits) for w in ("ab", "ba"))
+    rows = rows_of(join_components(docs_df(spark, [a, b, a + " x", b]), words=3, percent=90))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows) == [(0, 1, 0), (1, 1, 1), (2, 1, 2), (3, 1, 1)]

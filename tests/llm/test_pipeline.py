@@ -66,7 +66,7 @@ def test_run_is_the_stages_and_is_registered(spark):
 
 
 def test_odd_rows_pass_through_every_stage(spark):
-    texts = [t for t in odd_texts() if t is None or len(t) < 20000]
+    texts = odd_texts() + ["very long " * 30000]
     docs = docs_df(spark, texts, [None if i % 7 == 0 else f"s{i % 3}" for i in range(len(texts))], ids=[None if i == 5 else i % 30 for i in range(len(texts))])
     for name, apply in corpus_pipeline.STAGES:
         rows = apply(spark, docs, SF)
@@ -75,3 +75,32 @@ def test_odd_rows_pass_through_every_stage(spark):
         if name != "packing":
             assert rows.columns == docs.columns and empty.columns == docs.columns
             assert 0 < rows.count() <= (2 if name == "mixture" else 1) * len(texts)
+
+
+def test_any_column_names_pass_through_every_stage(spark):
+    from pyspark.sql import functions as F
+
+    names = ["times", "copy", "taken", "doc", "__row", "__word", "__hit", "__s", "__copy", "row", "id", "digest", "group", "lowest", "component"]
+    docs = docs_df(spark, [t for t in odd_texts()])
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    docs = docs.withColumn("a.b", F.lit(1))
+    prepare(spark)
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        out = apply(spark, docs, SF)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert all(r[n] == f"{n}{r['doc_id']}" for n in names) and r["a.b"] == 1
+    assert apply(spark, docs, SF).count() > 0
+
+
+def test_settings_of_the_caller_come_back(spark):
+    from eventloom.session import ensure_engine_conf
+
+    ensure_engine_conf(spark)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    prepare(spark)
+    prepare(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1024"
+    ensure_engine_conf(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before

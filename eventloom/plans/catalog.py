@@ -465,6 +465,17 @@ def q_run_quarantine(spark, sf_dir):
     return bad.select("response_id", F.col("event_idx").cast("long").alias("event_idx"), "reason")
 
 
+def q_run_quarantine_lines(spark, sf_dir):
+    """Rows that a run over answers in JSON lines rejects, some lines cut in the middle."""
+    path = scratch_path(spark, "answer-lines")
+    line = F.to_json(F.struct("response_id", "status", "content", "ts"))
+    cut = F.when(F.col("response_id") % fixtures.CUT_EVERY == fixtures.CUT_AT, F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))).otherwise(line)
+    responses_df(spark, sf_dir).select(cut.alias("value")).write.text(path)
+    run = pipeline.run_pipeline(spark, read_responses(spark, path, fmt="json"), corpus_df(spark, sf_dir), None, None,
+                                batch_id=1, run_ts=RUN_TS, store=_seeded_store(spark, sf_dir))
+    return run.store.quarantine().select("response_id", F.col("event_idx").cast("long").alias("event_idx"), "reason")
+
+
 def q_pipeline_stats(spark, sf_dir):
     return _pipeline_run(spark, sf_dir).stats
 
@@ -546,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_pipeline_supplied": q_run_pipeline_supplied,
     "run_pipeline_day": q_run_pipeline_day,
     "run_quarantine": q_run_quarantine,
+    "run_quarantine_lines": q_run_quarantine_lines,
     "pipeline_stats": q_pipeline_stats,
     "stream_pipeline": q_stream_pipeline,
     "stream_micro_batches": q_stream_micro_batches,

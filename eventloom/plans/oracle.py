@@ -485,6 +485,15 @@ FROM doc_ev WHERE status <> 200 OR style IN (6, 8)
 UNION ALL
 SELECT response_id, event_idx, 'missing_summary' FROM decoded WHERE summary IS NULL"""
 
+    q["run_quarantine_lines"] = _with(DOC_EV, DECODED) + """
+SELECT DISTINCT response_id, CAST(NULL AS BIGINT) AS event_idx,
+       CASE WHEN status <> 200 THEN 'status_500' WHEN style = 6 THEN 'no_json' ELSE 'events_not_array' END AS reason
+FROM doc_ev WHERE (status <> 200 OR style IN (6, 8)) AND response_id % 13 <> 4
+UNION ALL
+SELECT response_id, event_idx, 'missing_summary' FROM decoded WHERE summary IS NULL AND response_id % 13 <> 4
+UNION ALL
+SELECT NULL, NULL, 'malformed_line' FROM (SELECT DISTINCT response_id FROM doc_ev WHERE response_id % 13 = 4)"""
+
     out = "SELECT event_id, title, summary, story, sources, ord FROM enriched"
     q["run_pipeline"] = _pipeline_articles() + out
     q["stream_pipeline"] = q["run_pipeline"]

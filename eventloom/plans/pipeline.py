@@ -37,7 +37,7 @@ from eventloom.operators.stores import (
     upsert_vectors,
 )
 from eventloom.operators.vectors import DEFAULT_DIM, embed_table, overview_text
-from eventloom.sources.intake import split_by_status
+from eventloom.sources.intake import split_by_status, split_malformed
 from eventloom.sources.tables import staged
 
 
@@ -59,6 +59,7 @@ def event_batch(
     ``decoded`` is persisted: events and quarantine both come from it, and the
     caller unpersists it. ``mode='failfast'`` aborts on the first bad row instead.
     """
+    responses, malformed = split_malformed(responses, mode)
     ok, rejected = split_by_status(responses, mode)
     if mode == "failfast":
         rejected = rejected.withColumn("reason", F.lit(None).cast("string"))
@@ -73,7 +74,7 @@ def event_batch(
         "ord", "_overview", dim=dim, embedder=embedder,
     ).drop("_overview")
     quarantine = (
-        rejected.select("response_id", F.lit(None).cast("int").alias("event_idx"), "reason")
+        rejected.unionByName(malformed).select("response_id", F.lit(None).cast("int").alias("event_idx"), "reason")
         .unionByName(undecodable)
         .unionByName(broken.select("response_id", "event_idx", "reason"))
     )

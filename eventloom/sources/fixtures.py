@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 EVENTS_PER_RESPONSE = 5
 N_STYLES = 10
 ERROR_EVERY = 11
+CUT_EVERY, CUT_AT = 13, 4  # answers whose line is cut, where answers are JSON lines
 BASE_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 SECONDS_PER_RESPONSE = 997
 SECONDS_PER_PAGE = 600

@@ -29,6 +29,7 @@ def stream_pipeline(
     batch_offset: int = 1,
     files_per_trigger: int | None = None,
     available_now: bool = True,
+    fmt: str = "parquet",
     **pipeline_kwargs,
 ) -> StreamingQuery:
     """Start the stream; ``batch_id = epoch_id + batch_offset``.
@@ -36,19 +37,13 @@ def stream_pipeline(
     ``run_ts=None`` stamps each batch with its latest answer time, so a
     replayed epoch gets the same stamp; with ``search_ts_col`` it is also the day that
     the batch's search is limited to. ``store`` (a ``SnapshotStore``) takes the place of
-    the two paths. Batches belong to the stream's checkpoint:
+    the two paths. ``fmt='json'`` reads lines, malformed ones go to quarantine. Batches belong to the stream's checkpoint:
     a stream with another checkpoint that would replace them is refused (give it a
     ``batch_offset`` beyond them). The corpus is static for the stream,
     so its BM25 index is built once and shared by every micro-batch.
     """
     index = pipeline_kwargs.pop("index", None) or build_index(corpus)
-    source = read_responses(spark, responses_path, streaming=True)
-    if files_per_trigger:
-        source = (
-            spark.readStream.schema(source.schema)
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(responses_path)
-        )
+    source = read_responses(spark, responses_path, streaming=True, fmt=fmt, files_per_trigger=files_per_trigger)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         stamp = run_ts

@@ -6,8 +6,9 @@ recognised where its words follow each other, across line breaks too, and where
 it begins and ends at the text's ends, at a line break or at one of . ; : ! ?
 A text so becomes a sequence of sentence identifiers (of sentences that overlap, the
 one that begins first, then the longest). Rules, tried in order at each place of
-the sequence, turn runs of identifiers into licences; an identifier that
-begins no rule is left unmatched and reported.
+the sequence, turn runs of identifiers into licences; an identifier of a rule that is
+marked ``?`` may be missing. An identifier that begins no rule is left unmatched and
+reported. The tables are the written ones and what ``build_tables`` makes by rule.
 
 Null and empty texts have no sentences. Each row is scanned whole and on its
 own, so repeated rows give equal results. Empty tables give empty results;
@@ -69,8 +70,7 @@ RULES = [
     ("ISC", ["ISC-name", "ISC-grant"]),
     ("ISC", ["ISC-grant"]),
     ("ISC", ["ISC-name"]),
-    ("Apache-2.0", ["Apache-2-name", "Apache-2-use", "Apache-2-copy", "Apache-2-warranty"]),
-    ("Apache-2.0", ["Apache-2-use", "Apache-2-copy", "Apache-2-warranty"]),
+    ("Apache-2.0", ["Apache-2-name?", "Apache-2-use", "Apache-2-copy?", "Apache-2-warranty?"]),
     ("Apache-2.0", ["Apache-2-name"]),
     ("BSD-3-Clause", ["BSD-grant", "BSD-source", "BSD-binary", "BSD-endorse"]),
     ("BSD-2-Clause", ["BSD-grant", "BSD-source", "BSD-binary"]),
@@ -94,6 +94,96 @@ RULES = [
     ("Unlicense", ["Unlicense-grant"]),
 ]
 
+# SPDX identifiers and the names of their licences.
+NAMES = {
+    "MIT": ["MIT License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache Software License 2.0"],
+    "GPL-2.0-only": ["GNU General Public License, version 2", "GNU General Public License v2.0", "GNU GPL v2", "GPLv2"],
+    "GPL-3.0-only": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GNU GPL v3", "GPLv3"],
+    "GPL-2.0-or-later": ["GNU General Public License, version 2 or later", "GNU General Public License v2.0 or later", "GPLv2+", "GPL-2.0-or-later"],
+    "GPL-3.0-or-later": ["GNU General Public License, version 3 or later", "GNU General Public License v3.0 or later", "GPLv3+", "GPL-3.0-or-later"],
+    "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "LGPLv2.1"],
+    "LGPL-3.0-only": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "LGPLv3"],
+    "LGPL-2.1-or-later": ["GNU Lesser General Public License, version 2.1 or later", "LGPL-2.1-or-later"],
+    "LGPL-3.0-or-later": ["GNU Lesser General Public License, version 3 or later", "LGPL-3.0-or-later"],
+    "AGPL-3.0-only": ["GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "AGPLv3"],
+    "AGPL-3.0-or-later": ["GNU Affero General Public License, version 3 or later", "AGPL-3.0-or-later"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "EPL-1.0": ["Eclipse Public License, Version 1.0", "Eclipse Public License - v 1.0", "Eclipse Public License 1.0"],
+    "EPL-2.0": ["Eclipse Public License, Version 2.0", "Eclipse Public License - v 2.0", "Eclipse Public License 2.0"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License", "BSD 2-Clause \"Simplified\" License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License", "Modified BSD License", "BSD 3-Clause \"New\" or \"Revised\" License"],
+    "ISC": ["ISC License"],
+    "Zlib": ["zlib License"],
+    "Unlicense": ["The Unlicense"],
+    "CC0-1.0": ["CC0 1.0 Universal"],
+    "CDDL-1.0": ["Common Development and Distribution License, Version 1.0", "Common Development and Distribution License 1.0"],
+    "EUPL-1.2": ["European Union Public Licence v. 1.2", "European Union Public License 1.2", "EUPL v1.2"],
+    "Artistic-2.0": ["Artistic License 2.0"],
+    "OFL-1.1": ["SIL Open Font License, Version 1.1", "SIL Open Font License 1.1"],
+    "PSF-2.0": ["Python Software Foundation License Version 2", "PSF License Agreement"],
+    "WTFPL": ["Do What The F*ck You Want To Public License, Version 2"],
+    "MS-PL": ["Microsoft Public License"],
+    "PostgreSQL": ["PostgreSQL License"],
+}
+
+# The lines that licence texts begin with.
+HEADS = {
+    "Apache-2.0": ["Apache License Version 2.0, January 2004", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"],
+    "GPL-2.0-only": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0-only": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.1-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "AGPL-3.0-only": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+    "OFL-1.1": ["SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007"],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain"],
+}
+
+LEADS = ["", "The", "under the", "Licensed under", "Licensed under the", "Released under the", "Distributed under the", "Available under the",
+         "This project is licensed under the", "This software is licensed under the", "This work is licensed under the", "This file is licensed under the",
+         "Licensed under the terms of the", "Released under the terms of the", "Distributed under the terms of the"]
+
+
+def _known_as(sentences: dict[str, list[str]], rules: list[tuple[str, list[str]]]) -> dict[str, str]:
+    """The identifier of the sentences that alone name a licence, by licence."""
+    return {licence: wanted[0] for licence, wanted in rules if len(wanted) == 1 and wanted[0].endswith("-name") and wanted[0] in sentences}
+
+
+def build_tables(sentences: dict[str, list[str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> tuple[dict[str, list[str]], list[tuple[str, list[str]]]]:
+    """The sentence and rule tables: those above, every name behind every lead, with and without
+    ``(the "License")``, the heads, and SPDX tags of one licence and of two joined by OR or AND."""
+    named = _known_as(sentences, rules)
+    all_sentences = {name: list(texts) for name, texts in sentences.items()}
+    taken = {tuple(w for w, _, _ in normalise(t.encode())) for texts in sentences.values() for t in texts}
+    all_rules = list(rules)
+
+    def add(identifier: str, licence: str, texts: list[str]) -> None:
+        fresh = []
+        for text in texts:
+            words = tuple(w for w, _, _ in normalise(text.encode()))
+            if words not in taken:
+                taken.add(words)
+                fresh.append(text)
+        if fresh:
+            all_sentences.setdefault(identifier, []).extend(fresh)
+            if (licence, [identifier]) not in all_rules:
+                all_rules.append((licence, [identifier]))
+
+    for licence, names in NAMES.items():
+        identifier = named.get(licence, f"{licence}-name")
+        leads = [f"{lead} {name}" for lead in LEADS for name in names if lead or len(normalise(name.encode())) > 1 or name[-1:].isdigit()]
+        add(identifier, licence, [*HEADS.get(licence, []), f"SPDX-License-Identifier: {licence}", *leads, *(f'{x} (the "License")' for x in leads)])
+    for a in NAMES:
+        for b in NAMES:
+            if a != b:
+                for word in ("OR", "AND"):
+                    add(f"{a}-{word}-{b}", f"{a} {word} {b}", [f"SPDX-License-Identifier: {a} {word} {b}", f"SPDX-License-Identifier: ({a} {word} {b})"])
+    return all_sentences, all_rules
+
+
 _TOKEN = re.compile(rb"[a-z0-9]+(?:\.[a-z0-9]+)*")
 _BREAK = re.compile(rb"[\n.;:!?]")
 
@@ -110,7 +200,7 @@ def normalise(text: bytes) -> list[tuple[bytes, int, int]]:
 class SentenceTable:
     """Sentences by their words, found through a word that is rare elsewhere."""
 
-    def __init__(self, sentences: dict[str, list[str]] = SENTENCES):
+    def __init__(self, sentences: dict[str, list[str]]):
         self.by_words: dict[tuple[bytes, ...], str] = {}
         for name, texts in sentences.items():
             for text in texts:
@@ -161,14 +251,32 @@ class SentenceTable:
         return out
 
 
+def _taken(names: list[str], at: int, wanted: list[str]) -> int:
+    """How many identifiers from ``at`` on the rule takes; 0 if it does not fit. One marked ``?`` may be missing."""
+    here = at
+    for name in wanted:
+        if here < len(names) and names[here] == name.removesuffix("?"):
+            here += 1
+        elif not name.endswith("?"):
+            return 0
+    return here - at
+
+
 def apply_rules(names: list[str], rules: list[tuple[str, list[str]]] = RULES) -> tuple[list[tuple[str, int, int]], list[str]]:
     """((licence, first, last + 1) over the sequence, identifiers that no rule took)."""
+    by_first: dict[str, list[tuple[str, list[str]]]] = {}
+    for rule in rules:
+        for i, name in enumerate(rule[1]):
+            by_first.setdefault(name.removesuffix("?"), []).append(rule)
+            if not name.endswith("?"):
+                break
     found, unmatched, at = [], [], 0
     while at < len(names):
-        for licence, wanted in rules:
-            if names[at : at + len(wanted)] == wanted:
-                found.append((licence, at, at + len(wanted)))
-                at += len(wanted)
+        for licence, wanted in by_first.get(names[at], ()):
+            n = _taken(names, at, wanted)
+            if n:
+                found.append((licence, at, at + n))
+                at += n
                 break
         else:
             unmatched.append(names[at])
@@ -182,6 +290,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``licenses`` are distinct, in order of appearance; ``spans`` are the byte ranges of each match.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    if sentences is None and rules is None:
+        sentences, rules = build_tables()
     sentences, rules = sentences or SENTENCES, rules or RULES
     span = pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 

@@ -330,4 +330,4 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """``docs`` without the rows whose score is below 0.5."""
     model = train(docs, labels, id_col, text_col, label_col, sample_rows)
     measured, names = with_statistics(docs, text_col)
-    return measured.filter(model.column(names) >= 0.5).select(*docs.columns)
+    return measured.filter(model.column(names) >= 0.5).drop(*names)

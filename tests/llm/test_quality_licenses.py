@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import kernel as K
 from eventloom.llm.common import prepare, table
-from eventloom.llm.licenses import RULES, SENTENCES, apply_rules, license_scan
+from eventloom.llm.licenses import RULES, SENTENCES, apply_rules, build_tables, license_scan
 from eventloom.llm.quality import STATISTICS, fit_rules, keep_quality, quality_scores, statistics
 
 from .helpers import SF, docs_df, odd_texts, rows_of
@@ -80,12 +80,16 @@ def test_no_labels_and_odd_rows(spark):
     assert rows_of(quality_scores(df.limit(0), none)) == []
 
 
+KNOWN = {}
+
+
 def brute_scan(text):
     """Sentences by comparing every run of words between breaks."""
-    known = {}
-    for name, texts in SENTENCES.items():
-        for t in texts:
-            known[" ".join(words(t))] = name
+    if not KNOWN:
+        for name, texts in build_tables()[0].items():
+            for t in texts:
+                KNOWN[" ".join(words(t))] = name
+    known = KNOWN
     low = (text or "").lower()
     parts = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[a-z0-9]+(?:\.[a-z0-9]+)*", low, re.A)]
     parts = [(re.sub("^licence", "license", w), a, b) for w, a, b in parts]
@@ -118,7 +122,7 @@ def test_license_scan(spark):
     for i, t in enumerate(texts):
         want = brute_scan(t)
         assert rows[i]["sentence_ids"] == want, t
-        found, unmatched = apply_rules(want)
+        found, unmatched = apply_rules(want, build_tables()[1])
         assert rows[i]["licenses"] == list(dict.fromkeys(f[0] for f in found)) and rows[i]["unmatched"] == unmatched
         for s in rows[i]["spans"]:
             assert (t or "").encode()[s["start"] : s["end"]].strip() != b""
@@ -133,6 +137,32 @@ def test_given_table_and_rule_order(spark):
     docs = table(spark, SF, "documents")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     for r in rows_of(license_scan(docs)):
-        assert r["sentence_ids"] == (brute_scan(texts[r["doc_id"]]) if re.search("icen|eserved", texts[r["doc_id"]] or "") else [])
+        assert r["sentence_ids"] == (brute_scan(texts[r["doc_id"]]) if re.search("(?i)icen|eserved|gpl|mpl|eupl|universal|warranty", texts[r["doc_id"]] or "") else [])
     for i, (_, wanted) in enumerate(RULES):  # an earlier rule never hides a longer later one
         assert all(wanted[: len(w)] != w or len(w) > len(wanted) for _, w in RULES[:i])
+
+
+SAMPLES = [
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n", ["Apache-2.0"]),
+    ("GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n", ["GPL-3.0-only"]),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3\n", ["GPL-3.0-only"]),
+    ("Mozilla Public License Version 2.0\n", ["MPL-2.0"]),
+    ("// SPDX-License-Identifier: Apache-2.0 OR MIT\n", ["Apache-2.0 OR MIT"]),
+    ("SPDX-License-Identifier: (MIT AND BSD-3-Clause)\n", ["MIT AND BSD-3-Clause"]),
+    ("GPL-2.0-or-later", ["GPL-2.0-or-later"]),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n", ["BSL-1.0"]),
+    ("Eclipse Public License - v 2.0\n", ["EPL-2.0"]),
+    ("Licensed under the MIT license (the License)", ["MIT"]),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.", ["Apache-2.0"]),
+    ("We met under the MIT License plate", []),
+]
+
+
+def test_names_heads_tags_and_optional_sentences(spark):
+    rows = {r["doc_id"]: r for r in rows_of(license_scan(docs_df(spark, [t for t, _ in SAMPLES])))}
+    for i, (text, want) in enumerate(SAMPLES):
+        assert rows[i]["licenses"] == want, text
+        assert rows[i]["sentence_ids"] == brute_scan(text)
+    assert len(rows[10]["spans"]) == 1 and rows[10]["unmatched"] == []
+    sentences, rules = build_tables()
+    assert len({licence for licence, _ in rules if " " not in licence}) >= 30 and sum(map(len, sentences.values())) > 1500

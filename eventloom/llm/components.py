@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import stage
+from eventloom.llm.common import discard, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,12 +19,15 @@ def components(links: DataFrame) -> DataFrame:
     one = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
     both = stage(one.union(one.select("b", "a")).filter("a <> b").distinct(), "links")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "labels")
+    written = labels
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         hop = step.select(F.col("node").alias("at"), F.col("component").alias("further"))
         nxt = step.join(hop, step["component"] == hop["at"]).select("node", "old", F.least("component", "further").alias("component"))
         nxt = stage(nxt, "labels")
+        discard(written)
         if nxt.filter("old <> component").isEmpty():
+            discard(both)
             return nxt.select("node", "component")
-        labels = nxt.select("node", "component")
+        written, labels = nxt, nxt.select("node", "component")

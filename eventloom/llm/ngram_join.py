@@ -21,8 +21,13 @@ link with a new first), and then every component with one other; the links found
 known distance. Only shingles and groups whose classes still lie in different
 components are joined, hub against hub. For sets, 1 - Jaccard is a
 metric: members a, b of hubs h, k can link only if d(h, k) <= 1 - t + d(a, h) +
-d(b, k). Pairs of hubs that this cannot rule out are expanded to members. No
-link between different components is lost.
+d(b, k). Pairs of hubs that this cannot rule out are expanded to those members whose
+own distances do not rule them out either. No link between different components is lost.
+
+Families that are similar, but not enough to link, share prefixes too. Every class has a
+sketch, the parity of how many of its shingles fall in each of ``SKETCH`` slots. A shingle
+that only one of two sets holds flips one slot, so they differ in at least as many shingles
+as their sketches in slots. That bound is part of the joins' conditions.
 
 Null and empty texts have an empty set, link with nothing and are components of
 their own. A text with fewer words has its whole sequence as its one shingle.
@@ -57,7 +62,12 @@ FREQUENT = 12
 PARTNERS = 3
 #: Times that members of a group without a link are paired with a new first, before the turns.
 STARS = 2
+#: Turns in which hubs meet the representatives of their shingles.
+TURNS = 2
 MOST_FREQUENT = 1 << 20
+#: Slots of a class's sketch, 64 to a column.
+SKETCH = 512
+_SKETCH_COLUMNS = [f"s{i}" for i in range(SKETCH // 64)]
 #: Bits of the filter on repeated shingles (16 for each, within these bounds).
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 
@@ -177,8 +187,21 @@ def _digest(*arrays: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in the slots, as 64-bit words."""
+    odd = (np.bincount((s >> np.uint64(13)) & np.uint64(SKETCH - 1), minlength=SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def _may_be_within(x: str, y: str, n_x: Column, n_y: Column, distance: Column) -> Column:
+    """Whether sets of these sizes and sketches can be at most so far apart. At 1 - Jaccard = d they differ in
+    d * (n_x + n_y) / (2 - d) shingles."""
+    apart = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in _SKETCH_COLUMNS), F.lit(0))
+    return (distance >= 1) | (apart <= distance * (n_x + n_y) / (2 - distance) + 1e-6)
+
+
 def prefix_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(row, id, n, set_key, set_rest, group, prefix, places) for every document; keys are null for empty sets.
+    """(row, id, n, set_key, set_rest, group, prefix, places, sketch columns) for every document; keys are null for empty sets.
 
     ``prefix`` leaves out shingles that no other prefix holds; ``places`` are where the others stand in it.
     """
@@ -188,9 +211,10 @@ def prefix_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def rows(batches):
         frequencies = known.value
         for batch in batches:
-            n, key, rest, group, prefixes, places = [], [], [], [], [], []
+            n, key, rest, group, prefixes, places, sketches = [], [], [], [], [], [], []
             for s in _sets(batch.column(2), words):
                 n.append(len(s))
+                sketches.append(_sketch(s))
                 if not len(s):
                     for column in (key, rest, group):
                         column.append(None)
@@ -209,9 +233,10 @@ def prefix_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
             at = np.concatenate(places).astype(np.int64) if places else np.zeros(0, np.int64)
             lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (flat, at)]
             columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rest, pa.int64()), pa.array(group, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, *lists], ["row", "id", "n", "set_key", "set_rest", "group", "prefix", "places"])
+            sketch = np.array(sketches, np.int64).reshape(len(n), len(_SKETCH_COLUMNS)).T
+            yield pa.RecordBatch.from_arrays([*columns, *lists, *map(pa.array, sketch)], ["row", "id", "n", "set_key", "set_rest", "group", "prefix", "places", *_SKETCH_COLUMNS])
 
-    return docs.select("row", "id", "text").mapInArrow(rows, f"row {row_kind}, id {kind}, n long, set_key long, set_rest long, group long, prefix array<long>, places array<long>")
+    return docs.select("row", "id", "text").mapInArrow(rows, f"row {row_kind}, id {kind}, n long, set_key long, set_rest long, group long, prefix array<long>, places array<long>, " + ", ".join(f"{c} long" for c in _SKETCH_COLUMNS))
 
 
 def _ceil(numerator: Column, denominator: int) -> Column:
@@ -265,14 +290,16 @@ class _Verifier:
         common = both.select("a", "b", F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("common"), (F.size("set_a") + F.size("set_b")).cast("long").alias("sizes"))
         union = F.col("sizes") - F.col("common")
         near = (F.col("common") * 100 >= union * self.percent).alias("near")
-        verified = stage(common.select("a", "b", near, (1 - F.col("common") / union).alias("distance")).distinct(), "join-verified")
+        verified = common.select("a", "b", near, (1 - F.col("common") / union).alias("distance"))
+        verified = stage(verified.dropDuplicates(["a", "b"]), "join-verified")  # a key that two sets share by chance
         discard(sets)
+        discard(pairs)
         return verified
 
 
 def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) over the set keys that have a link; ``docs`` has (row, id, text)."""
-    classes = stage(prefixes.filter("n > 0").groupBy("set_key", "set_rest").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("group").alias("group")).drop("set_rest"), "join-classes")
+    classes = stage(prefixes.filter("n > 0").groupBy("set_key", "set_rest").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("group").alias("group"), *(F.min(c).alias(c) for c in _SKETCH_COLUMNS)).drop("set_rest"), "join-classes")
     groups = stage(classes.groupBy("group").agg(F.min("set_key").alias("first"), F.min("n").alias("n"), F.count("*").alias("members")), "join-groups")
     verify = _Verifier(docs, classes, words, percent)
     slack = 1 - percent / 100 + 1e-9
@@ -328,38 +355,57 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
         members = (
             classes.join(hub_of, "set_key", "left")
             .join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
-            .select("set_key", "group", "n", F.coalesce("h.b", "set_key").alias("hub"), F.coalesce("h.distance", F.lit(0.0)).alias("radius"), F.coalesce("component", "set_key").alias("component"))
+            .select("set_key", "group", "n", *_SKETCH_COLUMNS, F.coalesce("h.b", "set_key").alias("hub"), F.coalesce("h.distance", F.lit(0.0)).alias("radius"), F.coalesce("component", "set_key").alias("component"))
         )
         members = stage(members, "join-members")
         hubs = members.groupBy("hub").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("radius").alias("radius"), F.count("*").alias("members"))
+        hubs = hubs.join(classes.select(F.col("set_key").alias("hub"), F.col("n").alias("n_hub"), *_SKETCH_COLUMNS), "hub")
         rows = shared.select("shingle", "group", "place").union(together).join(members.select("group", "hub", "component"), "group")
         rows = rows.groupBy("shingle", "hub", "component").agg(F.min("place").alias("place"))
         ends = rows.groupBy("shingle").agg(F.min(F.struct("component", "hub")).alias("lo"), F.max(F.struct("component", "hub")).alias("hi")).filter("lo.component < hi.component")
-        return members, hubs, stage(rows.join(ends, "shingle").join(hubs, "hub"), "join-open")
+        return members, hubs, stage(rows.join(ends, "shingle").drop("lo", "hi"), "join-open")
 
     def meets(x: str, y: str) -> Column:
         return (F.col(f"{x}n_min") * percent <= F.col(f"{y}n_max") * 100) & (F.col(f"{y}n_min") * percent <= F.col(f"{x}n_max") * 100)
 
-    # The same again, twice, for whole components: each against the lowest or highest one of its shingles
-    # with which a hub of it shares most. What the first turn left apart by chance meets here without a join.
+    # The same again, some times, for hubs: each against the one of the hubs that stand for its shingles, another
+    # one each time, with which it shares most, if their sketches allow a link. A family of classes that all link
+    # meets its representative here, without a join of all with all.
     hub_of = stage(hub_of, "join-hubs")
-    for _ in range(2):
-        members, hubs, rows = hubs_of(links)
-        other = F.when(F.col("component") == F.col("lo.component"), F.col("hi")).otherwise(F.col("lo"))
-        turn = rows.select("component", F.col("hub").alias("a"), other.getField("hub").alias("b"), "n_min").groupBy("component", "a", "b").agg(F.count("*").alias("shared"), F.min("n_min").alias("n"))
-        turn = turn.filter(_enough_shared(F.col("shared"), F.col("n"), F.col("n"), percent))  # as for equal sizes
-        turn = turn.groupBy("component").agg(F.max(F.struct("shared", "a", "b")).alias("t")).select("t.a", "t.b")
-        links = stage(links.union(verify(turn).filter("near").select("a", "b")), "join-links")
-        discard(rows)
+    members, hubs, rows = hubs_of(links)
+    for turn in range(TURNS):
+        if rows.isEmpty():
+            break
+        open_rows = rows.select("shingle", "hub", "component")
+        stands = open_rows.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("hub", F.lit(turn)).alias("h"), "component", "hub")).alias("rep"))
+        tried = open_rows.join(stands, "shingle").filter("component <> rep.component")
+        tried = tried.groupBy("hub", F.col("rep.hub").alias("rep")).agg(F.count("*").alias("shared"))
+        own_side, rep_side = hubs.alias("x"), hubs.alias("y")
+        fits = tried.join(own_side, tried["hub"] == F.col("x.hub")).join(rep_side, tried["rep"] == F.col("y.hub"))
+        fits = fits.filter(_sizes_fit(F.col("x.n_hub"), F.col("y.n_hub"), percent) & _may_be_within("x.", "y.", F.col("x.n_hub"), F.col("y.n_hub"), F.lit(slack)))
+        best = fits.groupBy(tried["hub"].alias("a")).agg(F.max(F.struct(tried["shared"], tried["rep"].alias("b"))).alias("t"))
+        fresh = stage(verify(best.select("a", "t.b")).filter("near").select("a", "b"), "join-links")
+        if not fresh.isEmpty():
+            links = links.union(fresh)
+            discard(rows)
+            discard(members)
+            members, hubs, rows = hubs_of(links)
+
+    if rows.isEmpty():
+        linked = components(links)
+        for table in (classes, groups, own, shared, members, rows):
+            discard(table)
+        return linked
 
     # Second turn: hub against hub, over shingles that still join different components.
-    members, hubs, rows = hubs_of(links)
-    rows = rows.drop("lo", "hi")
+    rows_open = rows
+    rows = stage(rows_open.join(hubs, "hub"), "join-open-hubs")
     x, y = rows.alias("x"), rows.alias("y")
     meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.hub") < F.col("y.hub")) & (F.col("x.component") != F.col("y.component"))
     meet &= meets("x.", "y.")
     meet &= _within_reach(F.col("x.place"), F.col("x.n_max"), F.col("y.n_min"), percent)
     meet &= _within_reach(F.col("y.place"), F.col("y.n_max"), F.col("x.n_min"), percent)
+    meet &= _may_be_within("x.", "y.", F.col("x.n_hub"), F.col("y.n_hub"), slack + F.col("x.radius") + F.col("y.radius"))
     met = x.join(y, meet).groupBy(F.col("x.hub").alias("a"), F.col("y.hub").alias("b")).agg(*(F.min(f"{s}.{c}").alias(f"{c}_{s}") for s in "xy" for c in ("n_min", "members", "radius")))
     single = (F.col("members_x") == 1) & (F.col("members_y") == 1)
     prefix_of = lambda s: own.select(F.col("set_key").alias(s), F.col("prefix").alias(f"prefix_{s}"))
@@ -371,25 +417,41 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     links = links.union(across.filter("near").select("a", "b"))
 
     # Pairs of hubs too close to rule out: members against the other hub, then members that remain.
-    close = met.join(across.filter("NOT near"), ["a", "b"]).filter(~single & (F.col("distance") <= slack + F.col("radius_x") + F.col("radius_y"))).select("a", "b")
-    close = stage(close, "join-close")
+    close = met.join(across.filter("NOT near"), ["a", "b"]).filter(~single & (F.col("distance") <= slack + F.col("radius_x") + F.col("radius_y")))
+    close = stage(close.select("a", "b", "distance", "radius_x", "radius_y"), "join-close")
     if not close.isEmpty():
-        of = members.select(F.col("hub"), F.col("set_key").alias("member"), "n", "radius")
-        half = close.join(of, close["a"] == of["hub"]).select(F.col("member").alias("a"), "b").union(close.join(of, close["b"] == of["hub"]).select("member", "a"))
-        halves = verify(half.filter("a <> b"))
+        of = members.select("hub", F.col("set_key").alias("member"), "n", "radius", *_SKETCH_COLUMNS)
+        hub = classes.select(F.col("set_key").alias("other"), F.col("n").alias("n_other"), *(F.col(c).alias(f"o_{c}") for c in _SKETCH_COLUMNS))
+
+        def against(own: str, other: str, beyond: str) -> DataFrame:
+            """(member, other) of one side's members that may link with a member of the other hub."""
+            sides = close.select(F.col(own).alias("hub"), F.col(other).alias("other"), "distance", F.col(beyond).alias("reach")).join(hub, "other")
+            able = (F.col("s.hub") == F.col("m.hub")) & (F.col("m.member") != F.col("m.hub"))
+            able &= F.col("s.distance") <= slack + F.col("m.radius") + F.col("s.reach")
+            able &= _may_be_within("m.", "s.o_", F.col("m.n"), F.col("s.n_other"), slack + F.col("s.reach"))
+            return sides.alias("s").join(of.alias("m"), able).select("m.member", "s.other")
+
+        half = against("a", "b", "radius_y").union(against("b", "a", "radius_x")).toDF("a", "b")
+        halves = verify(half)
         links = stage(links.union(halves.filter("near").select("a", "b")), "join-links")
         found = components(links)
         label = found.select(F.col("node").alias("set_key"), "component")
-        tagged = of.join(label, of["member"] == label["set_key"], "left").select("hub", "member", "n", "radius", F.coalesce("component", "member").alias("component"))
-        far = halves.select(F.col("a").alias("member"), F.col("b").alias("other"), "distance").union(close.select("a", "b", F.lit(0.0)).join(across.select("a", "b", "distance"), ["a", "b"]).select("a", "b", "distance"))
-        left = close.join(tagged, close["a"] == tagged["hub"]).select("a", "b", *(F.col(c).alias(f"{c}_x") for c in ("member", "n", "radius", "component")))
-        left = left.join(far, (F.col("member_x") == F.col("member")) & (F.col("b") == F.col("other")), "left").drop("member", "other")
-        right = tagged.select(*(F.col(c).alias(f"{c}_y") for c in ("hub", "member", "n", "radius", "component")))
-        full = left.join(right, left["b"] == right["hub_y"]).filter("component_x <> component_y").filter(_sizes_fit(F.col("n_x"), F.col("n_y"), percent))
-        full = full.filter(F.coalesce(F.col("distance"), F.lit(0.0)) <= slack + F.col("radius_y"))
-        rest = verify(full.select(F.col("member_x").alias("a"), F.col("member_y").alias("b")))
+        tagged = of.join(label, of["member"] == label["set_key"], "left").drop("set_key").withColumn("component", F.coalesce("component", "member"))
+        # Distances of members to the other hub; the hubs themselves are members too.
+        far = halves.select(F.col("a").alias("member"), F.col("b").alias("other"), F.col("distance").alias("far"))
+        far = far.union(close.select("a", "b", "distance")).union(close.select("b", "a", "distance"))
+        tagged = tagged.join(far, "member")
+        side = lambda own, other, mark: close.select("a", "b", *([f"radius_{mark}"])).join(tagged.drop("radius"), (F.col(own) == F.col("hub")) & (F.col(other) == F.col("other"))).drop("hub", "other")
+        left, right = side("a", "b", "y").alias("x"), side("b", "a", "x").alias("y")
+        able = (F.col("x.a") == F.col("y.a")) & (F.col("x.b") == F.col("y.b")) & (F.col("x.component") != F.col("y.component"))
+        able &= _sizes_fit(F.col("x.n"), F.col("y.n"), percent) & (F.col("x.far") <= slack + F.col("x.radius_y")) & (F.col("y.far") <= slack + F.col("y.radius_x"))
+        able &= _may_be_within("x.", "y.", F.col("x.n"), F.col("y.n"), F.lit(slack))
+        rest = verify(left.join(right, able).select(F.col("x.member").alias("a"), F.col("y.member").alias("b")))
         links = links.union(rest.filter("near").select("a", "b"))
-    return components(links)
+    linked = components(links)
+    for table in (classes, groups, own, shared, members, rows_open, rows, met, close):
+        discard(table)
+    return linked
 
 
 def row_components(docs: DataFrame, words: int, percent: int) -> DataFrame:

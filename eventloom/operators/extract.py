@@ -1,22 +1,22 @@
 """Structured extraction: answers -> one row per event (operators 9-12).
 
 Columns find the texts in which an answer's JSON may lie: the unwrapped answer,
-its fenced block, what follows its first bracket. Spark's ``from_json`` differs
-from the JSON rules needed (NaN/Infinity, duplicate keys, longest prefix), so
-reading the first candidate that parses is an Arrow-batched ``mapInPandas``. Both
-are narrow: no shuffle, linear in the answer's length. Contract, report and
-building events are native Column work too.
+its fenced block, what follows its first bracket. Answers whose JSON is proven
+plain are read as VARIANT inside the JVM. Spark's JSON differs from the rules
+needed (NaN/Infinity, duplicate keys, lone surrogates), so all others, among them
+every faulty one, are read by an Arrow-batched pandas UDF, which gets NULL for the
+plain ones. Both are narrow: no shuffle, linear in the answer's length. Contract, report and building events are
+native Column work too.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventloom.functions.ids import event_id
 from eventloom.functions.text import clean_text, strip_reasoning, to_java
@@ -32,15 +32,11 @@ SUMMARY_TARGET_CHARS = 500
 QUERY_MAX_CHARS = 250
 # ---------------------------------------------------------------------------
 
-DECODED_SCHEMA = T.StructType(
-    [
-        T.StructField("response_id", T.LongType()),
-        T.StructField("event_idx", T.IntegerType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("summary", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
+#: A whole answer that starts so may be JSON by itself, though no object or list.
+_SCALAR = r'\A[ \t\n\r]*(?:["0-9-]|(?:true|false|null|NaN|Infinity)[ \t\n\r]*\z)'
+_BRACKET = r"\A[ \t\n\r]*[\[{]"
+#: An escaped surrogate, of which the JVM keeps no lone half.
+_SURROGATE = r"\\u[dD][89a-fA-F]"
 
 _DECODER = json.JSONDecoder()
 
@@ -83,18 +79,18 @@ def _storable(value: str | None) -> bool:
         return False
 
 
-def _event_rows(response_id: int, candidates: tuple) -> list[tuple]:
+def _event_entries(candidates: Sequence[str | None]) -> list[tuple]:
     try:
         payload = decode_first(*candidates)
     except NoJson:
-        return [(response_id, None, None, None, "no_json")]
+        return [(None, None, None, "no_json")]
     if not isinstance(payload, (list, dict)):
-        return [(response_id, None, None, None, "not_object_or_list")]
+        return [(None, None, None, "not_object_or_list")]
     items = payload if isinstance(payload, list) else payload.get(EVENTS_KEY, [])
     if items in ("", {}):
         return []  # an empty string or object holds no events
     if not isinstance(items, list):
-        return [(response_id, None, None, None, "events_not_array")]
+        return [(None, None, None, "events_not_array")]
     rows = []
     for idx, item in enumerate(items):
         error, fields = None, (None, None)
@@ -106,27 +102,63 @@ def _event_rows(response_id: int, candidates: tuple) -> list[tuple]:
                 error = "field_not_string"
             elif not all(map(_storable, fields)):
                 error = "bad_unicode"
-        rows.append((response_id, idx, *(fields if error is None else (None, None)), error))
+        rows.append((idx, *(fields if error is None else (None, None)), error))
     return rows
 
 
-def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = [f.name for f in DECODED_SCHEMA.fields]
-    for pdf in batches:
-        texts = pdf[["whole", "fenced", "tail"]].astype(object)
-        texts = texts.where(texts.notna(), None)
-        rows: list[tuple] = []
-        for rid, candidates in zip(pdf["response_id"].tolist(), texts.itertuples(index=False, name=None)):
-            rows.extend(_event_rows(rid, candidates))
-        out = pd.DataFrame.from_records(rows, columns=cols)
-        out["event_idx"] = out["event_idx"].astype("Int32")
-        out["response_id"] = out["response_id"].astype("Int64")
-        yield out
+#: What one answer holds: its events, or one entry for its error.
+_ENTRIES = "array<struct<event_idx: int, title: string, summary: string, error: string>>"
+
+
+def _decode_texts(wanted: pd.Series, whole: pd.Series, fenced: pd.Series, tail: pd.Series) -> pd.Series:
+    texts = (column.astype(object).where(column.notna(), None) for column in (whole, fenced, tail))
+    return pd.Series([_event_entries(candidates) if asked else None for asked, *candidates in zip(wanted, *texts)], dtype=object)
+
+
+def plain_entries(candidates: DataFrame) -> DataFrame:
+    """Candidates with ``plain``: the events of an answer that is proven plain, else NULL.
+
+    Where the whole answer is not JSON by itself, or is what ``tail`` holds, the value
+    sought is the longest prefix of ``tail`` that is JSON, which is what
+    ``try_parse_json`` reads. It gives NULL on all that it reads otherwise than
+    the JSON rules needed (NaN, duplicate keys); escaped surrogates are kept from it.
+    Plain are lists of objects whose title and summary are strings, null or missing.
+    """
+    only_tail = ~F.col("whole").rlike(_SCALAR) & ~(F.col("whole").rlike(_BRACKET) & F.col("fenced").isNotNull())
+    text = F.when(only_tail & ~F.col("tail").rlike(_SURROGATE), F.col("tail"))
+    parsed = candidates.withColumn("value", F.try_parse_json(text))
+    events = F.when(F.col("tail").startswith("["), F.col("value")).otherwise(F.try_variant_get("value", f"$.{EVENTS_KEY}", "variant"))
+    listed = parsed.withColumn("listed", F.try_variant_get(events, "$", "array<variant>"))
+
+    def is_text(item: Column, key: str) -> Column:
+        return F.coalesce(F.schema_of_variant(F.try_variant_get(item, f"$.{key}", "variant")), F.lit("VOID")).isin("STRING", "VOID")
+
+    def entry(item: Column, idx: Column) -> Column:
+        fields = (F.try_variant_get(item, f"$.{key}", "string").alias(key) for key in ("title", "summary"))
+        return F.struct(idx.alias("event_idx"), *fields, F.lit(None).cast("string").alias("error"))
+
+    fits = F.forall("listed", lambda x: F.schema_of_variant(x).startswith("OBJECT") & is_text(x, "title") & is_text(x, "summary"))
+    return listed.select("response_id", "whole", "fenced", "tail", F.when(fits, F.transform("listed", entry)).alias("plain"))
+
+
+def decode_paths(responses: DataFrame) -> DataFrame:
+    """``(n_answers, n_python)``: how many answers there are, and how many of them Python reads."""
+    return plain_entries(answer_candidates(responses)).agg(F.count(F.lit(1)).alias("n_answers"), F.count_if(F.col("plain").isNull()).alias("n_python"))
+
+
+def read_by_python(found: DataFrame, wanted: Column) -> DataFrame:
+    """Candidates with ``entries``: what Python reads of the answers that are ``wanted``, else NULL.
+
+    Declared non-deterministic, as filters inferred from an explode would repeat it.
+    """
+    decode = F.pandas_udf(_decode_texts, _ENTRIES).asNondeterministic()
+    return found.withColumn("entries", decode(wanted, *(F.when(wanted, F.col(c)) for c in ("whole", "fenced", "tail"))))
 
 
 def decode_responses(responses: DataFrame) -> DataFrame:
     """One row per event item, or one error row per undecodable answer."""
-    return answer_candidates(responses).mapInPandas(_decode_batches, DECODED_SCHEMA)
+    read = read_by_python(plain_entries(answer_candidates(responses)), F.col("plain").isNull())
+    return read.select("response_id", F.explode(F.coalesce("plain", "entries")).alias("entry")).select("response_id", "entry.*")
 
 
 def split_decoded(decoded: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:

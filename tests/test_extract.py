@@ -2,11 +2,14 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators.extract import NoJson, answer_candidates, build_events, contract_report, contract_split, decode_first, extract_events
+from eventloom.operators.extract import (
+    NoJson, answer_candidates, build_events, contract_report, contract_split, decode_first, decode_paths, decode_responses, extract_events, read_by_python,
+)
 from eventloom.sources.intake import RESPONSE_SCHEMA, day_window, read_responses, split_by_status
 
 TWO_EVENTS = {"events": [{"title": "Event 1", "summary": "Summary 1"}, {"title": "Event 2", "summary": "Summary 2"}]}
@@ -48,6 +51,38 @@ def test_cut_emoji_is_quarantined_not_fatal(spark):
         extract_events(df, mode="failfast")[0].collect()
 
 
+def test_plain_answers_are_read_as_python_reads_them(spark):
+    """Answers glued from pieces that JSON readers disagree on: the path inside the JVM and Python alone give the same rows."""
+    rng = random.Random(7)
+    values = ['"a"', '"\\u00e9 \\n \\"q\\""', r'"\ud83d"', r'"\ud83d\ude00"', r'"\u0000"', '"tab\t"', "1", "01", "1e999", "-0.5", "null", "true", "NaN", "[1,]", "[]", "{}", '{"x": [{"y": null}]}', '"' + "z" * 500 + '"', "9" * 1200]
+
+    def item():
+        pick = rng.sample if rng.random() < 0.9 else rng.choices  # the latter repeats keys
+        keys = pick(["title", "summary", "extra"], k=rng.randint(0, 3))
+        return rng.choice(values) if rng.random() < 0.04 else "{" + ", ".join(f'"{k}": {rng.choice(values[:2] if rng.random() < 0.93 else values)}' for k in keys) + "}"
+
+    def body():
+        items = "[" + ", ".join(item() for _ in range(rng.randint(0, 4))) + "]"
+        return rng.choice([items, '{"events": ' + items + "}", '{"events": ' + rng.choice(values) + "}", '{"events": ' + items + ', "n": 1}', '{"other": 1}'])
+
+    around = ["", "Here: ", "true", "null ", '"', "5 ", "- ", "[x] ", "{", "\n```json\n", "```\n", "\n```", " bye [1]", "</think>", "<think>x</think>", "}", "\u00a0", "\ufeff"]
+    cases = ["", None, "nothing"] + [rng.choice(around) + rng.choice(["", *around]) + body() + rng.choice(["", *around]) for _ in range(3000)]
+    cases += ["```json\n" + body() + "\n```" for _ in range(300)] + [body() for _ in range(300)] + ["[" * n + "]" * n for n in (10, 900, 1100)]
+    df = answers(spark, [(200, c) for c in cases])
+    want = read_by_python(answer_candidates(df), F.lit(True)).select("response_id", F.inline("entries"))
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(decode_responses(df).collect(), key=key) == sorted(want.collect(), key=key)
+    paths = decode_paths(df).first()
+    assert paths.n_answers == len(cases) and 0 < paths.n_python < 0.8 * len(cases)
+
+
+def test_only_answers_that_are_not_plain_reach_python(spark):
+    plain = [FENCED, json.dumps(TWO_EVENTS), "Sure: " + json.dumps(TWO_EVENTS["events"]) + " done", '{"events": []}']
+    other = ["none", '{"events": null}', '{"events": [1]}', '{"events": [{"title": NaN}]}', '{"events": [], "events": []}', "5 []", None]
+    paths = decode_paths(answers(spark, [(200, c) for c in plain + other])).first()
+    assert (paths.n_answers, paths.n_python) == (len(plain) + len(other), len(other))
+
+
 def test_extract_two_events_in_order(spark):
     ok, _ = split_by_status(answers(spark, [(200, FENCED)]))
     events, quarantine = extract_events(ok)

@@ -291,16 +291,18 @@ def with_statistics(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str
     while any(c.startswith(stem) for c in docs.columns):
         stem += "_"
     names = [f"{stem}{i}" for i in range(len(STATISTICS))]
-    place = docs.columns.index(text_col)
+    docs_columns = docs.columns
+    place = docs_columns.index(text_col)
 
     def rows(batches):
         for batch in batches:
             parts = [statistics(data, bounds) for _, data, bounds in K.blocks(batch.column(place).cast(pa.string()), K.SMALL_BLOCK)]
             values = np.concatenate(parts) if parts else np.zeros((0, len(names)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(values[:, i]) for i in range(len(names)))], [*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(values[:, i]) for i in range(len(names)))], [*docs_columns, *names])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(rows, ", ".join([*fields, *(f"{n} double" for n in names)])), names
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    plain = docs.toDF(*(f"c{i}" for i in range(len(fields))))  # mapInArrow looks its columns up by name, and a dot would be a field
+    return plain.mapInArrow(rows, ", ".join([*fields, *(f"{n} double" for n in names)])), names
 
 
 def held_out(id_col: Column, modulus: int = HOLD_OUT) -> Column:

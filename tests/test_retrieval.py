@@ -113,3 +113,40 @@ def test_block_search_completes_few_scores_and_loses_none(spark):
     rows = [sorted((r.event_id, r.rank, r.page_id, round(r.score, 6)) for r in retrieve_topk(queries, corpus, index=index, strategy=s).collect()) for s in ("blocks", "shuffle")]
     assert rows[0] == rows[1] and len(rows[0]) > 1000
     index.release()
+
+
+def test_many_chunks_meet_many_groups_without_a_grid(spark, monkeypatch):
+    """Neither events nor blocks are dealt to grid cells; ties and null texts as in the join."""
+    import random
+
+    from eventloom.operators import blockmax
+
+    monkeypatch.setattr(blockmax, "CHUNK_EVENTS", 16)
+    monkeypatch.setattr(blockmax, "GROUP_BLOCKS", 2)
+    monkeypatch.setattr(blockmax, "DENSE_PAGES", 3)
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(60)]
+    pages = [(i, f"u{i % 50}", " ".join(rng.choices(vocab[: 1 + i % 60], k=i % 23))) for i in range(400)] + [(500, "n", None)]
+    corpus = spark.createDataFrame(pages, "page_id long, url string, content string")
+    queries = spark.createDataFrame([(f"q{i}", " ".join(rng.choices(vocab, k=1 + i % 9))) for i in range(70)], "event_id string, query string")
+    from eventloom.operators import retrieval
+
+    index = retrieval.build_index(corpus, block_pages=16)
+    rows = [sorted((r.event_id, r.rank, r.page_id, round(r.score, 6)) for r in retrieve_topk(queries, corpus, k=7, index=index, strategy=s).collect()) for s in ("blocks", "shuffle")]
+    assert rows[0] == rows[1] and len(rows[0]) > 300
+    assert retrieval.search_pages(queries, index, 7).count() < 70 * 7 * 5  # not k for every event and group
+    index.release()
+
+
+def test_grouped_contents_end_at_the_cut(spark):
+    """Contents beyond the cut are not grouped, and the excerpts are the same."""
+    texts = ["a" * 30, "", None, "b" * 9, "c" * 59, "d", "e" * 400, "f" * 50]
+    corpus = spark.createDataFrame([(i, f"u{i}", f"w{i} " + t if t else t) for i, t in enumerate(texts)] + [(3, "u3b", "w3 short")],
+                                   "page_id long, url string, content string")
+    queries = spark.createDataFrame([("q", " ".join(f"w{i}" for i in range(8))), ("p", "w3 w6")], "event_id string, query string")
+    found = retrieve_topk(queries, corpus)
+    assert "chars_before" in found.columns
+    plain = found.drop("chars_before")
+    for cut in (1, 33, 34, 35, 36, 48, 100, 200, 1000):
+        got, want = (sorted((r.event_id, r.sources, r.excerpts, r.n_results) for r in aggregate_results(f, cut).collect()) for f in (found, plain))
+        assert got == want

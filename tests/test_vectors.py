@@ -60,3 +60,16 @@ def test_chunks_match_reference_intent(spark):
             assert all(size == n for size in sizes[:-1]) and all(0 < size <= n for size in sizes), (i, n)
             assert [i for i, _ in sorted(got.get(i, []))] == list(range(len(found)))
     assert chunk_table(df.filter("id = 3"), "id", "t", n=100).count() == 5
+
+
+def test_texts_go_to_python_in_small_batches_and_the_setting_comes_back(spark):
+    from eventloom.plans import catalog
+    from eventloom.session import ensure_engine_conf
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    ensure_engine_conf(spark)
+    before = spark.conf.get(key)
+    catalog.built_events(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get(key)) <= 1024
+    ensure_engine_conf(spark)
+    assert spark.conf.get(key) == before

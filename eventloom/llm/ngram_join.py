@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import kernel as K
 from eventloom.llm.common import discard, doc_column, drop_ids, keep_ids, number_rows, stage
-from eventloom.llm.components import components
+from eventloom.llm.components import components, merged
 
 WORDS = 5
 PERCENT = 80
@@ -349,9 +349,8 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     # components meet also where no other group holds any of its shingles.
     together = groups.filter("members > 1").select(F.col("group").alias("shingle"), "group", F.lit(0).cast("long").alias("place"))
 
-    def hubs_of(links):
+    def hubs_of(found):
         """Classes with hub and component, hubs, and a row per shingle, hub where components still meet."""
-        found = components(links)
         members = (
             classes.join(hub_of, "set_key", "left")
             .join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
@@ -372,7 +371,8 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     # one each time, with which it shares most, if their sketches allow a link. A family of classes that all link
     # meets its representative here, without a join of all with all.
     hub_of = stage(hub_of, "join-hubs")
-    members, hubs, rows = hubs_of(links)
+    found = components(links)
+    members, hubs, rows = hubs_of(found)
     for turn in range(TURNS):
         if rows.isEmpty():
             break
@@ -386,16 +386,15 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
         best = fits.groupBy(tried["hub"].alias("a")).agg(F.max(F.struct(tried["shared"], tried["rep"].alias("b"))).alias("t"))
         fresh = stage(verify(best.select("a", "t.b")).filter("near").select("a", "b"), "join-links")
         if not fresh.isEmpty():
-            links = links.union(fresh)
+            found = merged(found, fresh)
             discard(rows)
             discard(members)
-            members, hubs, rows = hubs_of(links)
+            members, hubs, rows = hubs_of(found)
 
     if rows.isEmpty():
-        linked = components(links)
         for table in (classes, groups, own, shared, members, rows):
             discard(table)
-        return linked
+        return found
 
     # Second turn: hub against hub, over shingles that still join different components.
     rows_open = rows
@@ -414,7 +413,7 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
     enough = _enough_shared(F.size(F.array_intersect("prefix_a", "prefix_b")), F.col("n_min_x"), F.col("n_min_y"), percent)
     met = stage(both.filter(~single | ~known | enough).drop("prefix_a", "prefix_b"), "join-met")
     across = verify(met)
-    links = links.union(across.filter("near").select("a", "b"))
+    found = merged(found, across.filter("near").select("a", "b"))
 
     # Pairs of hubs too close to rule out: members against the other hub, then members that remain.
     close = met.join(across.filter("NOT near"), ["a", "b"]).filter(~single & (F.col("distance") <= slack + F.col("radius_x") + F.col("radius_y")))
@@ -433,8 +432,7 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
 
         half = against("a", "b", "radius_y").union(against("b", "a", "radius_x")).toDF("a", "b")
         halves = verify(half)
-        links = stage(links.union(halves.filter("near").select("a", "b")), "join-links")
-        found = components(links)
+        found = merged(found, halves.filter("near").select("a", "b"))
         label = found.select(F.col("node").alias("set_key"), "component")
         tagged = of.join(label, of["member"] == label["set_key"], "left").drop("set_key").withColumn("component", F.coalesce("component", "member"))
         # Distances of members to the other hub; the hubs themselves are members too.
@@ -447,11 +445,10 @@ def linked_classes(docs: DataFrame, prefixes: DataFrame, words: int, percent: in
         able &= _sizes_fit(F.col("x.n"), F.col("y.n"), percent) & (F.col("x.far") <= slack + F.col("x.radius_y")) & (F.col("y.far") <= slack + F.col("y.radius_x"))
         able &= _may_be_within("x.", "y.", F.col("x.n"), F.col("y.n"), F.lit(slack))
         rest = verify(left.join(right, able).select(F.col("x.member").alias("a"), F.col("y.member").alias("b")))
-        links = links.union(rest.filter("near").select("a", "b"))
-    linked = components(links)
+        found = merged(found, rest.filter("near").select("a", "b"))
     for table in (classes, groups, own, shared, members, rows_open, rows, met, close):
         discard(table)
-    return linked
+    return found
 
 
 def row_components(docs: DataFrame, words: int, percent: int) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import discard, stage
-from eventloom.llm.components import components
+from eventloom.llm.components import components, merged
 from eventloom.llm.exact_dedup import COUNTERS, frequent_keys
 
 SHINGLE, SEED = 3, 42
@@ -126,14 +126,24 @@ def linked_fingerprints(classes: DataFrame, distance: int = DISTANCE, blocks: in
     shared = keyed.groupBy("choice", "bucket").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high")
     rows = stage(keyed.join(shared.select("choice", "bucket"), ["choice", "bucket"]), "simhash-buckets")
 
-    links, found = None, None
+    found = None
     for turn in range(turns):
-        members = rows if found is None else _apart(rows, found)
-        hubs = members.groupBy("choice", "bucket").agg(F.min(F.struct(F.xxhash64("fp", F.lit(turn)), "fp")).getField("fp").alias("hub"))
-        star = members.join(hubs, ["choice", "bucket"]).filter((F.col("fp") != F.col("hub")) & _near(F.col("fp"), F.col("hub"), distance))
-        star = star.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
-        links = stage(star if links is None else links.union(star), "simhash-links")
-        found = components(links)
+        members = rows if found is None else stage(_apart(rows, found), "simhash-apart")
+        if found is not None and members.isEmpty():
+            discard(members)
+            discard(rows)
+            return found
+        own = F.col("fp") if found is None else F.col("component")
+        hubs = members.groupBy("choice", "bucket").agg(F.min(F.struct(F.xxhash64("fp", F.lit(turn)), F.col("fp").alias("hub"), own.alias("of"))).alias("h"))
+        star = members.join(hubs.select("choice", "bucket", "h.hub", "h.of"), ["choice", "bucket"]).filter((own != F.col("of")) & _near(F.col("fp"), F.col("hub"), distance))
+        star = stage(star.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), "simhash-links")
+        if found is None:
+            found = components(star)
+        elif not star.isEmpty():
+            found = merged(found, star)
+        discard(star)
+        if members is not rows:
+            discard(members)
 
     members = stage(_apart(rows, found), "simhash-apart")
     x, y = members.alias("x"), members.alias("y")
@@ -141,7 +151,7 @@ def linked_fingerprints(classes: DataFrame, distance: int = DISTANCE, blocks: in
     across = x.join(y, meet & _near(F.col("x.fp"), F.col("y.fp"), distance)).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     across = stage(across.distinct(), "simhash-across")
     discard(rows)
-    return found if across.isEmpty() else components(links.union(across))
+    return found if across.isEmpty() else merged(found, across)
 
 
 def _apart(rows: DataFrame, found: DataFrame) -> DataFrame:

@@ -126,3 +126,11 @@ def test_trim_matches_python_strip(spark):
 
 def test_null_stays_null(spark):
     assert run_all(spark, [None], lambda c: clean_text(c, True, True)) == [None]
+
+
+def test_words_split_at_every_python_space_and_nowhere_else(spark):
+    from eventloom.functions.text import words
+
+    codes = [c for c in range(0x3100) if c] + [0xFEFF, 0xFFFD, 0x1F600]
+    rows = spark.createDataFrame([(c, f"a{chr(c)}b") for c in codes], "c int, t string").select("c", words(F.col("t")).alias("w")).collect()
+    assert {r.c for r in rows if len(r.w) == 2} == {c for c in codes if chr(c).isspace()}

@@ -150,3 +150,51 @@ def test_grouped_contents_end_at_the_cut(spark):
     for cut in (1, 33, 34, 35, 36, 48, 100, 200, 1000):
         got, want = (sorted((r.event_id, r.sources, r.excerpts, r.n_results) for r in aggregate_results(f, cut).collect()) for f in (found, plain))
         assert got == want
+
+
+def test_few_of_the_scores_by_join_leave_a_task(spark):
+    """Every pair is scored where parts meet; with k what is written grows with events, not with pairs."""
+    from eventloom.operators import retrieval
+
+    n_events, n_pages = 600, 1200
+    corpus = spark.createDataFrame([(i, f"u{i}", f"the of w{i % 50} " + "x " * (i % 9)) for i in range(n_pages)], "page_id long, url string, content string")
+    queries = spark.createDataFrame([(f"q{i}", f"the of w{i % 50}") for i in range(n_events)], "event_id string, query string")
+    index = retrieval.build_index(corpus, block_pages=64)
+    assert retrieval._scores_by_join(queries, index).count() == n_events * n_pages
+    rows = [sorted((r.event_id, r.rank, r.page_id, round(r.score, 6)) for r in retrieve_topk(queries, corpus, index=index, strategy=s).collect()) for s in ("blocks", "shuffle")]
+    assert rows[0] == rows[1] and len(rows[0]) == n_events * 15
+    assert retrieval._scores_by_join(queries, index, 15).count() < n_events * n_pages // 10
+    index.release()
+
+
+def test_rows_of_one_page_id_are_one_page_for_the_join(spark):
+    """Null and repeated page ids, repeated events: sums as the join of postings and words gives them."""
+    from collections import defaultdict
+
+    from eventloom.operators import retrieval
+
+    pages = [(1, "a", "red red blue"), (1, "b", "red"), (None, "n", "blue"), (None, "m", "blue green"), (2, "c", "green"), (3, "d", None), (4, "e", "")]
+    pages += [(100 + i, f"u{i}", f"red w{i}") for i in range(30)]
+    corpus = spark.createDataFrame(pages, "page_id long, url string, content string")
+    asked = [("p", "red blue"), ("p", "red"), (None, "green"), ("none", "zzz"), ("null", None)]
+    index = retrieval.build_index(corpus, block_pages=2)
+    df, total = defaultdict(int), defaultdict(float)
+    texts = [(i, (t or "").split()) for i, _, t in pages]
+    avgdl = sum(len(t) for _, t in texts) / len(texts)
+    for _, t in texts:
+        for w in set(t):
+            df[w] += 1
+    for event, query in asked:
+        for w in set((query or "").split()):
+            for page, t in texts:
+                if w in t:
+                    idf = math.log(1 + (len(texts) - df[w] + 0.5) / (df[w] + 0.5))
+                    total[event, page] += idf * t.count(w) * 2.2 / (t.count(w) + 1.2 * (0.25 + 0.75 * len(t) / avgdl))
+    queries = spark.createDataFrame(asked, "event_id string, query string")
+    got = {(r.event_id, r.page_id): r.score for r in retrieval._scores_by_join(queries, index).collect()}
+    assert set(got) == set(total) and all(math.isclose(got[x], total[x]) for x in total)
+    few = retrieval._scores_by_join(queries, index, 3).collect()
+    for event in ("p", None):
+        best = sorted((x for x in total if x[0] == event), key=lambda x: (-round(total[x], 6), x[1] is not None, x[1] or 0))[:3]
+        assert set(best) <= {(r.event_id, r.page_id) for r in few}
+    index.release()

@@ -198,3 +198,42 @@ def test_rows_of_one_page_id_are_one_page_for_the_join(spark):
         best = sorted((x for x in total if x[0] == event), key=lambda x: (-round(total[x], 6), x[1] is not None, x[1] or 0))[:3]
         assert set(best) <= {(r.event_id, r.page_id) for r in few}
     index.release()
+
+
+def test_totals_in_single_precision_leave_few_pages_to_score(spark):
+    """Long queries over pages of one language, which bounds of words cannot tell apart: the rows of the join, near ties among them."""
+    import random
+
+    from eventloom.operators import retrieval
+
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(300)]
+    weights = [1 / (i + 3) for i in range(300)]
+    pages = [(i, f"u{i}", " ".join(rng.choices(vocab, weights, k=rng.randint(40, 200)))) for i in range(1200)]
+    pages += [(5000 + i, "t", "w1 w2 w3 w250") for i in range(40)]
+    corpus = spark.createDataFrame(pages, "page_id long, url string, content string").repartition(4)
+    queries = spark.createDataFrame([(f"q{i}", " ".join(rng.choices(vocab, weights, k=rng.randint(30, 60)))) for i in range(60)] + [("tied", "w250 w2")], "event_id string, query string")
+    index = retrieval.build_index(corpus, block_pages=256)
+    scored = retrieval.search_pages(queries, index, 15).agg(F.sum("scored")).first()[0]
+    pairs = retrieval._scores_by_join(queries, index).count()
+    assert 61 * 15 <= scored and scored * 20 < pairs
+    rows = [sorted((r.event_id, r.rank, r.page_id, round(r.score, 6)) for r in retrieve_topk(queries, corpus, index=index, strategy=s).collect()) for s in ("blocks", "shuffle")]
+    assert rows[0] == rows[1] and len(rows[0]) == 61 * 15
+    index.release()
+
+
+def test_a_word_in_few_or_many_pages_counts_alike(monkeypatch):
+    """Scores of a group do not depend on which words have a row of weights, and a null page id counts as in the ranking."""
+    import pyarrow as pa
+
+    from eventloom.operators import blockmax
+
+    blocks = pa.table({"page_ids": [[3, None, 1], [2]], "dl": [[2, 1, 2], [1]], "terms": [["a", "b"], ["b"]], "starts": [[0, 3, 5], [0, 1]], "pages": [[0, 1, 2, 0, 2], [0]], "tf": [[1, 1, 1, 1, 1], [1]]})
+    chunk = pa.table({"event_id": ["x", "y", "z"], "terms": [["b", "a"], ["zzz"], ["a"]], "idf": [[2.0, 1.0], [1.0], [1.0]], "floor": [0.0, 0.0, 0.0]})
+    found = []
+    for dense in (1, 2, 99):
+        monkeypatch.setattr(blockmax, "DENSE_PAGES", dense)
+        table = blockmax.search_cell(blockmax._Events(chunk, 2), blockmax._Group(blocks, lambda t, row: blockmax._weights(t, row, 1.5)))
+        found.append(sorted((e, p is None, p or 0, round(s, 9)) for e, p, s in zip(*(table.column(c).to_pylist() for c in ("event_id", "page_id", "score")))))
+    assert found[0] == found[1] == found[2]
+    assert [x[:3] for x in found[0]] == [("x", False, 1), ("x", False, 3), ("z", False, 1), ("z", True, 0)]

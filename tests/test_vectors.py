@@ -73,3 +73,26 @@ def test_texts_go_to_python_in_small_batches_and_the_setting_comes_back(spark):
     assert int(spark.conf.get(key)) <= 1024
     ensure_engine_conf(spark)
     assert spark.conf.get(key) == before
+
+
+def test_every_distinct_bigram_is_hashed_once(monkeypatch):
+    """Vectors as with hashlib, words of any length and bytes; texts that repeat cost one hash a bigram."""
+    import random
+
+    import pyarrow as pa
+
+    from eventloom.operators import vectors
+
+    rng = random.Random(5)
+    vocab = ["é" * rng.randint(1, 30) + "x" * rng.randint(0, 4) for _ in range(40)] + ["a", "b", "w" * 53, "w" * 54, "w" * 55, "w" * 56, "w" * 300, "日本"]
+    texts = [[rng.choice(vocab) for _ in range(rng.choice([0, 1, 2, 3, 90]))] for _ in range(60)]
+    hashed, plain = [], vectors.term_codes
+    monkeypatch.setattr(vectors, "term_codes", lambda names, first, second: hashed.append(len(first)) or plain(names, first, second))
+    for words_at_a_time in (1, 500, vectors.BATCH_WORDS):
+        monkeypatch.setattr(vectors, "BATCH_WORDS", words_at_a_time)
+        hashed.clear()
+        got = vectors._densify(32)(pa.array(texts * 5, pa.list_(pa.string())).slice(3)).to_pylist()
+        for vector, toks in zip(got, (texts * 5)[3:], strict=True):
+            np.testing.assert_allclose(vector, python_vector(" ".join(toks), 32), atol=1e-12)
+    terms = {p for t in texts for p in ([tuple(t)] if len(t) == 1 else zip(t, t[1:]))}
+    assert sum(hashed) == len(terms)

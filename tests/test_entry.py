@@ -32,3 +32,16 @@ def test_shared_folder_with_a_scheme_leaves_no_local_file(spark, tmp_path, monke
     monkeypatch.setattr(spark.sparkContext, "_eventloom_shipped", False, raising=False)
     session.ship_package(spark)
     assert list(tmp_path.iterdir()) == []
+
+
+def test_answers_are_decoded_once_for_all_steps_that_read_events(spark, monkeypatch):
+    """Queries, articles and enrichment read one written table of events."""
+    from eventloom.plans import catalog
+
+    decoded, plain = [], catalog.decoded_events
+    monkeypatch.setattr(catalog, "decoded_events", lambda *a, **k: decoded.append(1) or plain(*a, **k))
+    for query in (catalog.q_enrich_events, catalog.q_enrich_events_articles):
+        decoded.clear()
+        df = query(spark, "/root/testdata/sf0.001")
+        assert len(decoded) == 1
+        assert "VariantGet" not in df._jdf.queryExecution().optimizedPlan().toString()  # no answer is decoded again
